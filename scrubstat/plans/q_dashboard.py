@@ -3,16 +3,10 @@
 from __future__ import annotations
 
 from ..operators import dashboard as d
+from .registry import make_registry
 from .tables import REGIONS, trend, with_views
 
-Q: dict = {}
-
-
-def q(name, sql=None):
-    def deco(fn):
-        Q[name] = (fn, sql)
-        return fn
-    return deco
+Q, q = make_registry()
 
 
 @q("trend_table", with_views("SELECT * FROM trend", "trend"))
