@@ -210,7 +210,10 @@ def day_names(df: DataFrame, include=None, exclude=None) -> DataFrame:
     ok = {c for i, c in enumerate(cand) if guard[f"g{i}"] in (True, None)}
     names = F.array(*[F.lit(d) for d in DAY_NAMES])
     return df.select(*[
-        F.element_at(names, (F.col(c).cast("int") + 1)).alias(c) if c in ok else F.col(c)
+        # guard the NULL index explicitly: element_at on a literal array does not return NULL
+        # for a NULL index under whole-stage codegen in this Spark version
+        F.when(F.col(c).isNotNull(), F.element_at(names, (F.col(c).cast("int") + 1))).alias(c)
+        if c in ok else F.col(c)
         for c in df.columns])
 
 
