@@ -93,11 +93,13 @@ def rounded(c: Column, digits: int = 6) -> Column:
     return F.round(c, digits)
 
 
-def round_all(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round every floating column of a (small) result."""
+def round_all(df: DataFrame, digits: int = 6, skip: Iterable[str] = ()) -> DataFrame:
+    """Round every floating column of a (small) result, except those in `skip`."""
+    skip = set(skip)
     return df.select(*[
         F.round(F.col(f.name), digits).alias(f.name)
-        if isinstance(f.dataType, (T.FloatType, T.DoubleType)) else F.col(f.name)
+        if isinstance(f.dataType, (T.FloatType, T.DoubleType)) and f.name not in skip
+        else F.col(f.name)
         for f in df.schema])
 
 
