@@ -59,7 +59,7 @@ def _missing_rate_sql():
              f"{' OR isnan(' + n + ')' if t == 'double' else ''}) * 100.0 / nullif(count(*), 0), 0), 2) "
              f"AS pct FROM r" for n, t in DIRTY_COLS]
     return with_views(f"WITH r AS (SELECT {_replaced_cols()} FROM dirty) " + _union(parts),
-                      "dirty").replace(") WITH r AS (", "), r AS (")
+                      "dirty")
 
 
 @q("missing_rate", _missing_rate_sql())

@@ -82,4 +82,8 @@ def with_views(sql: str, *names: str) -> str:
     """Prefix an oracle query with the fixture views it reads, as common table expressions."""
     texts = {"trend": TREND_SQL, **VIEWS}
     ctes = ", ".join(f"{n} AS ({texts[n].strip()})" for n in names)
-    return f"WITH {ctes} {sql}" if names else sql
+    if not names:
+        return sql
+    if sql.lstrip().upper().startswith("WITH "):
+        return f"WITH {ctes}, {sql.lstrip()[5:]}"
+    return f"WITH {ctes} {sql}"
