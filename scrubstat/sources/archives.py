@@ -65,7 +65,8 @@ def with_header(rows: DataFrame) -> DataFrame:
         raise ValueError("no header row found")
     names = list(first["fields"])
     data = rows.where(F.col("row_no") > 0)
-    return data.select(*[F.col("fields")[i].alias(n) for i, n in enumerate(names)])
+    # short rows (trailing empty cells) give NULL instead of an index error
+    return data.select(*[F.get(F.col("fields"), i).alias(n) for i, n in enumerate(names)])
 
 
 def read_zip_csv(spark: SparkSession, glob: str, member: str | None = None, sep: str = ",",
