@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 
 from ..columns import dtype, is_string, scope
 from ..functions.text import normalize_key, squash, tokens
-from ..session import checkpoint_dir
+from ..session import write_through
 
 HOT_KEY_ROWS = 2000  # rows per task when a join key is shared by many values
 
@@ -89,6 +89,71 @@ def prefix_candidates(keys: DataFrame, coef: float, col: str = "key", ident: str
     return pairs.unionByName(salted_self_pairs(short, "gram", ident)).distinct()
 
 
+def deletion_candidates(keys: DataFrame, t: float, col: str = "key", ident: str = "id",
+                        max_variants: int = 400) -> DataFrame:
+    """Exact candidates for levenshtein score >= 100 t (Spark's `levenshtein`).
+
+    If two strings are within edit distance k, deleting at most k characters from each gives
+    the same string. A string of length L never needs more than k = floor((1-t) L / t)
+    deletions in any qualifying pair, so strings whose deletion neighbourhood (all variants with
+    <= k deletions, k <= 2) stays under `max_variants` meet on a shared variant. Longer strings
+    fall back to prefix filtering against every string, which is lossless for any pair.
+    """
+    L = F.length(F.col(col))
+    k = F.floor((1 - t) * L / t + 1e-9)
+    c = F.col(col)
+    empty = F.array().cast("array<string>")
+    v1 = F.when(L >= 1, F.transform(F.sequence(F.lit(1), L), lambda i: F.concat(
+        F.substring(c, 1, i - 1), F.substring(c, i + 1, 1 << 30)))).otherwise(empty)
+    v2 = F.when(L >= 2, F.flatten(F.transform(F.sequence(F.lit(1), L - 1), lambda i: F.transform(
+        F.sequence(i + 1, L), lambda j: F.concat(F.substring(c, 1, i - 1),
+                                                 F.substring(c, i + 1, j - i - 1),
+                                                 F.substring(c, j + 1, 1 << 30)))))).otherwise(empty)
+    n_var = 1 + L + L * (L - 1) / 2
+    small = (k <= 0) | ((k == 1) & (1 + L <= max_variants)) | ((k == 2) & (n_var <= max_variants))
+    variants = F.array_distinct(F.concat(F.array(c), F.when(k >= 1, v1).otherwise(empty),
+                                         F.when(k >= 2, v2).otherwise(empty)))
+    tagged = keys.select(ident, col, small.alias("_small"))
+    items = (tagged.where(F.col("_small"))
+             .select(ident, F.explode(variants).alias("gram")))
+    pairs = salted_self_pairs(items, "gram", ident)
+    big = tagged.where(~F.col("_small"))
+    if big.isEmpty():
+        return pairs
+    coef = 2 * t - 1
+    pref_all = _prefix_elements(keys, coef, col, ident)
+    big_ids = big.select(F.col(ident).alias("_bid"))
+    pref_big = pref_all.join(big_ids, F.col(ident) == F.col("_bid")).drop("_bid")
+    cross = (pref_big.select("gram", F.col(ident).alias("x"))
+             .join(pref_all.select("gram", F.col(ident).alias("y")), "gram")
+             .where(F.col("x") != F.col("y"))
+             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
+    # pairs whose longer string has length <= 1/coef get no shared-bigram guarantee: pair
+    # such strings through a shared character (any match keeps at least one character)
+    short_len = math.floor(1.0 / coef) if coef > 0 else 10 ** 9
+    chars = keys.where(L <= short_len).select(
+        ident, F.explode(F.array_distinct(F.split(F.col(col), ""))).alias("gram"))
+    big_short = chars.join(big.select(ident), ident)
+    by_char = (big_short.select("gram", F.col(ident).alias("x"))
+               .join(chars.select("gram", F.col(ident).alias("y")), "gram")
+               .where(F.col("x") != F.col("y"))
+               .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
+    return pairs.unionByName(cross).unionByName(by_char).distinct()
+
+
+def _prefix_elements(keys: DataFrame, coef: float, col: str = "key", ident: str = "id"
+                     ) -> DataFrame:
+    occ = _bigram_occurrences(keys, col, ident)
+    freq = occ.groupBy("el").agg(F.count(F.lit(1)).alias("_f"))
+    lens = keys.select(ident, F.length(F.col(col)).alias("_L"))
+    ranked = occ.join(freq, "el").join(lens, ident)
+    w = Window.partitionBy(ident).orderBy("_f", "el")
+    tau = F.ceil(F.col("_L") * coef - 1)
+    keep = (F.col("_L") - 1) - tau + 1
+    return (ranked.withColumn("_r", F.row_number().over(w))
+            .where((tau <= 0) | (F.col("_r") <= keep)).select(ident, F.col("el").alias("gram")))
+
+
 def containment_candidates(keys: DataFrame, col: str = "key", ident: str = "id") -> DataFrame:
     """Ordered pairs (inner, outer) where outer may contain inner: the inner string is indexed
     by its rarest bigram occurrence, the outer by all of its occurrences. Inner strings of one
@@ -228,7 +293,8 @@ def implicit_duplicates_token(df: DataFrame, include=None, exclude=None,
 
 
 def _token_dups_one(df: DataFrame, column: str, t: float, scorer: str) -> DataFrame:
-    vals = _distinct_values(df, column).withColumn("key", squash(F.col("value")))
+    vals = write_through(_distinct_values(df, column).withColumn("key", squash(F.col("value"))),
+                         "token-values")
     ids = vals.select("id", "key")
     # (b) tokens
     toks = vals.select("id", F.explode(F.array_distinct(tokens(F.col("value")))).alias("gram"))
@@ -283,12 +349,13 @@ def fuzzy_pairs(df: DataFrame, column: str, threshold: float = 90, scorer: str =
     keys = df.select(normalize_key(F.col(column)).alias("key"))
     if not keep_empty:
         keys = keys.where(F.length("key") > 0)
-    keys = keys.distinct().select("key", F.col("key").alias("id"))
+    # the distinct keys feed several branches below: compute the normalisation once
+    keys = write_through(keys.distinct().select("key", F.col("key").alias("id")), "fuzzy-keys")
     t = threshold / 100.0
     if scorer == "levenshtein":
         if t <= 0.5:
             raise ValueError("levenshtein blocking needs threshold > 50")
-        cand = prefix_candidates(keys, 2 * t - 1)
+        cand = deletion_candidates(keys, t)
     elif scorer == "wratio":
         cand = _wratio_candidates(keys)
     else:
@@ -315,14 +382,15 @@ def _wratio_candidates(keys: DataFrame) -> DataFrame:
     return salted_self_pairs(items, "gram", "id")
 
 
-def greedy_groups(pairs: DataFrame, order: DataFrame | None = None, max_rounds: int = 64
+def greedy_groups(pairs: DataFrame, order: DataFrame | None = None, max_rounds: int = 256
                   ) -> DataFrame:
     """C9 step 4: the canonical names the sequential greedy scan would pick.
 
     A name is canonical exactly when no earlier canonical name matches it (lexicographically
-    first maximal independent set of the match graph). Parallel rounds: a live name smaller
-    than all of its live neighbours becomes canonical and its neighbours become variants.
-    Each round's live set is checkpointed to the shared checkpoint folder.
+    first maximal independent set of the match graph). Parallel rounds over a node state table
+    (name, rank, status): a live name smaller than all of its live neighbours becomes canonical
+    and its live neighbours become variants. The state is written to the shared checkpoint
+    folder once per round, so a lost executor never replays earlier rounds.
 
     `order`: optional (key, ord) table giving the scan order; default the key itself.
     Output: (canonical, variant, score) for every match of every canonical name.
@@ -335,32 +403,31 @@ def greedy_groups(pairs: DataFrame, order: DataFrame | None = None, max_rounds:
         rank_u, rank_v = F.struct("ou", "u"), F.struct("ov", "v")
     else:
         rank_u, rank_v = F.col("u"), F.col("v")
-    edges = edges.select("u", "v", "score", rank_u.alias("ru"), rank_v.alias("rv"))
-    checkpoint_dir(edges.sparkSession)
-    edges = edges.checkpoint(eager=True)
-    live = edges.select("u", "ru").distinct().checkpoint(eager=True)
-    canon_parts = []
+    edges = write_through(edges.select("u", "v", "score", rank_u.alias("ru"),
+                                       rank_v.alias("rv")), "greedy-edges")
+    state = write_through(edges.select("u", "ru").distinct().withColumn("st", F.lit("live")),
+                          "greedy-state")
     for _ in range(max_rounds):
-        if live.isEmpty():
+        if state.where(F.col("st") == "live").isEmpty():
             break
-        lu = live.select(F.col("u").alias("lu"))
-        le = (edges.join(lu, edges.u == lu.lu).drop("lu")
-              .join(live.select(F.col("u").alias("lv")), F.col("v") == F.col("lv")).drop("lv"))
+        live = state.where(F.col("st") == "live").select("u")
+        le = (edges.join(live, "u")
+              .join(live.select(F.col("u").alias("v")), "v"))
         smallest = le.groupBy("u").agg(F.min("rv").alias("_min"))
-        cand = live.join(smallest, "u", "left")
-        canon = cand.where(F.col("_min").isNull() | (F.col("ru") < F.col("_min"))).select("u")
-        canon = canon.checkpoint(eager=True)
-        canon_parts.append(canon)
-        removed_v = le.join(canon, "u").select(F.col("v").alias("u"))
-        removed = canon.unionByName(removed_v).distinct()
-        live = live.join(removed, "u", "left_anti").checkpoint(eager=True)
+        now = (state.where(F.col("st") == "live").join(smallest, "u", "left")
+               .where(F.col("_min").isNull() | (F.col("ru") < F.col("_min"))).select("u"))
+        gone = le.join(now, "u").select(F.col("v").alias("u")).distinct()
+        state = write_through(
+            state.join(now.withColumn("_c", F.lit(True)), "u", "left")
+            .join(gone.withColumn("_g", F.lit(True)), "u", "left")
+            .select("u", "ru", F.when(F.col("_c"), "canon")
+                    .when(F.col("_g") & (F.col("st") == "live"), "variant")
+                    .otherwise(F.col("st")).alias("st")), "greedy-state")
     else:
         raise RuntimeError("greedy grouping did not finish; raise max_rounds")
-    canon_all = canon_parts[0]
-    for c in canon_parts[1:]:
-        canon_all = canon_all.unionByName(c)
-    return edges.join(canon_all, "u").select(F.col("u").alias("canonical"),
-                                             F.col("v").alias("variant"), "score")
+    canon = state.where(F.col("st") == "canon").select("u")
+    return edges.join(canon, "u").select(F.col("u").alias("canonical"),
+                                         F.col("v").alias("variant"), "score")
 
 
 def fuzzy_groups(df: DataFrame, column: str, threshold: float = 90,

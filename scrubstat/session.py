@@ -67,3 +67,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if base.startswith("file:"):
         base = base[len("file:"):]
     return os.path.join(base, name)
+
+
+def write_through(df: DataFrame, name: str) -> DataFrame:
+    """Cut lineage by writing a parquet table into the shared checkpoint folder and reading it
+    back. Unlike `checkpoint()`, the re-read table carries its real size, so iterative jobs do
+    not compound estimated join sizes from round to round."""
+    import uuid
+    path = scratch_path(df.sparkSession, f"tables/{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
