@@ -21,6 +21,7 @@ from __future__ import annotations
 import difflib
 import math
 import re
+import uuid
 from collections.abc import Sequence
 
 import pandas as pd
@@ -30,7 +31,7 @@ from pyspark.sql import types as T
 
 from ..columns import dtype, is_string, scope
 from ..functions.text import normalize_key, squash, tokens
-from ..session import write_through
+from ..session import scratch_path, write_through
 
 HOT_KEY_ROWS = 2000  # rows per task when a join key is shared by many values
 
@@ -382,15 +383,45 @@ def _wratio_candidates(keys: DataFrame) -> DataFrame:
     return salted_self_pairs(items, "gram", "id")
 
 
-def greedy_groups(pairs: DataFrame, order: DataFrame | None = None, max_rounds: int = 256
-                  ) -> DataFrame:
+def _rank_key(v):
+    if isinstance(v, dict):
+        return tuple(v.values())
+    if hasattr(v, "_fields") or isinstance(v, tuple):
+        return tuple(v)
+    return v
+
+
+def _sequential_variants(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Greedy scan in rank order over a small remaining graph; returns the variants."""
+    rank = {}
+    adj: dict = {}
+    for u, v, ru, rv in zip(pdf["u"], pdf["v"], pdf["ru"], pdf["rv"]):
+        rank[u], rank[v] = _rank_key(ru), _rank_key(rv)
+        adj.setdefault(u, set()).add(v)
+    visited, variants = set(), []
+    for name in sorted(adj, key=lambda x: rank[x]):
+        if name in visited:
+            continue
+        visited.add(name)
+        for m in adj[name]:
+            if m not in visited:
+                visited.add(m)
+                variants.append(m)
+    return pd.DataFrame({"u": pd.Series(variants, dtype="object")})
+
+
+def greedy_groups(pairs: DataFrame, order: DataFrame | None = None, max_rounds: int = 256,
+                  local_finish_edges: int = 100_000) -> DataFrame:
     """C9 step 4: the canonical names the sequential greedy scan would pick.
 
     A name is canonical exactly when no earlier canonical name matches it (lexicographically
     first maximal independent set of the match graph). Parallel rounds over a node state table
-    (name, rank, status): a live name smaller than all of its live neighbours becomes canonical
-    and its live neighbours become variants. The state is written to the shared checkpoint
-    folder once per round, so a lost executor never replays earlier rounds.
+    a live name smaller than all of its live neighbours becomes canonical and its live
+    neighbours become variants. Only edges between undecided names are carried to the next
+    round, so the work shrinks with the graph; the live edges are written to the shared
+    checkpoint folder every round (no replay of earlier rounds after a lost executor) and the
+    variants of each round are appended to a table there; canonical = every name that is not
+    a variant.
 
     `order`: optional (key, ord) table giving the scan order; default the key itself.
     Output: (canonical, variant, score) for every match of every canonical name.
@@ -405,27 +436,37 @@ def greedy_groups(pairs: DataFrame, order: DataFrame | None = None, max_rounds:
         rank_u, rank_v = F.col("u"), F.col("v")
     edges = write_through(edges.select("u", "v", "score", rank_u.alias("ru"),
                                        rank_v.alias("rv")), "greedy-edges")
-    state = write_through(edges.select("u", "ru").distinct().withColumn("st", F.lit("live")),
-                          "greedy-state")
+    live = edges.select("u", "v", "ru", "rv")
+    spark = edges.sparkSession
+    var_path = scratch_path(spark, f"tables/greedy-variants-{uuid.uuid4().hex}")
     for _ in range(max_rounds):
-        if state.where(F.col("st") == "live").isEmpty():
+        # `live` holds edges between undecided names. A live name smaller than all of its live
+        # neighbours is canonical; its live neighbours become variants. Every name ends up one
+        # or the other, so only the variants are recorded; a name left without live
+        # neighbours simply drops out and stays canonical.
+        now = (live.groupBy("u", "ru").agg(F.min("rv").alias("_min"))
+               .where(F.col("ru") < F.col("_min")).select("u"))
+        live.join(now, "u").select(F.col("v").alias("u")).distinct() \
+            .write.mode("append").parquet(var_path)
+        variants = spark.read.parquet(var_path)
+        decided = now.unionByName(variants)
+        rest = (live.join(decided, "u", "left_anti")
+                .join(decided.select(F.col("u").alias("v")), "v", "left_anti"))
+        live = write_through(rest, "greedy-live")
+        n_live = live.count()
+        if n_live == 0:
+            break
+        if n_live <= local_finish_edges:
+            # the remaining undecided names have no canonical neighbour; a sequential scan
+            # over this bounded remainder (checked size) decides them exactly as more rounds
+            # would, in one task
+            (live.groupBy(F.lit(0).alias("_g")).applyInPandas(_sequential_variants, "u string")
+             .write.mode("append").parquet(var_path))
             break
-        live = state.where(F.col("st") == "live").select("u")
-        le = (edges.join(live, "u")
-              .join(live.select(F.col("u").alias("v")), "v"))
-        smallest = le.groupBy("u").agg(F.min("rv").alias("_min"))
-        now = (state.where(F.col("st") == "live").join(smallest, "u", "left")
-               .where(F.col("_min").isNull() | (F.col("ru") < F.col("_min"))).select("u"))
-        gone = le.join(now, "u").select(F.col("v").alias("u")).distinct()
-        state = write_through(
-            state.join(now.withColumn("_c", F.lit(True)), "u", "left")
-            .join(gone.withColumn("_g", F.lit(True)), "u", "left")
-            .select("u", "ru", F.when(F.col("_c"), "canon")
-                    .when(F.col("_g") & (F.col("st") == "live"), "variant")
-                    .otherwise(F.col("st")).alias("st")), "greedy-state")
     else:
         raise RuntimeError("greedy grouping did not finish; raise max_rounds")
-    canon = state.where(F.col("st") == "canon").select("u")
+    names = edges.select("u").distinct()
+    canon = names.join(spark.read.parquet(var_path), "u", "left_anti")
     return edges.join(canon, "u").select(F.col("u").alias("canonical"),
                                          F.col("v").alias("variant"), "score")
 

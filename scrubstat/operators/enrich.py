@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..columns import move_to_end
@@ -60,8 +60,11 @@ def best_page_match(keys: DataFrame, phrase: str, pages: DataFrame, page_id: str
         F.sequence(F.lit(0).cast("long"), buckets - 1)).alias("_salt"))
     shared = ks.join(ps, ["token", "_salt"]).groupBy(*kcols, "_pid").agg(
         F.count(F.lit(1)).alias("score"))
-    w = Window.partitionBy(*kcols).orderBy(F.col("score").desc(), F.col("_pid"))
-    best = shared.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
+    # best = highest score, then smallest page id; an aggregate (partial per task) rather
+    # than a window, so a key with many candidate pages never sits in one partition
+    best = shared.groupBy(*kcols).agg(
+        F.min_by("_pid", F.struct((-F.col("score")).alias("s"), F.col("_pid").alias("p")))
+        .alias("_pid"), F.max("score").alias("score"))
     return best.select(*kcols, F.col("_pid").alias(page_id), "score")
 
 

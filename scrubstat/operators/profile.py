@@ -284,10 +284,14 @@ def normality_heuristic(df: DataFrame, columns: Sequence[str] | None = None) ->
 
 # --- A9 / A10 / A11 ------------------------------------------------------------------------
 
-def _pair_aggs(df: DataFrame, cols: Sequence[str], ordered: bool):
+def _pairs_long(df: DataFrame, cols: Sequence[str], ordered: bool) -> DataFrame:
+    """Pairwise-complete (n, cov, r) for column pairs in one fused aggregate.
+
+    Only unordered pairs (i < j) are aggregated, with both inputs masked to rows where both
+    exist; the diagonal needs single-column statistics only; ordered output mirrors the rest.
+    """
     vals = {c: nan_to_null(F.col(c).cast("double"), T.DoubleType()) for c in cols}
-    pairs = [(a, b) for i, a in enumerate(cols) for j, b in enumerate(cols)
-             if ordered or i < j]
+    pairs = [(a, b) for i, a in enumerate(cols) for j, b in enumerate(cols) if i < j]
     aggs = []
     for k, (a, b) in enumerate(pairs):
         x, y = vals[a], vals[b]
@@ -295,15 +299,25 @@ def _pair_aggs(df: DataFrame, cols: Sequence[str], ordered: bool):
         xp, yp = F.when(both, x), F.when(both, y)
         aggs += [F.covar_samp(xp, yp).alias(f"cov{k}"), F.stddev_samp(xp).alias(f"sx{k}"),
                  F.stddev_samp(yp).alias(f"sy{k}"), F.count(xp).alias(f"n{k}")]
-    return pairs, df.agg(*aggs)
-
-
-def _pairs_long(df: DataFrame, cols: Sequence[str], ordered: bool) -> DataFrame:
-    pairs, one = _pair_aggs(df, cols, ordered)
-    rows = [F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.col(f"n{k}").alias("n"),
-                     F.col(f"cov{k}").alias("cov"),
-                     F.try_divide(F.col(f"cov{k}"), F.col(f"sx{k}") * F.col(f"sy{k}")).alias("r"))
-            for k, (a, b) in enumerate(pairs)]
+    if ordered:
+        for i, c in enumerate(cols):
+            aggs += [F.var_samp(vals[c]).alias(f"v{i}"), F.count(vals[c]).alias(f"c{i}")]
+    one = df.agg(*aggs)
+    rows = []
+    for k, (a, b) in enumerate(pairs):
+        r = F.try_divide(F.col(f"cov{k}"), F.col(f"sx{k}") * F.col(f"sy{k}"))
+        rows.append(F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.col(f"n{k}").alias("n"),
+                             F.col(f"cov{k}").alias("cov"), r.alias("r")))
+        if ordered:
+            rows.append(F.struct(F.lit(b).alias("x"), F.lit(a).alias("y"),
+                                 F.col(f"n{k}").alias("n"), F.col(f"cov{k}").alias("cov"),
+                                 r.alias("r")))
+    if ordered:
+        for i, c in enumerate(cols):
+            v = F.col(f"v{i}")
+            rows.append(F.struct(F.lit(c).alias("x"), F.lit(c).alias("y"),
+                                 F.col(f"c{i}").alias("n"), v.alias("cov"),
+                                 F.try_divide(v, v).alias("r")))
     return one.select(F.inline(F.array(*rows)))
 
 

@@ -284,14 +284,28 @@ _SW_LARGE_MEAN = [-1.5861, -0.31082, -0.083751, 0.0038915]
 _SW_LARGE_SD = [-0.4803, -0.082676, 0.0030302]
 
 
-def shapiro_wilk(df: DataFrame, value: str, max_n: int = 5000) -> DataFrame:
-    """Shapiro-Wilk W and p (Royston 1995) for 3 <= n <= max_n; raises otherwise.
+def hash_sample(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
+    """Deterministic Bernoulli sample: keep rows whose whole-row hash falls in the first
+    `fraction` of the hash range (same rows on every run and after recomputation)."""
+    h = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns], F.lit(seed)), F.lit(1 << 30))
+    return df.where(h < int(fraction * (1 << 30)))
 
-    Positions come from the distributed ranking; weights, W and p are column expressions and
-    aggregates over at most max_n rows. Output: one row (n, statistic, p_value).
+
+def shapiro_wilk(df: DataFrame, value: str, max_n: int = 5000, sample_above: bool = False
+                 ) -> DataFrame:
+    """Shapiro-Wilk W and p (Royston 1995) for 3 <= n <= max_n.
+
+    Above max_n the test raises, unless `sample_above`: then a deterministic hash sample of
+    about 0.9 * max_n rows is tested (the method is only calibrated up to max_n). Positions come
+    from the distributed ranking; weights, W and p are column expressions and aggregates over at
+    most max_n rows. Output: one row (n, n_total, statistic, p_value).
     """
     v = df.select(_val(df, value).alias("_x")).where(F.col("_x").isNotNull())
-    n = v.count()
+    n_total = n = v.count()
+    if n > max_n and sample_above:
+        v = hash_sample(v, 0.9 * max_n / n)
+        df, value = v, "_x"
+        n = v.count()
     if n < 3 or n > max_n:
         raise ValueError(f"Shapiro-Wilk needs 3 <= n <= {max_n}, got n = {n}")
     pos = _positions(df, value)
@@ -339,7 +353,8 @@ def shapiro_wilk(df: DataFrame, value: str, max_n: int = 5000) -> DataFrame:
         mu = sum(c * ln ** k for k, c in enumerate(_SW_LARGE_MEAN))
         sd = math.exp(sum(c * ln ** k for k, c in enumerate(_SW_LARGE_SD)))
         p = _upper((y - mu) / sd)
-    return s.select(F.lit(n).cast("long").alias("n"), "statistic", p.alias("p_value"))
+    return s.select(F.lit(n).cast("long").alias("n"), F.lit(n_total).cast("long").alias("n_total"),
+                    "statistic", p.alias("p_value"))
 
 
 def _upper(z: Column) -> Column:

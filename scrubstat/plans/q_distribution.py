@@ -194,13 +194,13 @@ def _scatter_sample(spark, sf):
     return d.scatter_sample(table(spark, sf, "events"), "event_id", 0.1)
 
 
-def _pair_bins_sql():
+def _pair_bins_sql(both: bool = False):
     cols = LINE_COLS
     b = ", ".join(f"min({c}) AS lo{i}, max({c}) AS hi{i}" for i, c in enumerate(cols))
     parts = []
     for i, cy in enumerate(cols):
         for k, cx in enumerate(cols):
-            if i > k:
+            if i > k or (both and i != k):
                 parts.append(
                     f"SELECT '{cx}' AS x_col, '{cy}' AS y_col, "
                     f"{_bin_sql(f'CAST({cx} AS DOUBLE)', f'lo{k}', f'hi{k}', 10)} AS bin_x, "
@@ -219,3 +219,26 @@ def _pair_bins(spark, sf):
    + ") t")
 def _pair_correlation(spark, sf):
     return round_all(d.pair_correlation(table(spark, sf, "lineitem"), LINE_COLS))
+
+
+@q("pairplot_bins", _pair_bins_sql(both=True))
+def _pairplot_bins(spark, sf):
+    return d.pair_bins(table(spark, sf, "lineitem"), LINE_COLS, 10, both_triangles=True)
+
+
+@q("kde_counts",
+   "WITH s AS (SELECT count(x) AS n, stddev_samp(x) AS sd, min(x) AS mn, max(x) AS mx FROM "
+   f"({_PRICE}) e), g AS (SELECT CAST(range AS INTEGER) AS i, CASE WHEN range = 399 THEN mx ELSE "
+   "mn + range * ((mx - mn) / 399) END AS x FROM range(400), s), w AS (SELECT x AS v, count(*) AS c "
+   f"FROM ({_PRICE}) e GROUP BY x) SELECT g.i, round(g.x, 6) AS x, round(sum(w.c * exp(-0.5 * "
+   "((g.x - w.v) / (s.sd * pow(s.n, -0.2))) * ((g.x - w.v) / (s.sd * pow(s.n, -0.2))))) / (s.n * "
+   "(s.sd * pow(s.n, -0.2)) * sqrt(2 * pi())) * s.n * ((s.mx - s.mn) / 20), 9) AS density "
+   "FROM g, w, s GROUP BY g.i, g.x, s.n, s.sd, s.mx, s.mn")
+def _kde_counts(spark, sf):
+    """H12 diagonal: KDE on 400 points within the histogram edges, scaled to counts
+    (n x bin width of a 20-bin histogram)."""
+    li = table(spark, sf, "lineitem")
+    st = li.agg(F.min("l_extendedprice").alias("mn"), F.max("l_extendedprice").alias("mx")).first()
+    width = (st["mx"] - st["mn"]) / 20
+    out = d.kde_curve(li, "l_extendedprice", 400, scale_counts_width=width)
+    return out.select("i", F.round("x", 6).alias("x"), F.round("density", 9).alias("density"))

@@ -97,6 +97,31 @@ def _qq_points_expon(spark, sf):
     return out.withColumn("theoretical", F.round("theoretical", 9))
 
 
+@q("qq_points_uniform",
+   f"WITH b AS (SELECT quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.75) AS q3 FROM ({_EV}) e) "
+   f"SELECT CAST(i AS BIGINT) AS i, round(0.0 + 500.0 * ({_FILL}), 9) AS theoretical, sample, "
+   f"sample < q1 - 1.5 * (q3 - q1) OR sample > q3 + 1.5 * (q3 - q1) AS is_outlier FROM ({_POS}) t, b")
+def _qq_points_uniform(spark, sf):
+    out = st.qq_points(table(spark, sf, "events"), "value", "uniform", {"loc": 0.0, "scale": 500.0})
+    return out.withColumn("theoretical", F.round("theoretical", 9))
+
+
+@q("qq_points_weibull",
+   f"WITH b AS (SELECT quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.75) AS q3 FROM ({_EV}) e) "
+   f"SELECT CAST(i AS BIGINT) AS i, round(40.0 * pow(-ln(1 - ({_FILL})), 1.0 / 1.5), 9) AS "
+   f"theoretical, sample, sample < q1 - 1.5 * (q3 - q1) OR sample > q3 + 1.5 * (q3 - q1) AS "
+   f"is_outlier FROM ({_POS}) t, b")
+def _qq_points_weibull(spark, sf):
+    out = st.qq_points(table(spark, sf, "events"), "value", "weibull_min",
+                       {"c": 1.5, "scale": 40.0})
+    return out.withColumn("theoretical", F.round("theoretical", 9))
+
+
+@q("qq_points_lognorm")
+def _qq_points_lognorm(spark, sf):
+    return st.qq_points(table(spark, sf, "events"), "value", "lognorm", {"s": 1.0, "scale": 20.0})
+
+
 @q("qq_points_gamma")
 def _qq_points_gamma(spark, sf):
     return st.qq_points(table(spark, sf, "customer"), "c_acctbal", "gamma", {"a": 2.0})
@@ -109,7 +134,7 @@ def _qq_fit(spark, sf):
 
 @q("shapiro")
 def _shapiro(spark, sf):
-    return st.shapiro_wilk(table(spark, sf, "customer"), "c_acctbal")
+    return st.shapiro_wilk(table(spark, sf, "customer"), "c_acctbal", sample_above=True)
 
 
 def _dagostino_sql() -> str:
