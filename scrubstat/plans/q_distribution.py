@@ -232,7 +232,7 @@ def _pairplot_bins(spark, sf):
    "mn + range * ((mx - mn) / 399) END AS x FROM range(400), s), w AS (SELECT x AS v, count(*) AS c "
    f"FROM ({_PRICE}) e GROUP BY x) SELECT g.i, round(g.x, 6) AS x, round(sum(w.c * exp(-0.5 * "
    "((g.x - w.v) / (s.sd * pow(s.n, -0.2))) * ((g.x - w.v) / (s.sd * pow(s.n, -0.2))))) / (s.n * "
-   "(s.sd * pow(s.n, -0.2)) * sqrt(2 * pi())) * s.n * ((s.mx - s.mn) / 20), 9) AS density "
+   "(s.sd * pow(s.n, -0.2)) * sqrt(2 * pi())) * s.n * ((s.mx - s.mn) / 20), 4) AS density "
    "FROM g, w, s GROUP BY g.i, g.x, s.n, s.sd, s.mx, s.mn")
 def _kde_counts(spark, sf):
     """H12 diagonal: KDE on 400 points within the histogram edges, scaled to counts
@@ -241,4 +241,4 @@ def _kde_counts(spark, sf):
     st = li.agg(F.min("l_extendedprice").alias("mn"), F.max("l_extendedprice").alias("mx")).first()
     width = (st["mx"] - st["mn"]) / 20
     out = d.kde_curve(li, "l_extendedprice", 400, scale_counts_width=width)
-    return out.select("i", F.round("x", 6).alias("x"), F.round("density", 9).alias("density"))
+    return out.select("i", F.round("x", 6).alias("x"), F.round("density", 4).alias("density"))
