@@ -63,7 +63,9 @@ def with_bin(df: DataFrame, x: str, lo: str, hi: str, bins: int, out: str) -> Da
     step = (H - L) / bins
     edge = lambda i: F.when(i == bins, H).otherwise(L + i * step)
     g = F.col(out + "_g")
-    df = df.withColumn(out + "_g", F.when(H == L, F.lit(0)).otherwise(
+    # `least` skips NULL arguments, so a missing value is guarded explicitly
+    df = df.withColumn(out + "_g", F.when(X.isNull(), F.lit(None).cast("int"))
+                       .when(H == L, F.lit(0)).otherwise(
         F.least(F.floor((X - L) / step), F.lit(bins - 1)).cast("int")))
     df = df.withColumn(out + "_d", F.when((g > 0) & (X < edge(g)), g - 1).otherwise(g))
     d = F.col(out + "_d")
@@ -283,13 +285,13 @@ def pair_bins(df: DataFrame, columns: Sequence[str] | None = None, bins: int = 2
     for i, cy in enumerate(cols):
         for k, cx in enumerate(cols):
             if (i > k) or (both_triangles and i != k):
-                ok = F.col(f"v{k}").isNotNull() & F.col(f"v{i}").isNotNull()
-                entries.append(F.when(ok, F.struct(F.lit(cx).alias("x_col"),
-                                                   F.lit(cy).alias("y_col"),
-                                                   F.col(f"b{k}").alias("bin_x"),
-                                                   F.col(f"b{i}").alias("bin_y"))))
-    ex = j.select(F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("e"))
-    return ex.groupBy("e.x_col", "e.y_col", "e.bin_x", "e.bin_y").agg(F.count(F.lit(1)).alias("n"))
+                entries.append(F.struct(F.lit(cx).alias("x_col"), F.lit(cy).alias("y_col"),
+                                        F.col(f"b{k}").alias("bin_x"),
+                                        F.col(f"b{i}").alias("bin_y")))
+    # one entry per pair; a missing side gives a NULL bin, dropped after the unpivot
+    ex = j.select(F.inline(F.array(*entries))).where(
+        F.col("bin_x").isNotNull() & F.col("bin_y").isNotNull())
+    return ex.groupBy("x_col", "y_col", "bin_x", "bin_y").agg(F.count(F.lit(1)).alias("n"))
 
 
 def pair_correlation(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
