@@ -88,7 +88,9 @@ def category_region_pivot(trend: DataFrame, regions: Sequence[str]) -> DataFrame
 
 def trend_weekly(trend: DataFrame) -> DataFrame:
     """Weekly totals per category (weeks start on Monday)."""
-    return (trend.groupBy(F.date_trunc("week", "trending_date").alias("week"), "category_title")
+    # date_trunc yields a session-zone TIMESTAMP; back to the wall clock the input uses
+    week = F.date_trunc("week", "trending_date").cast("timestamp_ntz")
+    return (trend.groupBy(week.alias("week"), "category_title")
             .agg(F.sum("videos_count").cast("long").alias("videos_count")))
 
 
@@ -98,14 +100,18 @@ def region_vs_rest(trend: DataFrame, focus: str) -> DataFrame:
     agg = trend.groupBy("category_title").agg(
         F.sum(F.when(in_focus, F.col("videos_count")).otherwise(0)).cast("long").alias("n_region"),
         F.sum(F.when(~in_focus, F.col("videos_count")).otherwise(0)).cast("long").alias("n_rest"))
-    w = Window.partitionBy()
-    out = (agg.withColumn("pct_region", F.round(F.try_divide(F.col("n_region") * 100.0,
-                                                             F.sum("n_region").over(w)), 6))
+    tot = agg.agg(F.sum("n_region").alias("_tr"), F.sum("n_rest").alias("_to"))
+    out = agg.crossJoin(F.broadcast(tot))  # one-row totals
+    out = (out.withColumn("pct_region", F.round(F.try_divide(F.col("n_region") * 100.0,
+                                                             F.col("_tr")), 6))
            .withColumn("pct_rest", F.round(F.try_divide(F.col("n_rest") * 100.0,
-                                                        F.sum("n_rest").over(w)), 6)))
+                                                        F.col("_to")), 6))
+           .drop("_tr", "_to"))
     out = out.withColumn("pct_diff", F.round(F.col("pct_region") - F.col("pct_rest"), 6))
-    return out.withColumn("rank_region", F.rank().over(
-        Window.orderBy(F.col("n_region").desc(), F.col("category_title"))))
+    # rank by count (desc), then name: names are unique, so rank = distributed row number
+    ranked = global_rank(out.withColumn("_neg", -F.col("n_region")), ["_neg", "category_title"],
+                         name="rank_region")
+    return ranked.select(*out.columns, F.col("rank_region").cast("int").alias("rank_region"))
 
 
 def top_categories(trend: DataFrame, k: int = 3, per_region: bool = True) -> DataFrame:
@@ -113,6 +119,11 @@ def top_categories(trend: DataFrame, k: int = 3, per_region: bool = True) -> Dat
     keys = ["region"] if per_region else []
     agg = (trend.groupBy(*keys, "category_title")
            .agg(F.sum("videos_count").cast("long").alias("videos_count")))
-    w = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy(
-        F.col("videos_count").desc(), F.col("category_title"))
+    if not keys:
+        # distributed top-k: each task keeps its best k, the driver merges k per task
+        top = agg.orderBy(F.col("videos_count").desc(), F.col("category_title")).limit(k)
+        return global_rank(top.withColumn("_neg", -F.col("videos_count")),
+                           ["_neg", "category_title"], name="pos").select(
+            "category_title", "videos_count", F.col("pos").cast("int").alias("pos"))
+    w = Window.partitionBy(*keys).orderBy(F.col("videos_count").desc(), F.col("category_title"))
     return agg.withColumn("pos", F.row_number().over(w)).where(F.col("pos") <= k)

@@ -91,3 +91,12 @@ def _region_vs_rest(spark, sf):
     "GROUP BY region, category_title) a) b WHERE pos <= 3", "trend"))
 def _top_categories(spark, sf):
     return d.top_categories(trend(spark, sf), 3)
+
+
+@q("top_categories_overall", with_views(
+    "SELECT category_title, videos_count, CAST(row_number() OVER (ORDER BY videos_count DESC, "
+    "category_title) AS INTEGER) AS pos FROM (SELECT category_title, CAST(sum(videos_count) AS "
+    "BIGINT) AS videos_count FROM trend GROUP BY category_title) a ORDER BY videos_count DESC, "
+    "category_title LIMIT 3", "trend"))
+def _top_categories_overall(spark, sf):
+    return d.top_categories(trend(spark, sf), 3, per_region=False)
