@@ -69,9 +69,10 @@ def levene(df: DataFrame, group: str, value: str, by: Sequence[str] = (),
     z = v.join(c, keys).select(*keys, F.abs(F.col("_x") - F.col("_c")).alias("_z"))
     g = z.groupBy(*keys).agg(F.count("_z").alias("_n"), F.avg("_z").alias("_zb"),
                              (F.var_pop("_z") * F.count("_z")).alias("_ss"))
-    w = Window.partitionBy(*by) if by else Window.partitionBy()
-    g = g.withColumn("_ntot", F.sum("_n").over(w)).withColumn(
-        "_zbar", F.sum(F.col("_n") * F.col("_zb")).over(w) / F.col("_ntot"))
+    # pooled mean of z per segment: a one-row table (broadcast) or a per-segment join
+    tot = g.groupBy(*by).agg(F.sum("_n").alias("_ntot"),
+                             (F.sum(F.col("_n") * F.col("_zb")) / F.sum("_n")).alias("_zbar"))
+    g = g.join(tot, by) if by else g.crossJoin(F.broadcast(tot))
     s = g.groupBy(*by).agg(
         F.count(F.lit(1)).alias("k"), F.first("_ntot").alias("n"),
         F.sum(F.col("_n") * (F.col("_zb") - F.col("_zbar")) ** 2).alias("_between"),
