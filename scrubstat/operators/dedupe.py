@@ -57,24 +57,31 @@ def salted_self_pairs(items: DataFrame, key: str = "gram", ident: str = "id",
             .select("a", "b").distinct())
 
 
-def _bigram_occurrences(keys: DataFrame, col: str = "key", ident: str = "id") -> DataFrame:
+def _blocked(gram: Column, block: str | None) -> Column:
+    """Prefix a join key with the block (e.g. the column name) so joins stay in a block."""
+    return F.concat(F.col(block), F.lit("\u0000"), gram) if block else gram
+
+
+def _bigram_occurrences(keys: DataFrame, col: str = "key", ident: str = "id",
+                        block: str | None = None) -> DataFrame:
     """(id, el) where el = bigram + '#' + its occurrence number within the string."""
     n = F.length(F.col(col))
     grams = F.when(n >= 2, F.transform(F.sequence(F.lit(1), n - 1),
                                        lambda i: F.substring(F.col(col), i, 2)))
-    pos = keys.select(ident, F.posexplode(grams).alias("_p", "_g"))
+    extra = [block] if block else []
+    pos = keys.select(ident, *extra, F.posexplode(grams).alias("_p", "_g"))
     w = Window.partitionBy(ident, "_g").orderBy("_p")
-    return pos.select(ident, F.concat(F.col("_g"), F.lit("#"),
-                                      F.row_number().over(w).cast("string")).alias("el"))
+    el = F.concat(F.col("_g"), F.lit("#"), F.row_number().over(w).cast("string"))
+    return pos.select(ident, _blocked(el, block).alias("el"))
 
 
-def prefix_candidates(keys: DataFrame, coef: float, col: str = "key", ident: str = "id"
-                      ) -> DataFrame:
+def prefix_candidates(keys: DataFrame, coef: float, col: str = "key", ident: str = "id",
+                      block: str | None = None) -> DataFrame:
     """Pairs (a < b) that may share at least ceil(L * coef - 1) bigram occurrences, where L is
     the longer length: each string keeps only its n - tau + 1 rarest elements (tau from its own
     length, a lower bound of the pair's), and strings meet on a shared kept element.
     Strings with tau <= 0 pair up through shared characters instead."""
-    occ = _bigram_occurrences(keys, col, ident)
+    occ = _bigram_occurrences(keys, col, ident, block)
     freq = occ.groupBy("el").agg(F.count(F.lit(1)).alias("_f"))
     lens = keys.select(ident, F.length(F.col(col)).alias("_L"))
     ranked = occ.join(freq, "el").join(lens, ident)
@@ -85,8 +92,10 @@ def prefix_candidates(keys: DataFrame, coef: float, col: str = "key", ident: str
             .where((tau <= 0) | (F.col("_r") <= keep)).select(ident, F.col("el").alias("gram")))
     pairs = salted_self_pairs(pref, "gram", ident)
     short_len = math.floor(1.0 / coef) if coef > 0 else 10 ** 9
+    extra = [block] if block else []
     short = keys.where(F.length(F.col(col)) <= short_len).select(
-        ident, F.explode(F.array_distinct(F.split(F.col(col), ""))).alias("gram"))
+        ident, *extra, F.explode(F.array_distinct(F.split(F.col(col), ""))).alias("gram"))
+    short = short.select(ident, _blocked(F.col("gram"), block).alias("gram"))
     return pairs.unionByName(salted_self_pairs(short, "gram", ident)).distinct()
 
 
@@ -155,20 +164,23 @@ def _prefix_elements(keys: DataFrame, coef: float, col: str = "key", ident: str
             .where((tau <= 0) | (F.col("_r") <= keep)).select(ident, F.col("el").alias("gram")))
 
 
-def containment_candidates(keys: DataFrame, col: str = "key", ident: str = "id") -> DataFrame:
+def containment_candidates(keys: DataFrame, col: str = "key", ident: str = "id",
+                           block: str | None = None) -> DataFrame:
     """Ordered pairs (inner, outer) where outer may contain inner: the inner string is indexed
     by its rarest bigram occurrence, the outer by all of its occurrences. Inner strings of one
     character are indexed by that character against every character of the outer."""
-    occ = _bigram_occurrences(keys, col, ident)
+    occ = _bigram_occurrences(keys, col, ident, block)
     freq = occ.groupBy("el").agg(F.count(F.lit(1)).alias("_f"))
     rarest = (occ.join(freq, "el").groupBy(ident)
               .agg(F.min_by("el", F.struct("_f", "el")).alias("gram")))
     outer = occ.select(F.col(ident).alias("outer"), F.col("el").alias("gram"))
     pairs = rarest.select(F.col(ident).alias("inner"), "gram").join(outer, "gram")
-    one = keys.where(F.length(F.col(col)) == 1).select(F.col(ident).alias("inner"),
-                                                       F.col(col).alias("gram"))
-    chars = keys.select(F.col(ident).alias("outer"),
+    extra = [block] if block else []
+    one = keys.where(F.length(F.col(col)) == 1).select(
+        F.col(ident).alias("inner"), _blocked(F.col(col), block).alias("gram"))
+    chars = keys.select(F.col(ident).alias("outer"), *extra,
                         F.explode(F.array_distinct(F.split(F.col(col), ""))).alias("gram"))
+    chars = chars.select("outer", _blocked(F.col("gram"), block).alias("gram"))
     pairs1 = one.join(chars, "gram")
     return (pairs.select("inner", "outer").unionByName(pairs1.select("inner", "outer"))
             .where(F.col("inner") != F.col("outer")).distinct())
@@ -284,45 +296,55 @@ def implicit_duplicates_token(df: DataFrame, include=None, exclude=None,
         raise ValueError("bigram blocking needs fuzzy_threshold > 0.75 for difflib")
     if scorer == "levenshtein" and fuzzy_threshold <= 0.5:
         raise ValueError("bigram blocking needs fuzzy_threshold > 0.5 for levenshtein")
-    out = None
-    for c in cols:
-        part = _token_dups_one(df, c, fuzzy_threshold, scorer)
-        out = part if out is None else out.unionByName(part)
-    if out is None:
+    if not cols:
         raise ValueError("no string column to scan")
-    return out
-
-
-def _token_dups_one(df: DataFrame, column: str, t: float, scorer: str) -> DataFrame:
-    vals = write_through(_distinct_values(df, column).withColumn("key", squash(F.col("value"))),
-                         "token-values")
-    ids = vals.select("id", "key")
+    return _token_dups(df, cols, fuzzy_threshold, scorer)
+
+
+def _token_dups(df: DataFrame, cols: Sequence[str], t: float, scorer: str) -> DataFrame:
+    """All columns in one pass: values are tagged with their column, and every join key
+    (token, bigram, character) carries the column name, so pairs never cross columns."""
+    parts = [df.select(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
+             for c in cols]
+    tagged = parts[0]
+    for p in parts[1:]:
+        tagged = tagged.unionByName(p)
+    vals = (tagged.where(F.col("value").isNotNull()).distinct()
+            .withColumn("id", F.concat(F.col("column_name"), F.lit("\u0000"), F.col("value")))
+            .withColumn("key", squash(F.col("value"))))
+    vals = write_through(vals, "token-values")
+    ids = vals.select("id", "key", "column_name")
+    blk = "column_name"
     # (b) tokens
-    toks = vals.select("id", F.explode(F.array_distinct(tokens(F.col("value")))).alias("gram"))
+    toks = vals.select("id", blk, F.explode(F.array_distinct(tokens(F.col("value"))))
+                       .alias("_t")).select("id", _blocked(F.col("_t"), blk).alias("gram"))
     tok_pairs = salted_self_pairs(toks, "gram", "id").withColumn("_tok", F.lit(True))
     # (a) containment (ordered) -> unordered pairs
-    cont = containment_candidates(ids.where(F.length("key") > 0))
+    nonempty = ids.where(F.length("key") > 0)
+    cont = containment_candidates(nonempty, block=blk)
     cont_pairs = cont.select(F.least("inner", "outer").alias("a"),
                              F.greatest("inner", "outer").alias("b")).distinct()
     # (c) similarity
     coef = (4 * t - 3) if scorer == "difflib" else (2 * t - 1)
-    sim_pairs = prefix_candidates(ids.where(F.length("key") > 0), coef)
+    sim_pairs = prefix_candidates(nonempty, coef, block=blk)
     cand = (tok_pairs.select("a", "b").unionByName(cont_pairs).unionByName(sim_pairs)
             .distinct().join(tok_pairs, ["a", "b"], "left"))
-    # empty squashed forms match everything (both directions): the output is |empties| x d by
-    # definition; the empties (punctuation-only values) are few and are broadcast
-    empties = ids.where(F.length("key") == 0).select(F.col("id").alias("e"))
-    empty_pairs = ids.select(F.col("id").alias("o")).join(F.broadcast(empties),
-                                                          F.col("e") != F.col("o"))
+    # empty squashed forms match everything in their column (both directions): the output is
+    # |empties| x d by definition; the empties (punctuation-only values) are few, broadcast
+    empties = ids.where(F.length("key") == 0).select(F.col("id").alias("e"),
+                                                     F.col(blk).alias("_eb"))
+    empty_pairs = ids.select(F.col("id").alias("o"), F.col(blk).alias("_ob")).join(
+        F.broadcast(empties), (F.col("_eb") == F.col("_ob")) & (F.col("e") != F.col("o")))
     ep = empty_pairs.select(F.least("e", "o").alias("a"), F.greatest("e", "o").alias("b"))
     cand = cand.unionByName(ep.withColumn("_tok", F.lit(None).cast("boolean"))) \
         .groupBy("a", "b").agg(F.max("_tok").alias("_tok"))
-    va = vals.select(F.col("id").alias("a"), F.col("value").alias("va"), F.col("key").alias("ka"))
+    va = vals.select(F.col("id").alias("a"), F.col("column_name"), F.col("value").alias("va"),
+                     F.col("key").alias("ka"))
     vb = vals.select(F.col("id").alias("b"), F.col("value").alias("vb"), F.col("key").alias("kb"))
     j = cand.join(va, "a").join(vb, "b")
-    both = j.select(F.col("va").alias("base"), F.col("vb").alias("other"),
+    both = j.select("column_name", F.col("va").alias("base"), F.col("vb").alias("other"),
                     F.col("ka").alias("kb_"), F.col("kb").alias("ko_"), "_tok").unionByName(
-        j.select(F.col("vb").alias("base"), F.col("va").alias("other"),
+        j.select("column_name", F.col("vb").alias("base"), F.col("va").alias("other"),
                  F.col("kb").alias("kb_"), F.col("ka").alias("ko_"), "_tok"))
     kb, ko = F.col("kb_"), F.col("ko_")
     contains = (F.instr(ko, kb) > 0) | (F.instr(kb, ko) > 0)
@@ -330,8 +352,7 @@ def _token_dups_one(df: DataFrame, column: str, t: float, scorer: str) -> DataFr
         fuzzy = difflib_ratio(kb, ko) >= t
     else:
         fuzzy = levenshtein_score(kb, ko) >= round(100.0 * t, 9)
-    scored = both.select(F.lit(column).alias("column_name"), "base", "other",
-                         contains.alias("by_containment"),
+    scored = both.select("column_name", "base", "other", contains.alias("by_containment"),
                          F.coalesce(F.col("_tok"), F.lit(False)).alias("by_token"),
                          F.coalesce(fuzzy, F.lit(False)).alias("by_fuzzy"))
     return scored.where(F.col("by_containment") | F.col("by_token") | F.col("by_fuzzy"))
