@@ -176,3 +176,23 @@ def _anderson_darling(spark, sf):
 @q("normality_summary")
 def _normality_summary(spark, sf):
     return st.normality_summary(table(spark, sf, "customer"), "c_acctbal")
+
+
+@q("ttest_by_segment",
+   "SELECT l_linestatus, CAST(n1 AS BIGINT) AS n1, CAST(n2 AS BIGINT) AS n2, round(mean1, 6) AS "
+   "mean1, round(mean2, 6) AS mean2, round(var1, 6) AS var1, round(var2, 6) AS var2, "
+   "round((mean1 - mean2) / sqrt(var1 / n1 + var2 / n2), 6) AS t, round((var1 / n1 + var2 / n2) * "
+   "(var1 / n1 + var2 / n2) / ((var1 / n1) * (var1 / n1) / (n1 - 1) + (var2 / n2) * (var2 / n2) / "
+   "(n2 - 1)), 6) AS df FROM (SELECT l_linestatus, count(CASE WHEN l_returnflag = 'A' THEN "
+   "l_extendedprice END) AS n1, count(CASE WHEN l_returnflag = 'N' THEN l_extendedprice END) AS n2, "
+   "avg(CASE WHEN l_returnflag = 'A' THEN l_extendedprice END) AS mean1, avg(CASE WHEN l_returnflag "
+   "= 'N' THEN l_extendedprice END) AS mean2, var_samp(CASE WHEN l_returnflag = 'A' THEN "
+   "l_extendedprice END) AS var1, var_samp(CASE WHEN l_returnflag = 'N' THEN l_extendedprice END) "
+   "AS var2 FROM lineitem WHERE l_returnflag IN ('A', 'N') GROUP BY l_linestatus) s "
+   "WHERE n1 > 1 AND n2 > 1")
+def _ttest_by_segment(spark, sf):
+    """Welch t-test of returnflag A against N within each line status (segments with two
+    non-trivial samples)."""
+    out = st.ttest(table(spark, sf, "lineitem"), "l_returnflag", "l_extendedprice", "A", "N",
+                   equal_var=False, by=["l_linestatus"])
+    return round_all(out.where((F.col("n1") > 1) & (F.col("n2") > 1)).drop("p_value"))

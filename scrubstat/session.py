@@ -35,6 +35,7 @@ def get_spark(master: str | None = None, app: str = "scrubstat",
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
@@ -77,3 +78,35 @@ def write_through(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, f"tables/{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make the package importable in Python workers (Arrow UDFs, mapInPandas).
+
+    The package is zipped once per application into the shared checkpoint folder and added
+    with `addPyFile`, exactly like `spark-submit --py-files`, so executors can import it
+    whatever their working directory or environment.
+    """
+    import uuid
+    import zipfile
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    target = scratch_path(spark, f"pkg-{uuid.uuid4().hex}")
+    os.makedirs(target, exist_ok=True)
+    zpath = os.path.join(target, "scrubstat.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as zf:
+        for dirpath, _dirs, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    zf.write(full, os.path.relpath(full, root))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(app)
