@@ -10,6 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import write_through
 from .rank import global_rank
 
 TREND_KEYS = ["region", "trending_date", "category_title"]
@@ -108,7 +109,9 @@ def region_vs_rest(trend: DataFrame, focus: str) -> DataFrame:
                                                         F.col("_to")), 6))
            .drop("_tr", "_to"))
     out = out.withColumn("pct_diff", F.round(F.col("pct_region") - F.col("pct_rest"), 6))
-    # rank by count (desc), then name: names are unique, so rank = distributed row number
+    # rank by count (desc), then name: names are unique, so rank = distributed row number.
+    # The per-category table is written once so the ranking's passes do not recompute it.
+    out = write_through(out, "region-vs-rest")
     ranked = global_rank(out.withColumn("_neg", -F.col("n_region")), ["_neg", "category_title"],
                          name="rank_region")
     return ranked.select(*out.columns, F.col("rank_region").cast("int").alias("rank_region"))
@@ -121,9 +124,9 @@ def top_categories(trend: DataFrame, k: int = 3, per_region: bool = True) -> Dat
            .agg(F.sum("videos_count").cast("long").alias("videos_count")))
     if not keys:
         # distributed top-k: each task keeps its best k, the driver merges k per task
-        top = agg.orderBy(F.col("videos_count").desc(), F.col("category_title")).limit(k)
-        return global_rank(top.withColumn("_neg", -F.col("videos_count")),
-                           ["_neg", "category_title"], name="pos").select(
-            "category_title", "videos_count", F.col("pos").cast("int").alias("pos"))
+        order = [F.col("videos_count").desc(), F.col("category_title")]
+        top = agg.orderBy(*order).limit(k)
+        # at most k rows remain, so numbering them in one window is bounded by k
+        return top.withColumn("pos", F.row_number().over(Window.orderBy(*order)))
     w = Window.partitionBy(*keys).orderBy(F.col("videos_count").desc(), F.col("category_title"))
     return agg.withColumn("pos", F.row_number().over(w)).where(F.col("pos") <= k)

@@ -52,7 +52,8 @@ def bin_counts(df: DataFrame, column: str, methods: Sequence[str] = BIN_METHODS)
 
 # --- H2 - H6 -------------------------------------------------------------------------------
 
-def with_bin(df: DataFrame, x: str, lo: str, hi: str, bins: int, out: str) -> DataFrame:
+def with_bin(df: DataFrame, x: str, lo: str, hi: str, bins: int, out: str,
+             null_safe: bool = False) -> DataFrame:
     """Add the bin of column x for `bins` equal bins over [lo, hi], last bin closed (numpy's rule).
 
     Edges are lo + i*(hi-lo)/bins; the first guess is corrected against its own edges as numpy
@@ -63,10 +64,15 @@ def with_bin(df: DataFrame, x: str, lo: str, hi: str, bins: int, out: str) -> Da
     step = (H - L) / bins
     edge = lambda i: F.when(i == bins, H).otherwise(L + i * step)
     g = F.col(out + "_g")
-    # `least` skips NULL arguments, so a missing value is guarded explicitly
-    df = df.withColumn(out + "_g", F.when(X.isNull(), F.lit(None).cast("int"))
-                       .when(H == L, F.lit(0)).otherwise(
-        F.least(F.floor((X - L) / step), F.lit(bins - 1)).cast("int")))
+    first = F.when(H == L, F.lit(0)).otherwise(
+        F.least(F.floor((X - L) / step), F.lit(bins - 1)).cast("int"))
+    if null_safe:
+        # `least` skips NULL arguments, so a missing value is guarded explicitly. Callers
+        # whose values are already non-null leave this off: a nullable bin would let the
+        # optimizer push an inferred IS NOT NULL (with the whole bin expression) into the
+        # join with the bounds row.
+        first = F.when(X.isNull(), F.lit(None).cast("int")).otherwise(first)
+    df = df.withColumn(out + "_g", first)
     df = df.withColumn(out + "_d", F.when((g > 0) & (X < edge(g)), g - 1).otherwise(g))
     d = F.col(out + "_d")
     df = df.withColumn(out, F.when((d < bins - 1) & (X >= edge(d + 1)), d + 1).otherwise(d))
@@ -280,7 +286,7 @@ def pair_bins(df: DataFrame, columns: Sequence[str] | None = None, bins: int = 2
                *[F.max(vals[c]).alias(f"hi{i}") for i, c in enumerate(cols)])
     j = df.select(*[vals[c].alias(f"v{i}") for i, c in enumerate(cols)]).crossJoin(F.broadcast(b))
     for k in range(len(cols)):  # one bin per column, shared by every pair it takes part in
-        j = with_bin(j, f"v{k}", f"lo{k}", f"hi{k}", bins, f"b{k}")
+        j = with_bin(j, f"v{k}", f"lo{k}", f"hi{k}", bins, f"b{k}", null_safe=True)
     entries = []
     for i, cy in enumerate(cols):
         for k, cx in enumerate(cols):

@@ -32,6 +32,13 @@ def _zip_rows(member: str | None, sep: str, encoding: str):
                     for m in chosen:
                         if m not in names:
                             raise KeyError(f"{m} not found in {path}")
+                        if m.lower().endswith(".xlsx"):
+                            rows = list(_sheet_rows(zf.read(m)))
+                            yield pd.DataFrame({"archive": [path] * len(rows),
+                                                "member": [m] * len(rows),
+                                                "row_no": [r for r, _ in rows],
+                                                "fields": [f for _, f in rows]})
+                            continue
                         if not m.lower().endswith(".csv"):
                             raise ValueError(f"unsupported member type: {m}")
                         text = io.TextIOWrapper(zf.open(m), encoding=encoding, newline="")
@@ -51,12 +58,25 @@ def _zip_rows(member: str | None, sep: str, encoding: str):
 
 def read_zip_rows(spark: SparkSession, glob: str, member: str | None = None, sep: str = ",",
                   encoding: str = "utf-8") -> DataFrame:
-    """Raw CSV rows of the members of every archive matching `glob` (quoted newlines kept)."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(glob)
+    """Raw rows of the members of every archive matching `glob`: CSV members (quoted
+    newlines kept) or `.xlsx` members (first sheet); other member types raise ValueError and
+    a missing member raises KeyError."""
+    files = _binary_files(spark, glob, "*.zip")
     return files.select("path", "content").mapInPandas(_zip_rows(member, sep, encoding),
                                                        ROW_SCHEMA)
 
 
+def _binary_files(spark: SparkSession, glob: str, pattern: str) -> DataFrame:
+    """The binaryFile source; a path that does not exist raises FileNotFoundError."""
+    from pyspark.errors import AnalysisException
+    try:
+        return spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(glob)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+            raise FileNotFoundError(glob) from e
+        raise
+
+
 def with_header(rows: DataFrame) -> DataFrame:
     """Name the fields by the header row (row 0) of the first archive; drop header rows.
     The header is one small row taken to the driver."""
@@ -134,7 +154,7 @@ def _xlsx_rows(sheet: int):
 def read_xlsx(spark: SparkSession, glob: str, sheet: int = 1) -> DataFrame:
     """One worksheet of every workbook matching `glob`, as text columns named by the header
     row. Parsed with the standard library (zip + XML) inside the tasks."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx").load(glob)
+    files = _binary_files(spark, glob, "*.xlsx")
     rows = files.select("path", "content").mapInPandas(_xlsx_rows(sheet), ROW_SCHEMA)
     return with_header(rows)
 

@@ -57,3 +57,13 @@ def test_enrich_fallback_and_order(spark):
     assert out.columns[-2:] == ["release_year", "release_year_int"]
     got = {r.name: r.release_year for r in out.collect()}
     assert got == {"super_game": "1999", "other": "unknown"}
+
+
+def test_zip_with_xlsx_member_and_missing_path(spark, tmp_path):
+    import zipfile
+    with zipfile.ZipFile(tmp_path / "c.zip", "w") as zf:
+        zf.writestr("book.xlsx", ar.xlsx_bytes(["a"], [["x"], ["y"]]))
+    rows = ar.read_zip_csv(spark, str(tmp_path), member="book.xlsx").collect()
+    assert sorted(r.a for r in rows) == ["x", "y"]
+    with pytest.raises(FileNotFoundError):
+        ar.read_zip_csv(spark, str(tmp_path / "nope"))
