@@ -330,11 +330,12 @@ def _token_dups(df: DataFrame, cols: Sequence[str], t: float, scorer: str) -> Da
     cand = (tok_pairs.select("a", "b").unionByName(cont_pairs).unionByName(sim_pairs)
             .distinct().join(tok_pairs, ["a", "b"], "left"))
     # empty squashed forms match everything in their column (both directions): the output is
-    # |empties| x d by definition; the empties (punctuation-only values) are few, broadcast
+    # |empties| x d by definition. An equi-join on the column name, so AQE broadcasts the
+    # empties only when their measured size is small and splits a skewed column otherwise.
     empties = ids.where(F.length("key") == 0).select(F.col("id").alias("e"),
                                                      F.col(blk).alias("_eb"))
     empty_pairs = ids.select(F.col("id").alias("o"), F.col(blk).alias("_ob")).join(
-        F.broadcast(empties), (F.col("_eb") == F.col("_ob")) & (F.col("e") != F.col("o")))
+        empties, (F.col("_eb") == F.col("_ob")) & (F.col("e") != F.col("o")))
     ep = empty_pairs.select(F.least("e", "o").alias("a"), F.greatest("e", "o").alias("b"))
     cand = cand.unionByName(ep.withColumn("_tok", F.lit(None).cast("boolean"))) \
         .groupBy("a", "b").agg(F.max("_tok").alias("_tok"))
