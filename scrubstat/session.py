@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import io
 import os
-import tempfile
+import re
+import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,10 +43,11 @@ def get_spark(master: str | None = None, app: str = "scrubstat",
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder used to cut lineage.
+    """The shared folder used to cut lineage, as a URI string.
 
-    On a cluster this is whatever `spark.checkpoint.dir` names (a shared file system). Only when
-    nothing is configured (tests, a laptop) do we pick a fresh scratch folder ourselves.
+    On a cluster this is whatever `spark.checkpoint.dir` names (a shared file system); without
+    that setting a cluster job raises. Only a single-JVM session (tests, a laptop) gets a scratch
+    folder below `spark.local.dir`.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -51,33 +55,45 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="scrubstat-ckpt-")
-    sc.setCheckpointDir(configured)
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        configured = join_uri(spark.conf.get("spark.local.dir", "/tmp"), "scrubstat-scratch")
+    sc.setCheckpointDir(configured)  # Spark adds a folder with a fresh name
     return sc.getCheckpointDir() or configured
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def join_uri(base: str, *parts: str) -> str:
+    """Path below a base folder, which may be a plain path or a URI of any store."""
+    return "/".join([base.rstrip("/"), *(p.strip("/") for p in parts)])
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A folder next to the checkpoint data, for intermediate tables written by operators."""
-    base = checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    return os.path.join(base, name)
+    """A folder next to the checkpoint data; Spark's file layer removes it when the job ends."""
+    path = join_uri(checkpoint_dir(spark), name)
+    fs, p = _hadoop(spark, path)
+    fs.deleteOnExit(p)
+    return path
+
+
+def _hadoop(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def drop_scratch(spark: SparkSession, *paths: str) -> None:
+    """Remove scratch tables that nothing reads any more (loops call it after each round)."""
+    for path in paths:
+        fs, p = _hadoop(spark, path)
+        fs.delete(p, True)
 
 
 def write_through(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage by writing a parquet table into the shared checkpoint folder and reading it
     back. Unlike `checkpoint()`, the re-read table carries its real size, so iterative jobs do
     not compound estimated join sizes from round to round."""
-    import uuid
     path = scratch_path(df.sparkSession, f"tables/{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 _SHIPPED: set[str] = set()
@@ -86,27 +102,29 @@ _SHIPPED: set[str] = set()
 def ship_package(spark: SparkSession) -> None:
     """Make the package importable in Python workers (Arrow UDFs, mapInPandas).
 
-    The package is zipped once per application into the shared checkpoint folder and added
-    with `addPyFile`, exactly like `spark-submit --py-files`, so executors can import it
-    whatever their working directory or environment.
+    The package is zipped once per application, written through Spark's file layer into the
+    shared folder (any store) and added with `addPyFile`, like `spark-submit --py-files`, so
+    executors can import it whatever their working directory or environment.
     """
-    import uuid
-    import zipfile
-
     sc = spark.sparkContext
     app = sc.applicationId
     if app in _SHIPPED:
         return
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
     root = os.path.dirname(pkg_dir)
-    target = scratch_path(spark, f"pkg-{uuid.uuid4().hex}")
-    os.makedirs(target, exist_ok=True)
-    zpath = os.path.join(target, "scrubstat.zip")
-    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as zf:
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
         for dirpath, _dirs, files in os.walk(pkg_dir):
             for f in files:
                 if f.endswith(".py"):
                     full = os.path.join(dirpath, f)
                     zf.write(full, os.path.relpath(full, root))
-    sc.addPyFile(zpath)
+    target = join_uri(scratch_path(spark, f"pkg-{uuid.uuid4().hex}"), "scrubstat.zip")
+    fs, p = _hadoop(spark, target)
+    out = fs.create(p, True)
+    try:
+        out.write(buf.getvalue())
+    finally:
+        out.close()
+    sc.addPyFile(target)
     _SHIPPED.add(app)
