@@ -52,14 +52,26 @@ def checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
-        return current
+        return _swept(spark, current)
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = join_uri(spark.conf.get("spark.local.dir", "/tmp"), "scrubstat-scratch")
     sc.setCheckpointDir(configured)  # Spark adds a folder with a fresh name
-    return sc.getCheckpointDir() or configured
+    return _swept(spark, sc.getCheckpointDir())
+
+
+_SWEPT: set[str] = set()
+
+
+def _swept(spark: SparkSession, base: str) -> str:
+    """Have Spark's file layer remove the application's own folder when the job ends."""
+    if base not in _SWEPT:
+        _SWEPT.add(base)
+        fs, p = _hadoop(spark, base)
+        fs.deleteOnExit(p)
+    return base
 
 
 def join_uri(base: str, *parts: str) -> str:
@@ -68,11 +80,8 @@ def join_uri(base: str, *parts: str) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A folder next to the checkpoint data; Spark's file layer removes it when the job ends."""
-    path = join_uri(checkpoint_dir(spark), name)
-    fs, p = _hadoop(spark, path)
-    fs.deleteOnExit(p)
-    return path
+    """A folder next to the checkpoint data, for intermediate tables written by operators."""
+    return join_uri(checkpoint_dir(spark), name)
 
 
 def _hadoop(spark: SparkSession, path: str):
