@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from ..plans.registry import make_registry
 from ..plans.tables import table
 from .packing import pack_documents
+from .secrets import BASE_RULES, find_secrets
+from .spans import kind_count, spans_text
 
 Q, q = make_registry()
 
@@ -16,3 +18,17 @@ def op1_packing(spark, sf_dir):
     p = pack_documents(table(spark, sf_dir, "documents"))
     return p.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
                     "sequence_id", "offset", "tier", "step_group")
+
+
+def _base(kinds):
+    names = [k for k, *_ in kinds]
+    return F.filter("spans", lambda s: s["kind"].isin(names))
+
+
+@q("op10_secret_scan")
+def op10_secret_scan(spark, sf_dir):
+    found = find_secrets(table(spark, sf_dir, "documents")).withColumn("base", _base(BASE_RULES))
+    return found.select("doc_id", *[kind_count(F.col("base"), k).alias(f"n_{k}")
+                                    for k in ("assign", "access", "hex")],
+                        F.sha2(spans_text(F.col("base")), 256).alias("base_sha256"),
+                        spans_text(F.col("spans")).alias("spans"))
