@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..plans.registry import make_registry
 from ..plans.tables import table
 from .packing import pack_documents
+from .pii import BASE_KINDS, find_pii
 from .secrets import BASE_RULES, find_secrets
 from .spans import kind_count, spans_text
 
@@ -32,3 +33,12 @@ def op10_secret_scan(spark, sf_dir):
                                     for k in ("assign", "access", "hex")],
                         F.sha2(spans_text(F.col("base")), 256).alias("base_sha256"),
                         spans_text(F.col("spans")).alias("spans"))
+
+
+@q("op3_pii")
+def op3_pii(spark, sf_dir):
+    found = find_pii(table(spark, sf_dir, "documents")).withColumn("base", _base(BASE_KINDS))
+    return found.select("doc_id", *[kind_count(F.col("base"), k).alias(f"n_{k}")
+                                    for k in ("email", "ip", "card", "phone")],
+                        F.sha2(spans_text(F.col("base")), 256).alias("base_sha256"),
+                        spans_text(F.col("spans")).alias("spans"))
