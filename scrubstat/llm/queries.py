@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..plans.registry import make_registry
 from ..plans.tables import table
+from .mixing import mix_plan
 from .packing import pack_documents
 from .pii import BASE_KINDS, find_pii
 from .secrets import BASE_RULES, find_secrets
@@ -42,3 +43,37 @@ def op3_pii(spark, sf_dir):
                                     for k in ("email", "ip", "card", "phone")],
                         F.sha2(spans_text(F.col("base")), 256).alias("base_sha256"),
                         spans_text(F.col("spans")).alias("spans"))
+
+
+OP8_SQL = r"""
+WITH items AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+    md5(concat(coalesce(doc_id::VARCHAR, 'null'), ':', coalesce(text, ''))) AS u
+  FROM documents),
+totals AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+    [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w
+  FROM items GROUP BY source),
+levels AS (
+  SELECT *, 3 * source_size AS cap, (3 * source_size) / w AS ratio,
+    (sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER lower, 0))::DOUBLE
+      / (sum(w) OVER () - coalesce(sum(w) OVER lower, 0))::DOUBLE AS level,
+    row_number() OVER (ORDER BY (3 * source_size) / w, source NULLS LAST) AS pos
+  FROM totals
+  WINDOW lower AS (ORDER BY (3 * source_size) / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+targets AS (
+  SELECT source, source_size, least(cap::DOUBLE, w * (SELECT arg_min(level, pos) FROM levels WHERE level <= ratio)) AS target
+  FROM levels),
+placed AS (
+  SELECT doc_id, size, source_size, target, round(target)::BIGINT AS lim,
+    (sum(size) OVER (PARTITION BY i.source ORDER BY u, doc_id, size ROWS UNBOUNDED PRECEDING))::BIGINT - size AS before
+  FROM items i JOIN targets t ON i.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target,
+  (greatest(0, least(size, lim - before)) + greatest(0, least(size, lim - source_size - before))
+   + greatest(0, least(size, lim - 2 * source_size - before)))::BIGINT AS taken
+FROM placed"""
+
+
+@q("op8_mixing", OP8_SQL)
+def op8_mixing(spark, sf_dir):
+    return mix_plan(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
