@@ -9,6 +9,7 @@ from ..plans.tables import table
 from .mixing import mix_plan
 from .packing import pack_documents
 from .pii import BASE_KINDS, find_pii
+from .quality import score_quality
 from .secrets import BASE_RULES, find_secrets
 from .spans import kind_count, spans_text
 
@@ -77,3 +78,15 @@ FROM placed"""
 @q("op8_mixing", OP8_SQL)
 def op8_mixing(spark, sf_dir):
     return mix_plan(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def quality_learn():
+    """Labels are learned only from rows whose crc32(doc_id as text) mod 3 is not 1."""
+    return F.crc32(F.col("doc_id").cast("string")) % 3 != 1
+
+
+@q("op9_quality")
+def op9_quality(spark, sf_dir):
+    out = score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), quality_learn())
+    return out.select("doc_id", (~quality_learn()).alias("held_out"), "score",
+                      (F.col("score") >= 0.5).cast("int").alias("predicted"))
