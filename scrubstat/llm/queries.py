@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..plans.registry import make_registry
 from ..plans.tables import table
+from .langid import identify
 from .mixing import mix_plan
 from .packing import pack_documents
 from .pii import BASE_KINDS, find_pii
@@ -88,5 +89,12 @@ def quality_learn():
 @q("op9_quality")
 def op9_quality(spark, sf_dir):
     out = score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), quality_learn())
-    return out.select("doc_id", (~quality_learn()).alias("held_out"), "score",
+    return out.select("doc_id", F.coalesce(~quality_learn(), F.lit(False)).alias("held_out"), "score",
                       (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@q("op4_language")
+def op4_language(spark, sf_dir):
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    out = identify(table(spark, sf_dir, "documents"), ~held_out)
+    return out.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score")
