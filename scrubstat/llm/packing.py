@@ -92,7 +92,8 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         raise ValueError("tiers must ascend and end at the window")
     kind = docs.schema[id_col].dataType.simpleString()
     buckets = max(1, -(-docs.count() // docs_per_bucket))
-    rows = docs.select(F.col(id_col).alias("doc_id"),
+    # pandas would turn whole numbers beside nulls into floats, so ids pass Python as text.
+    rows = docs.select(F.col(id_col).cast("string").alias("doc_id"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"),
                        F.pmod(F.xxhash64(id_col, text_col), F.lit(buckets)).alias("bucket"))
 
@@ -135,7 +136,7 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return pd.DataFrame(out, columns=["doc_id", "start", "length", "doc_tokens", "sequence_id",
                                           "offset", "tier", "step_group", "ids"])
 
-    coded = rows.mapInPandas(encode, f"doc_id {kind}, ids binary, bucket bigint")
+    coded = rows.mapInPandas(encode, "doc_id string, ids binary, bucket bigint")
     return coded.groupBy("bucket").applyInPandas(
-        pack, f"doc_id {kind}, start bigint, length bigint, doc_tokens bigint, sequence_id bigint,"
-              " offset bigint, tier int, step_group bigint, ids binary")
+        pack, "doc_id string, start bigint, length bigint, doc_tokens bigint, sequence_id bigint,"
+              " offset bigint, tier int, step_group bigint, ids binary").withColumn("doc_id", F.col("doc_id").cast(kind))

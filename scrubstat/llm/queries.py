@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..plans.registry import make_registry
 from ..plans.tables import table
+from .jaccard import jaccard_classes
 from .langid import identify
 from .mixing import mix_plan
 from .packing import pack_documents
@@ -98,3 +99,23 @@ def op4_language(spark, sf_dir):
     held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
     out = identify(table(spark, sf_dir, "documents"), ~held_out)
     return out.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+OP5_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (
+  SELECT doc_id, unnest(list_distinct(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+    ELSE [array_to_string(ws[i:i + 3], ' ') FOR i IN range(1, len(ws) - 2)] END)) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+reach AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(w.doc_id, min(reach.b)) AS component_id
+FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN reach ON reach.a = w.doc_id GROUP BY w.doc_id, n.n"""
+
+
+@q("op5_jaccard_join", OP5_SQL)
+def op5_jaccard_join(spark, sf_dir):
+    return jaccard_classes(table(spark, sf_dir, "documents"), n=4, percent=85)
