@@ -13,6 +13,7 @@ from .packing import pack_documents
 from .pii import BASE_KINDS, find_pii
 from .quality import score_quality
 from .secrets import BASE_RULES, find_secrets
+from .sketch import fingerprint, fingerprint_documents
 from .spans import kind_count, spans_text
 
 Q, q = make_registry()
@@ -119,3 +120,12 @@ FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN reach ON reach.a = w.doc_id
 @q("op5_jaccard_join", OP5_SQL)
 def op5_jaccard_join(spark, sf_dir):
     return jaccard_classes(table(spark, sf_dir, "documents"), n=4, percent=85)
+
+
+@q("op2_fingerprint")
+def op2_fingerprint(spark, sf_dir):
+    out = fingerprint_documents(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+                      fingerprint(F.col("sketch")).alias("fingerprint"),
+                      fingerprint(F.col("edited_sketch")).alias("edited_fingerprint"),
+                      "near_edited", "near_next", "contained_edited", "contained_next")
