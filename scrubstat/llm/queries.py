@@ -15,6 +15,7 @@ from .quality import score_quality
 from .secrets import BASE_RULES, find_secrets
 from .sketch import fingerprint, fingerprint_documents
 from .spans import kind_count, spans_text
+from .topk import top_k_search
 
 Q, q = make_registry()
 
@@ -129,3 +130,21 @@ def op2_fingerprint(spark, sf_dir):
                       fingerprint(F.col("sketch")).alias("fingerprint"),
                       fingerprint(F.col("edited_sketch")).alias("edited_fingerprint"),
                       "near_edited", "near_next", "contained_edited", "contained_next")
+
+
+OP6_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS query_id, b.vec_id, list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) WHERE a.vec_id % 20 = 0)
+SELECT query_id, (row_number() OVER w)::INTEGER AS rank, vec_id, score FROM s
+WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER w <= 20"""
+
+
+@q("op6_topk", OP6_SQL)
+def op6_topk(spark, sf_dir):
+    return top_k_search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
