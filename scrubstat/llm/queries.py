@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..plans.registry import make_registry
 from ..plans.tables import table
+from ..session import scratch_path
 from .jaccard import jaccard_classes
 from .langid import identify
 from .mixing import mix_plan
@@ -16,6 +19,7 @@ from .secrets import BASE_RULES, find_secrets
 from .sketch import fingerprint, fingerprint_documents
 from .spans import kind_count, spans_text
 from .topk import top_k_search
+from .warc import archive_round_trip
 
 Q, q = make_registry()
 
@@ -148,3 +152,21 @@ QUALIFY row_number() OVER w <= 20"""
 @q("op6_topk", OP6_SQL)
 def op6_topk(spark, sf_dir):
     return top_k_search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+OP7_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+f AS (SELECT h, min(page_id) AS first FROM p GROUP BY h)
+SELECT page_id, octet_length(encode(html))::BIGINT AS payload_bytes,
+  list_aggregate([list_aggregate([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+      ((('0x' || substr(p.h, 5 * g + 1, 5))::INTEGER >> (15 - 5 * k)) & 31) + 1, 1)
+    FOR k IN range(4)], 'string_agg', '') FOR g IN range(8)], 'string_agg', '') AS payload_digest,
+  CASE WHEN page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM p JOIN f USING (h)"""
+
+
+@q("op7_warc", OP7_SQL)
+def op7_warc(spark, sf_dir):
+    back = archive_round_trip(table(spark, sf_dir, "pages"), scratch_path(spark, f"warc-{uuid.uuid4().hex}"))
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
