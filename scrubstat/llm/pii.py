@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import write_through
-from .spans import quoted, regex_spans
+from .spans import no_spans, quoted, regex_spans
 
 _OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 _DIGITS = r"translate(x.m, ' -', '')"
@@ -50,6 +50,14 @@ MORE_KINDS = [
     ("name", r"(?<![A-Za-z])(?:Mr|Mrs|Ms|Dr)\.? [A-Z][a-z]{1,30}(?: [A-Z][a-z]{1,30})?(?![a-z])", "true"),
 ]
 KINDS = BASE_KINDS + MORE_KINDS
+# What any match of a kind holds; texts without it are not searched for the kind.
+NEEDS = {
+    "email": "contains({0}, '@')", "phone": "contains({0}, '+')", "ip": "{0} rlike '[0-9][.][0-9]'",
+    "card": "{0} rlike '[0-9][ -]?[0-9]'", "local_phone": "{0} rlike '[0-9][.-][0-9]{{4}}'",
+    "national_id": "{0} rlike '[0-9]-[0-9]{{2}}-[0-9]'", "iban": "{0} rlike '[A-Z]{{2}}[0-9]{{2}}'",
+    "masked_email": "(contains({0}, 'at)') or contains({0}, 'at]'))",
+    "name": "(contains({0}, 'Mr') or contains({0}, 'Ms') or contains({0}, 'Dr'))",
+}
 
 
 # Labelers: one SQL condition for a vote of 1 and one for -1, over a span `c`: its text
@@ -114,9 +122,9 @@ def _with_context(text: str) -> Column:
 
 def add_candidates(docs: DataFrame, text: str, out: str) -> DataFrame:
     """docs with a column `out`: the candidate spans of its column `text` (no nulls) with votes."""
-    base = F.concat(*[regex_spans(text, r, k, i, keep) for i, (k, r, keep) in enumerate(BASE_KINDS)])
-    more = F.concat(*[regex_spans(text, r, k, i + len(BASE_KINDS), keep)
-                      for i, (k, r, keep) in enumerate(MORE_KINDS)])
+    found = [F.when(F.expr(NEEDS[k].format(text)), regex_spans(text, r, k, i, keep)).otherwise(no_spans())
+             for i, (k, r, keep) in enumerate(KINDS)]
+    base, more = F.concat(*found[:len(BASE_KINDS)]), F.concat(*found[len(BASE_KINDS):])
     free = F.expr("filter(_more, m -> not exists(_base, b -> b.start < m.end and m.start < b.end))")
     votes = ", ".join(f"'v{i}', {_voted(lab)}" for i, lab in enumerate(LABELERS))
     around = "case when {0} = '' then 'edge' when {0} rlike '[a-z]' then 'letter' " \
