@@ -9,6 +9,8 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,7 +34,7 @@ def bin_counts(df: DataFrame, column: str, methods: Sequence[str] = BIN_METHODS)
     `auto` = max(sturges, fd). Raises on an unknown rule. Output: (method, bins)."""
     bad = [m for m in methods if m not in BIN_METHODS]
     if bad:
-        raise ValueError(f"Unknown method {bad}; choose from {BIN_METHODS}")
+        raise ValueError(f"no bin rule called {bad}; the rules are {BIN_METHODS}")
     v = _values(df, column)
     st = v.agg(F.count("_x").alias("n"), F.min("_x").alias("mn"), F.max("_x").alias("mx"))
     q = quantiles(v, "_x", [0.25, 0.75], names=["q25", "q75"])
@@ -75,17 +77,19 @@ def with_bin(df: DataFrame, x: str, lo: str, hi: str, bins: int, out: str,
     df = df.withColumn(out + "_g", first)
     df = df.withColumn(out + "_d", F.when((g > 0) & (X < edge(g)), g - 1).otherwise(g))
     d = F.col(out + "_d")
-    df = df.withColumn(out, F.when((d < bins - 1) & (X >= edge(d + 1)), d + 1).otherwise(d))
+    # a constant column has no width: all of it is in the first bin, without corrections
+    df = df.withColumn(out, F.when((H > L) & (d < bins - 1) & (X >= edge(d + 1)), d + 1).otherwise(d))
     return df.drop(out + "_g", out + "_d")
 
 
 def histogram(df: DataFrame, column: str, bins: int = 10, by: Sequence[str] = (),
-              shared_edges: bool = True, density: bool = False) -> DataFrame:
+              shared_edges: bool = True, density: bool = False, center: bool = False) -> DataFrame:
     """H2 / H4 / H5 / H6: equal-width histogram over [min, max], zero-filled.
 
     by + shared_edges -> stacked histogram by hue (one set of edges); by without shared edges ->
     one set of edges per group (overlapping histograms). density -> count / (n * width).
-    Output: (by..., bin, bin_left, bin_right, n[, density]).
+    center -> the mean and the median (per group where edges are per group), which a chart draws
+    as lines. Output: (by..., bin, bin_left, bin_right, n[, density][, mean, median]).
     """
     by = list(by)
     v = _values(df, column, by)
@@ -114,6 +118,13 @@ def histogram(df: DataFrame, column: str, bins: int = 10, by: Sequence[str] = ()
     if density:
         out = out.withColumn("density", F.try_divide(
             F.col("n"), F.col("_total") * (F.col("bin_right") - F.col("bin_left"))))
+    if center:
+        mean = v.groupBy(*edge_keys).agg(F.avg("_x").alias("mean"))
+        median = quantiles(v, "_x", [0.5], edge_keys, names=["median"])
+        if edge_keys:
+            out = out.join(mean, edge_keys).join(median, edge_keys)
+        else:
+            out = out.crossJoin(F.broadcast(mean)).crossJoin(F.broadcast(median))
     return out.drop("_total")
 
 
@@ -149,42 +160,41 @@ def arange_edges(start: float, stop: float, step: float) -> list[float]:
 # --- H7 ------------------------------------------------------------------------------------
 
 def kde_curve(df: DataFrame, column: str, points: int = 500, lo: float | None = None,
-              hi: float | None = None, scale_counts_width: float | None = None,
-              exact: bool | str = "auto", prebins: int = 4096,
-              max_exact_distinct: int = 200_000) -> DataFrame:
+              hi: float | None = None, scale_counts_width: float | None = None) -> DataFrame:
     """H7: Gaussian KDE (Scott bandwidth h = sd * n^(-1/5)) on an even grid of `points`.
 
-    Rows are collapsed to (value, weight) first; each distinct value meets the broadcast grid
-    (bounded by `points`). With many distinct values (`exact=False`, or 'auto' above
-    `max_exact_distinct`), values are pre-binned to `prebins` bins first, which bounds the
-    work at prebins x points. Output: (i, x, density).
+    Rows are collapsed to (value, weight). Each task adds its values' kernels up on the grid
+    (a kernel is 0 in double precision beyond 39 bandwidths, so only the grid points within are
+    touched), and the tasks' grids are summed: every value counts exactly, at any size.
+    Output: (i, x, density); empty for fewer than two rows or a constant column.
     """
     v = _values(df, column)
     st = v.agg(F.count("_x").alias("_n"), F.stddev_samp("_x").alias("_sd"),
-               F.min("_x").alias("_mn"), F.max("_x").alias("_mx"),
-               F.approx_count_distinct("_x").alias("_d")).first()
+               F.min("_x").alias("_mn"), F.max("_x").alias("_mx")).first()
     n, sd = st["_n"], st["_sd"]
     if not n or sd is None or sd == 0:
         return df.sparkSession.createDataFrame([], "i int, x double, density double")
     g_lo = st["_mn"] if lo is None else lo
     g_hi = st["_mx"] if hi is None else hi
     h = sd * n ** (-0.2)
-    use_bins = (exact is False) or (exact == "auto" and st["_d"] > max_exact_distinct)
-    if use_bins:
-        w = (st["_mx"] - st["_mn"]) / prebins or 1.0
-        pts = v.groupBy(F.least(F.floor((F.col("_x") - st["_mn"]) / w), F.lit(prebins - 1))
-                        .alias("_b")).agg(F.count(F.lit(1)).alias("_w"))
-        pts = pts.select((F.lit(st["_mn"]) + (F.col("_b") + 0.5) * w).alias("_v"), "_w")
-    else:
-        pts = v.groupBy(F.col("_x").alias("_v")).agg(F.count(F.lit(1)).alias("_w"))
     step = (g_hi - g_lo) / (points - 1) if points > 1 else 0.0
-    grid = df.sparkSession.range(points).select(
-        F.col("id").cast("int").alias("i"),
-        F.when(F.col("id") == points - 1, F.lit(float(g_hi)))
-        .otherwise(F.lit(float(g_lo)) + F.col("id") * step).alias("x"))
-    z = (F.col("x") - F.col("_v")) / h
-    dens = (pts.crossJoin(F.broadcast(grid))
-            .groupBy("i", "x").agg(F.sum(F.col("_w") * F.exp(-0.5 * z * z)).alias("_s")))
+    grid = [float(g_lo) + i * step for i in range(points - 1)] + [float(g_hi)]
+    pts = v.groupBy(F.col("_x").alias("_v")).agg(F.count(F.lit(1)).alias("_w"))
+
+    def kernels(frames):
+        g, total = np.array(grid), np.zeros(points)
+        for f in frames:
+            x, w = f["_v"].to_numpy(float), f["_w"].to_numpy(float)
+            order = np.argsort(x, kind="stable")
+            x, w = x[order], w[order]
+            for k in range(0, len(x), 2000):
+                xs, ws = x[k:k + 2000], w[k:k + 2000]
+                a, b = np.searchsorted(g, [xs[0] - 39 * h, xs[-1] + 39 * h])
+                z = (g[a:b, None] - xs[None, :]) / h
+                total[a:b] += np.exp(-0.5 * z * z) @ ws
+        yield pd.DataFrame({"i": np.arange(points, dtype=np.int32), "x": g, "_s": total})
+
+    dens = pts.mapInPandas(kernels, "i int, x double, _s double").groupBy("i", "x").agg(F.sum("_s").alias("_s"))
     out = dens.select("i", "x", (F.col("_s") / (n * h * math.sqrt(2 * math.pi))).alias("density"))
     if scale_counts_width:
         out = out.withColumn("density", F.col("density") * n * scale_counts_width)
@@ -212,10 +222,11 @@ def ecdf_markers(df: DataFrame, column: str, threshold: float | None = None) ->
 
 # --- H9 / H10 ------------------------------------------------------------------------------
 
-def dispersion_summary(df: DataFrame, column: str, bins_method: str = "fd") -> DataFrame:
+def dispersion_summary(df: DataFrame, column: str, bins_method: str = "fd",
+                       shapiro: bool = False) -> DataFrame:
     """H9 / H10 summary row: n, bins, mean, median, std, skew, kurt, sigma bands, 3 sigma
-    outlier count and the large-sample normality heuristic. Shapiro-Wilk (n <= 5000) is in
-    `stat_tests.shapiro_wilk`; the rug is `rug_points`; curves are `histogram` / `kde_curve`."""
+    outlier count and the large-sample normality heuristic; with `shapiro` (the H9 report) also
+    the Shapiro-Wilk p-value. The rug is `rug_points`; curves are `histogram` / `kde_curve`."""
     v = _values(df, column)
     agg = v.agg(F.count("_x").alias("n"), F.avg("_x").alias("mean"),
                 F.stddev_samp("_x").alias("std"), F.var_samp("_x").alias("_var"),
@@ -229,21 +240,23 @@ def dispersion_summary(df: DataFrame, column: str, bins_method: str = "fd") -> D
     out3 = v.crossJoin(F.broadcast(m.select("mean", "std"))).agg(
         F.count_if(F.abs(F.col("_x") - F.col("mean")) > 3 * F.col("std")).alias("n_outliers_3s"))
     out = out.crossJoin(out3)
+    extra = []
+    if shapiro:
+        from .stat_tests import shapiro_wilk
+        out = out.crossJoin(F.broadcast(shapiro_wilk(v, "_x").select(F.col("p_value").alias("shapiro_p"))))
+        extra = ["shapiro_p"]
     return out.select(
         "n", "bins", "mean", "median", "std", "skew", "kurt",
         *[(F.col("mean") - k * F.col("std")).alias(f"lower_{k}s") for k in (1, 2, 3)],
         *[(F.col("mean") + k * F.col("std")).alias(f"upper_{k}s") for k in (1, 2, 3)],
         "n_outliers_3s",
         ((F.abs("skew") < 0.5) & (F.abs("kurt") < 1)).alias("approx_normal"),
-        (F.col("n") <= 5000).alias("small_sample"))
+        (F.col("n") <= 5000).alias("small_sample"), *extra)
 
 
-def rug_points(df: DataFrame, column: str, max_n: int = 50_000) -> DataFrame:
-    """H10 rug: distinct values with counts, only when n <= max_n (empty otherwise)."""
-    v = _values(df, column)
-    n = v.agg(F.count("_x").alias("_n"))
-    return (v.crossJoin(F.broadcast(n)).where(F.col("_n") <= max_n)
-            .groupBy(F.col("_x").alias("value")).agg(F.count(F.lit(1)).alias("n")))
+def rug_points(df: DataFrame, column: str) -> DataFrame:
+    """H10 rug: every distinct value with its count."""
+    return _values(df, column).groupBy(F.col("_x").alias("value")).agg(F.count(F.lit(1)).alias("n"))
 
 
 # --- H11 - H13 -----------------------------------------------------------------------------
@@ -263,11 +276,12 @@ def scatter_bins(df: DataFrame, x: str, y: str, hue: str | None = None, bins: in
     return j.groupBy("bin_x", "bin_y", *keys).agg(F.count(F.lit(1)).alias("n"))
 
 
-def scatter_sample(df: DataFrame, key: str, fraction: float, seed: int = 42) -> DataFrame:
-    """Deterministic sample for drawing raw points: keep rows whose key hash falls in the
-    first `fraction` of the hash range (stable across runs and recomputation)."""
-    h = F.abs(F.xxhash64(F.col(key), F.lit(seed)) % 1_000_000)
-    return df.where(h < int(fraction * 1_000_000))
+def scatter_points(df: DataFrame, x: str, y: str, hue: str | None = None) -> DataFrame:
+    """H11 raw points: (x, y[, hue]) of every row that has both."""
+    xs = nan_to_null(F.col(x).cast("double"), T.DoubleType())
+    ys = nan_to_null(F.col(y).cast("double"), T.DoubleType())
+    keys = [F.col(hue)] if hue else []
+    return df.select(xs.alias("x"), ys.alias("y"), *keys).where("x is not null and y is not null")
 
 
 def pair_bins(df: DataFrame, columns: Sequence[str] | None = None, bins: int = 20,

@@ -11,6 +11,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from pyspark.sql import types as T
 
 from ..columns import nan_to_null
 from ..functions import special as sp
-from ..functions.special import log_norm_cdf, norm_cdf, norm_ppf, norm_tail
+from ..functions.special import log_norm_cdf, norm_ppf, norm_tail
 from .rank import exact_quantiles, ranked_counts
 
 # Conclusion texts and table labels of the normality summary.
@@ -77,7 +78,7 @@ def levene(df: DataFrame, group: str, value: str, by: Sequence[str] = (),
         F.count(F.lit(1)).alias("k"), F.first("_ntot").alias("n"),
         F.sum(F.col("_n") * (F.col("_zb") - F.col("_zbar")) ** 2).alias("_between"),
         F.sum("_ss").alias("_within"))
-    stat = ((F.col("n") - F.col("k")) / (F.col("k") - 1)) * F.try_divide(
+    stat = F.try_divide(F.col("n") - F.col("k"), F.col("k") - 1) * F.try_divide(
         F.col("_between"), F.col("_within"))
     out = s.select(*by, "k", F.col("n").cast("long").alias("n"), stat.alias("statistic"),
                    (F.col("k") - 1).cast("double").alias("df1"),
@@ -148,17 +149,23 @@ def ttest_decision(df: DataFrame, group: str, value: str, a, b, alpha: float = 0
 
 # --- T5 / T6 / T10 / T12 -------------------------------------------------------------------
 
+RUN = 10_000  # positions that one row may expand to
+
+
 def _positions(df: DataFrame, value: str) -> DataFrame:
     """Every non-null value with its 1-based position i in sorted order and n.
 
     Built from the collapsed (value, count) ranking: a run of equal values expands to its
-    consecutive positions.
+    consecutive positions. Runs are first cut into stretches of at most `RUN` positions, which are
+    dealt out anew, so a value that most rows hold expands in many tasks.
     """
     v = df.select(_val(df, value).alias("_x")).where(F.col("_x").isNotNull())
     rc = ranked_counts(v, "_x")
-    return rc.select(F.col("_x").alias("sample"), "n",
-                     F.explode(F.sequence(F.col("start") + 1, F.col("start") + F.col("cnt")))
-                     .alias("i"))
+    cut = rc.select(F.col("_x").alias("sample"), "n", (F.col("start") + F.col("cnt")).alias("_end"), F.explode(
+        F.sequence(F.col("start") + 1, F.col("start") + F.col("cnt"), F.lit(RUN).cast("long"))).alias("_from"))
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return cut.repartition(width, "_from").select("sample", "n", F.explode(F.sequence(
+        F.col("_from"), F.least(F.col("_end"), F.col("_from") + (RUN - 1)))).alias("i"))
 
 
 def filliben(i: Column, n: Column) -> Column:
@@ -190,50 +197,47 @@ def ppf(dist: str, p: Column, params: dict | None = None) -> Column:
 
 
 def _ppf_udf(dist: str, prm: dict):
-    """Arrow UDF inverting an incomplete-function CDF by bisection (gamma, chi2, beta, t)."""
+    """Arrow UDF inverting an incomplete-function CDF (gamma, chi2, beta, t), a batch at a time:
+    bisection over all probabilities of the batch at once."""
     if dist == "gamma":
         a = float(prm["a"])
-        cdf = lambda x: 1.0 - sp.gammainc_upper(a, x)
-        lo_hi = (0.0, None)
+        cdf, bounds = (lambda x: sp.gammainc_lower_array(a, x)), (0.0, None)
     elif dist == "chi2":
         k = float(prm["df"])
-        cdf = lambda x: 1.0 - sp.gammainc_upper(k / 2.0, x / 2.0)
-        lo_hi = (0.0, None)
+        cdf, bounds = (lambda x: sp.gammainc_lower_array(k / 2.0, x / 2.0)), (0.0, None)
     elif dist == "beta":
         a, b = float(prm["a"]), float(prm["b"])
-        cdf = lambda x: sp.betainc(a, b, x)
-        lo_hi = (0.0, 1.0)
+        cdf, bounds = (lambda x: sp.betainc_array(a, b, x)), (0.0, 1.0)
     else:
         nu = float(prm["df"])
 
         def cdf(x):
-            tail = 0.5 * sp.betainc(nu / 2.0, 0.5, nu / (nu + x * x))
-            return 1.0 - tail if x > 0 else tail
-        lo_hi = (None, None)
-
-    def invert(p: float) -> float:
-        if p is None or not (0.0 < p < 1.0):
-            return float("nan")
-        lo, hi = lo_hi
-        lo = -1.0 if lo is None else lo
-        hi = 1.0 if hi is None else hi
-        while lo_hi[0] is None and cdf(lo) > p:
-            lo *= 2.0
-        while lo_hi[1] is None and cdf(hi) < p:
-            hi *= 2.0
+            tail = 0.5 * sp.betainc_array(nu / 2.0, 0.5, nu / (nu + x * x))
+            return np.where(x > 0, 1.0 - tail, tail)
+        bounds = (None, None)
+
+    def invert(p: np.ndarray) -> np.ndarray:
+        lo = np.full(p.shape, -1.0 if bounds[0] is None else bounds[0])
+        hi = np.full(p.shape, 1.0 if bounds[1] is None else bounds[1])
+        while bounds[0] is None and (out := cdf(lo) > p).any():
+            lo[out] *= 2.0
+        while bounds[1] is None and (out := cdf(hi) < p).any():
+            hi[out] *= 2.0
         for _ in range(200):
             mid = 0.5 * (lo + hi)
-            if cdf(mid) < p:
-                lo = mid
-            else:
-                hi = mid
-            if hi - lo <= 1e-13 * max(1.0, abs(mid)):
+            below = cdf(mid) < p
+            lo, hi = np.where(below, mid, lo), np.where(below, hi, mid)
+            if (hi - lo <= 1e-13 * np.maximum(1.0, np.abs(mid))).all():
                 break
         return 0.5 * (lo + hi)
 
     @F.pandas_udf(T.DoubleType())
     def _inv(ps: pd.Series) -> pd.Series:
-        return pd.Series([invert(x) for x in ps])
+        p = ps.to_numpy(float)
+        out, good = np.full(len(p), np.nan), (p > 0) & (p < 1)
+        if good.any():
+            out[good] = invert(p[good])
+        return pd.Series(out)
 
     return _inv
 
@@ -285,30 +289,21 @@ _SW_LARGE_MEAN = [-1.5861, -0.31082, -0.083751, 0.0038915]
 _SW_LARGE_SD = [-0.4803, -0.082676, 0.0030302]
 
 
-def hash_sample(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
-    """Deterministic Bernoulli sample: keep rows whose whole-row hash falls in the first
-    `fraction` of the hash range (same rows on every run and after recomputation)."""
-    h = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns], F.lit(seed)), F.lit(1 << 30))
-    return df.where(h < int(fraction * (1 << 30)))
-
-
-def shapiro_wilk(df: DataFrame, value: str, max_n: int = 5000, sample_above: bool = False
-                 ) -> DataFrame:
-    """Shapiro-Wilk W and p (Royston 1995) for 3 <= n <= max_n.
+def shapiro_wilk(df: DataFrame, value: str, calibrated_n: int = 5000) -> DataFrame:
+    """Shapiro-Wilk W and p (Royston 1995) over all rows, at any n.
 
-    Above max_n the test raises, unless `sample_above`: then a deterministic hash sample of
-    about 0.9 * max_n rows is tested (the method is only calibrated up to max_n). Positions come
-    from the distributed ranking; weights, W and p are column expressions and aggregates over at
-    most max_n rows. Output: one row (n, n_total, statistic, p_value).
+    The approximation of p is calibrated up to n = 5,000; `calibrated` says whether n is within.
+    Positions come from the distributed ranking; weights, W and p are column expressions and
+    aggregates. Output: one row (n, statistic, p_value, calibrated); statistic and p are NULL for
+    n < 3 and for a constant column.
     """
     v = df.select(_val(df, value).alias("_x")).where(F.col("_x").isNotNull())
-    n_total = n = v.count()
-    if n > max_n and sample_above:
-        v = hash_sample(v, 0.9 * max_n / n)
-        df, value = v, "_x"
-        n = v.count()
-    if n < 3 or n > max_n:
-        raise ValueError(f"Shapiro-Wilk needs 3 <= n <= {max_n}, got n = {n}")
+    n = v.count()
+    if n < 3:
+        return df.sparkSession.range(1).select(
+            F.lit(n).cast("long").alias("n"), F.lit(None).cast("double").alias("statistic"),
+            F.lit(None).cast("double").alias("p_value"), F.lit(False).alias("calibrated"))
+    df, value = v, "_x"
     pos = _positions(df, value)
     nn = float(n)
     m = norm_ppf((F.col("i") - 0.375) / (nn + 0.25))
@@ -337,7 +332,9 @@ def shapiro_wilk(df: DataFrame, value: str, max_n: int = 5000, sample_above: boo
         a = F.when(i == 3, math.sqrt(0.5)).when(i == 1, -math.sqrt(0.5)).otherwise(0.0)
     s = j.agg(F.sum(a * F.col("sample")).alias("_ax"),
               F.sum((F.col("sample") - F.col("_mean")) ** 2).alias("_ss"))
-    w = F.least(F.lit(1.0), F.col("_ax") ** 2 / F.col("_ss"))
+    # `least` would skip a NULL W (constant column)
+    w = F.try_divide(F.col("_ax") ** 2, F.col("_ss"))
+    w = F.when(w > 1, F.lit(1.0)).otherwise(w)
     s = s.select(w.alias("statistic"))
     y = F.log1p(-F.col("statistic"))
     if n == 3:
@@ -354,8 +351,9 @@ def shapiro_wilk(df: DataFrame, value: str, max_n: int = 5000, sample_above: boo
         mu = sum(c * ln ** k for k, c in enumerate(_SW_LARGE_MEAN))
         sd = math.exp(sum(c * ln ** k for k, c in enumerate(_SW_LARGE_SD)))
         p = _upper((y - mu) / sd)
-    return s.select(F.lit(n).cast("long").alias("n"), F.lit(n_total).cast("long").alias("n_total"),
-                    "statistic", p.alias("p_value"))
+    return s.select(F.lit(n).cast("long").alias("n"), "statistic",
+                    F.when(F.col("statistic").isNotNull(), p).alias("p_value"),
+                    F.lit(n <= calibrated_n).alias("calibrated"))
 
 
 def _upper(z: Column) -> Column:
@@ -401,20 +399,22 @@ def anderson_darling(df: DataFrame, value: str) -> DataFrame:
 
     Works on the collapsed (value, count) ranking: for a run of equal values at positions
     s+1..s+c the weights (2i-1) and (2(n-i)+1) are summed in closed form, so n is unbounded.
-    Output: one row (n, statistic, critical_5pct, reject_h0).
+    Output: one row (n, statistic, critical_5pct, reject_h0), NULL for a constant column.
     """
     v = df.select(_val(df, value).alias("_x")).where(F.col("_x").isNotNull())
     st = v.agg(F.avg("_x").alias("_mu"), F.stddev_samp("_x").alias("_sd"))
     rc = ranked_counts(v, "_x").crossJoin(F.broadcast(st))
     s, c, n = F.col("start"), F.col("cnt"), F.col("n")
-    z = (F.col("_x") - F.col("_mu")) / F.col("_sd")
-    w_lo = (s + c) * (s + c) - s * s
-    w_hi = c * (2 * n + 1) - ((s + c) * (s + c + 1) - s * (s + 1))
+    z = F.try_divide(F.col("_x") - F.col("_mu"), F.col("_sd"))
+    # products of positions in double: they pass the range of a long near 3e9 rows
+    s, c, n = s.cast("double"), c.cast("double"), n.cast("double")
+    w_lo = c * (2 * s + c)
+    w_hi = c * (2 * n + 1) - c * (2 * s + c + 1)
     term = w_lo * log_norm_cdf(z) + w_hi * log_norm_cdf(-z)
     agg = rc.agg(F.sum(term).alias("_t"), F.max("n").cast("double").alias("_n"))
     nn = F.col("_n")
-    a2 = -nn - F.col("_t") / nn
-    crit = F.round(0.787 / (1 + 4 / nn - 25 / (nn * nn)), 3)
+    a2 = -nn - F.try_divide(F.col("_t"), nn)
+    crit = F.round(F.try_divide(F.lit(0.787), 1 + F.try_divide(F.lit(4.0), nn) - F.try_divide(F.lit(25.0), nn * nn)), 3)
     return agg.select(nn.cast("long").alias("n"), a2.alias("statistic"),
                       crit.alias("critical_5pct"), (a2 > crit).alias("reject_h0"))
 
@@ -422,33 +422,25 @@ def anderson_darling(df: DataFrame, value: str) -> DataFrame:
 # --- T11 -----------------------------------------------------------------------------------
 
 def normality_summary(df: DataFrame, value: str, alpha: float = 0.05) -> DataFrame:
-    """Shapiro-Wilk (only for n <= 5000), D'Agostino-Pearson and Anderson-Darling rows.
+    """Shapiro-Wilk, D'Agostino-Pearson and Anderson-Darling rows, always all three.
 
     Output: (test, statistic, p_value, critical_value, conclusion, recommended_for,
-    sensitive_to).
+    sensitive_to). A statistic that cannot be had (constant column, too few rows) is NULL, and so
+    is its conclusion.
     """
     spark = df.sparkSession
-    parts = []
-    v = df.select(_val(df, value).alias("_x")).where(F.col("_x").isNotNull())
-    n = v.count()
-    if 3 <= n <= 5000:
-        sw = shapiro_wilk(df, value).select(
-            F.lit(TEST_ROWS[0][0]).alias("test"), "statistic", "p_value",
-            F.lit(None).cast("double").alias("critical_value"),
-            F.when(F.col("p_value") < alpha, REJECT).otherwise(KEEP).alias("conclusion"))
-    else:
-        sw = spark.createDataFrame([(TEST_ROWS[0][0], None, None, None, "not computed (n > 5000)")],
-                                   "test string, statistic double, p_value double, "
-                                   "critical_value double, conclusion string")
-    parts.append(sw)
+    verdict = lambda rejects: F.when(rejects, REJECT).when(~rejects, KEEP).alias("conclusion")
+    parts = [shapiro_wilk(df, value).select(
+        F.lit(TEST_ROWS[0][0]).alias("test"), "statistic", "p_value",
+        F.lit(None).cast("double").alias("critical_value"), verdict(F.col("p_value") < alpha))]
     parts.append(dagostino_pearson(df, value).select(
         F.lit(TEST_ROWS[1][0]).alias("test"), "statistic", "p_value",
         F.lit(None).cast("double").alias("critical_value"),
-        F.when(F.col("p_value") < alpha, REJECT).otherwise(KEEP).alias("conclusion")))
+        verdict(F.col("p_value") < alpha)))
     parts.append(anderson_darling(df, value).select(
         F.lit(TEST_ROWS[2][0]).alias("test"), "statistic",
         F.lit(None).cast("double").alias("p_value"), F.col("critical_5pct").alias("critical_value"),
-        F.when(F.col("reject_h0"), REJECT).otherwise(KEEP).alias("conclusion")))
+        verdict(F.col("reject_h0"))))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..columns import round_all
+from ..functions import special as sp
 from ..operators import stat_tests as st
 from .registry import make_registry
 from .tables import table, view, with_views
@@ -12,6 +13,39 @@ from .tables import table, view, with_views
 Q, q = make_registry()
 
 
+# --- SQL forms of published algorithms, written from their definitions -------------------------
+
+def _horner(coefs, x: str) -> str:
+    out = f"({coefs[-1]!r}::DOUBLE)"
+    for c in reversed(coefs[:-1]):
+        out = f"({out} * {x} + {c!r})"
+    return out
+
+
+def _ppf_sql(p: str) -> str:
+    """Inverse normal CDF (AS 241) in SQL."""
+    q = f"(({p}) - 0.5)"
+    centre = f"{q} * {_horner(sp._A, f'(0.180625 - {q} * {q})')} / {_horner(sp._B, f'(0.180625 - {q} * {q})')}"
+    r = f"sqrt(-ln(least({p}, 1 - ({p}))))"
+    mid = f"{_horner(sp._C, f'({r} - 1.6)')} / {_horner(sp._D, f'({r} - 1.6)')}"
+    far = f"{_horner(sp._E, f'({r} - 5.0)')} / {_horner(sp._F, f'({r} - 5.0)')}"
+    return (f"(CASE WHEN abs({q}) <= 0.425 THEN {centre} ELSE sign({q}) * "
+            f"(CASE WHEN {r} <= 5 THEN {mid} ELSE {far} END) END)")
+
+
+def _log_cdf_sql(z: str) -> str:
+    """ln of the normal CDF, from the tail approximation of Hart as published by West (|z| < 7.07; the
+    continued fraction beyond)."""
+    a = f"abs({z})"
+    near = f"{_horner(sp._HART_NUM, a)} / {_horner(sp._HART_DEN, a)}"
+    frac = f"({a} + 0.65)"
+    for k in (4, 3, 2, 1):
+        frac = f"({a} + {k} / {frac})"
+    tail = (f"(exp(-{a} * {a} / 2) * (CASE WHEN {a} < 7.07106781186547 THEN {near} "
+            f"ELSE 1 / ({frac} * 2.506628274631) END))")
+    return f"(CASE WHEN {z} > 0 THEN ln(1 - {tail}) ELSE ln({tail}) END)"
+
+
 @q("levene_stat", with_views(
     "WITH med AS (SELECT grp, quantile_cont(val, 0.5) AS m FROM spans WHERE val IS NOT NULL "
     "GROUP BY grp), z AS (SELECT grp, abs(val - m) AS z FROM spans JOIN med USING (grp) WHERE val "
@@ -63,11 +97,20 @@ def _ttest_decision(spark, sf):
     return st.ttest_decision(view(spark, sf, "spans"), "grp", "val", "BUILDING", "MACHINERY")
 
 
-@q("levene_by_segment")
+@q("levene_by_segment",
+   "WITH med AS (SELECT l_linestatus, l_returnflag, quantile_cont(l_extendedprice, 0.5) AS m FROM lineitem WHERE "
+   "l_extendedprice IS NOT NULL GROUP BY ALL), z AS (SELECT l_linestatus, l_returnflag, abs(l_extendedprice - m) AS z "
+   "FROM lineitem JOIN med USING (l_linestatus, l_returnflag) WHERE l_extendedprice IS NOT NULL), g AS (SELECT l_linestatus, "
+   "l_returnflag, count(z) AS n, avg(z) AS zb, var_pop(z) * count(z) AS ss FROM z GROUP BY ALL), t AS (SELECT l_linestatus, "
+   "sum(n) AS nn, count(*) AS k, sum(n * zb) / sum(n) AS zbar FROM g GROUP BY ALL) SELECT l_linestatus, "
+   "CAST(t.k AS BIGINT) AS k, CAST(t.nn AS BIGINT) AS n, round(((t.nn - t.k) / nullif(t.k - 1, 0)) * sum(g.n * (g.zb - t.zbar) * "
+   "(g.zb - t.zbar)) / nullif(sum(g.ss), 0), 6) AS statistic, CAST(t.k - 1 AS DOUBLE) AS df1, CAST(t.nn - t.k AS DOUBLE) AS df2 "
+   "FROM g JOIN t USING (l_linestatus) GROUP BY l_linestatus, t.k, t.nn, t.zbar")
 def _levene_by_segment(spark, sf):
-    """Per-segment Levene: returnflag groups of extendedprice within each line status."""
-    return st.levene(table(spark, sf, "lineitem"), "l_returnflag", "l_extendedprice",
-                     by=["l_linestatus"])
+    """Per-segment Levene: returnflag groups of extendedprice within each line status. The p-value is
+    checked in pytest against published tails."""
+    out = st.levene(table(spark, sf, "lineitem"), "l_returnflag", "l_extendedprice", by=["l_linestatus"])
+    return round_all(out.drop("p_value"))
 
 
 _EV = "SELECT value AS x FROM events WHERE value IS NOT NULL AND NOT isnan(value)"
@@ -83,9 +126,17 @@ def _qq_positions(spark, sf):
     return out.withColumn("p", F.round("p", 12))
 
 
-@q("qq_points")
+def _qq_sql(theoretical: str, src: str = _POS, values: str = _EV) -> str:
+    return (f"WITH b AS (SELECT quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.75) AS q3 FROM ({values}) e), "
+            f"f AS (SELECT i, sample, {_FILL} AS p FROM ({src}) t) SELECT CAST(i AS BIGINT) AS i, "
+            f"round({theoretical}, 7) AS theoretical, sample, sample < q1 - 1.5 * (q3 - q1) OR "
+            f"sample > q3 + 1.5 * (q3 - q1) AS is_outlier FROM f, b")
+
+
+@q("qq_points", _qq_sql(_ppf_sql("p")))
 def _qq_points(spark, sf):
-    return st.qq_points(table(spark, sf, "events"), "value")
+    out = st.qq_points(table(spark, sf, "events"), "value")
+    return out.withColumn("theoretical", F.round("theoretical", 7))
 
 
 @q("qq_points_expon",
@@ -117,9 +168,10 @@ def _qq_points_weibull(spark, sf):
     return out.withColumn("theoretical", F.round("theoretical", 9))
 
 
-@q("qq_points_lognorm")
+@q("qq_points_lognorm", _qq_sql(f"20.0 * exp({_ppf_sql('p')})"))
 def _qq_points_lognorm(spark, sf):
-    return st.qq_points(table(spark, sf, "events"), "value", "lognorm", {"s": 1.0, "scale": 20.0})
+    out = st.qq_points(table(spark, sf, "events"), "value", "lognorm", {"s": 1.0, "scale": 20.0})
+    return out.withColumn("theoretical", F.round("theoretical", 7))
 
 
 @q("qq_points_gamma")
@@ -127,14 +179,52 @@ def _qq_points_gamma(spark, sf):
     return st.qq_points(table(spark, sf, "customer"), "c_acctbal", "gamma", {"a": 2.0})
 
 
-@q("qq_fit")
+@q("qq_points_beta")
+def _qq_points_beta(spark, sf):
+    return st.qq_points(table(spark, sf, "customer"), "c_acctbal", "beta", {"a": 2.0, "b": 3.0})
+
+
+@q("qq_points_chi2")
+def _qq_points_chi2(spark, sf):
+    return st.qq_points(table(spark, sf, "customer"), "c_acctbal", "chi2", {"df": 4.0})
+
+
+@q("qq_points_t")
+def _qq_points_t(spark, sf):
+    return st.qq_points(table(spark, sf, "customer"), "c_acctbal", "t", {"df": 5.0})
+
+
+@q("qq_fit", f"WITH pts AS (SELECT {_ppf_sql('p')} AS x, sample AS y FROM (SELECT sample, {_FILL} AS p FROM ({_POS}) t) f) "
+             "SELECT round(regr_slope(y, x), 6) AS slope, round(regr_intercept(y, x), 6) AS intercept, "
+             "round(corr(y, x), 9) AS r FROM pts")
 def _qq_fit(spark, sf):
-    return st.qq_fit(st.qq_points(table(spark, sf, "events"), "value"))
+    out = st.qq_fit(st.qq_points(table(spark, sf, "events"), "value"))
+    return out.select(F.round("slope", 6).alias("slope"), F.round("intercept", 6).alias("intercept"), F.round("r", 9).alias("r"))
+
+
+_BAL = "SELECT c_acctbal AS x FROM customer WHERE c_acctbal IS NOT NULL"
+
+
+def _shapiro_sql(src: str) -> str:
+    """W by Royston's weights, for n > 5."""
+    poly = lambda c: _horner(c, "u")
+    return (
+        f"WITH o AS (SELECT x, row_number() OVER (ORDER BY x) AS i, count(*) OVER () AS n FROM ({src}) s), "
+        f"m AS (SELECT x, i, n, {_ppf_sql('(i - 0.375) / (n + 0.25)')} AS m FROM o), "
+        "t AS (SELECT n, 1 / sqrt(n) AS u, sum(m * m) AS mm, max(CASE WHEN i = n THEN m END) AS mn, "
+        "max(CASE WHEN i = n - 1 THEN m END) AS mn1, avg(x) AS mu FROM m GROUP BY n), "
+        f"w AS (SELECT *, mn / sqrt(mm) + {poly(st._SW_C1)} AS an, mn1 / sqrt(mm) + {poly(st._SW_C2)} AS an1 FROM t), "
+        "f AS (SELECT *, sqrt((mm - 2 * mn * mn - 2 * mn1 * mn1) / (1 - 2 * an * an - 2 * an1 * an1)) AS phi FROM w) "
+        "SELECT CAST(f.n AS BIGINT) AS n, round(power(sum(x * (CASE WHEN i = f.n THEN an WHEN i = 1 THEN -an "
+        "WHEN i = f.n - 1 THEN an1 WHEN i = 2 THEN -an1 ELSE m / phi END)), 2) / sum((x - mu) * (x - mu)), 8) AS statistic, "
+        "f.n <= 5000 AS calibrated FROM m, f GROUP BY f.n")
 
 
-@q("shapiro")
+@q("shapiro", _shapiro_sql(_BAL))
 def _shapiro(spark, sf):
-    return st.shapiro_wilk(table(spark, sf, "customer"), "c_acctbal", sample_above=True)
+    """W over all rows; the p-value is checked in pytest against published values."""
+    out = st.shapiro_wilk(table(spark, sf, "customer"), "c_acctbal")
+    return out.select("n", F.round("statistic", 8).alias("statistic"), "calibrated")
 
 
 def _dagostino_sql() -> str:
@@ -168,9 +258,15 @@ def _dagostino(spark, sf):
     return round_all(out, skip=["p_value"]).withColumn("p_value", F.round("p_value", 9))
 
 
-@q("anderson_darling")
+@q("anderson_darling",
+   f"WITH s AS (SELECT avg(x) AS mu, stddev_samp(x) AS sd FROM ({_EV}) e), z AS (SELECT (x - mu) / sd AS z, "
+   f"row_number() OVER (ORDER BY x) AS i, count(*) OVER () AS n FROM ({_EV}) e, s), a AS (SELECT n, -n - sum((2 * i - 1) * "
+   f"{_log_cdf_sql('z')} + (2 * (n - i) + 1) * {_log_cdf_sql('(-z)')}) / n AS a2, "
+   "round(0.787 / (1 + 4 / n - 25 / (n * n)), 3) AS crit FROM z GROUP BY n) SELECT CAST(n AS BIGINT) AS n, "
+   "round(a2, 5) AS statistic, crit AS critical_5pct, a2 > crit AS reject_h0 FROM a")
 def _anderson_darling(spark, sf):
-    return st.anderson_darling(table(spark, sf, "events"), "value")
+    out = st.anderson_darling(table(spark, sf, "events"), "value")
+    return out.withColumn("statistic", F.round("statistic", 5))
 
 
 @q("normality_summary")

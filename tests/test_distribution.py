@@ -58,9 +58,31 @@ def test_kde_integrates_to_one_and_matches_formula(data):
     h = x.std(ddof=1) * len(x) ** -0.2
     want = np.exp(-0.5 * ((g[100] - x) / h) ** 2).sum() / (len(x) * h * np.sqrt(2 * np.pi))
     assert f[100] == pytest.approx(want, rel=1e-9)
-    approx = d.kde_curve(df, "x", 400, lo=float(x.min()) - 40, hi=float(x.max()) + 40,
-                         exact=False).orderBy("i").collect()
-    assert approx[100].density == pytest.approx(f[100], rel=1e-3)
+
+
+def test_kde_is_exact_for_many_distinct_values(spark):
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=30_000)
+    df = spark.createDataFrame([(float(v),) for v in x], "x double").repartition(6)
+    rows = d.kde_curve(df, "x", 50).orderBy("i").collect()
+    h = x.std(ddof=1) * len(x) ** -0.2
+    for r in rows[::7]:
+        want = np.exp(-0.5 * ((r.x - x) / h) ** 2).sum() / (len(x) * h * np.sqrt(2 * np.pi))
+        assert r.density == pytest.approx(want, rel=1e-9)
+
+
+def test_constant_column_is_in_the_first_bin(spark):
+    df = spark.createDataFrame([(5.0,)] * 100, "x double")
+    assert [r.n for r in d.histogram(df, "x", 4).orderBy("bin").collect()] == [100, 0, 0, 0]
+    assert d.kde_curve(df, "x", 4).count() == 0
+
+
+def test_histogram_centre_and_all_points(data):
+    x, df = data
+    r = d.histogram(df, "x", 5, center=True).first()
+    assert r.mean == pytest.approx(x.mean()) and r.median == pytest.approx(np.median(x))
+    assert sum(r.n for r in d.rug_points(df, "x").collect()) == len(x)
+    assert d.scatter_points(df, "x", "x").count() == len(x)
 
 
 def test_pair_bins_counts(spark):

@@ -43,10 +43,50 @@ def test_anderson_ties_equal_pairwise(spark):
     assert r.statistic == pytest.approx(a2, rel=1e-9)
 
 
-def test_shapiro_bounds(spark):
-    df = spark.createDataFrame([(1.0,), (2.0,)], "x double")
-    with pytest.raises(ValueError):
-        st.shapiro_wilk(df, "x")
+def test_shapiro_without_an_answer(spark):
+    few = st.shapiro_wilk(spark.createDataFrame([(1.0,), (2.0,)], "x double"), "x").first()
+    flat = st.shapiro_wilk(spark.createDataFrame([(1.0,)] * 30, "x double"), "x").first()
+    assert (few.n, few.statistic, few.p_value) == (2, None, None) and (flat.n, flat.statistic, flat.p_value) == (30, None, None)
+    ad = st.anderson_darling(spark.createDataFrame([(1.0,)] * 30, "x double"), "x").first()
+    assert ad.n == 30 and ad.statistic is None
+
+
+def test_shapiro_and_summary_on_both_sides_of_5000(spark):
+    rng = np.random.default_rng(2)
+    for n in (4_999, 5_001):
+        df = spark.createDataFrame([(float(v),) for v in rng.normal(size=n)], "x double")
+        r = st.shapiro_wilk(df, "x").first()
+        assert r.n == n and r.calibrated == (n <= 5000) and r.statistic > 0.99 and r.p_value > 1e-4
+        rows = st.normality_summary(df, "x").collect()
+        assert len(rows) == 3 and all(x.statistic is not None and x.conclusion for x in rows)
+
+
+def test_positions_of_a_hot_value(spark):
+    df = spark.range(90_000).selectExpr("cast(if(id % 3 = 0, 7, id) as double) as x")
+    pos = st._positions(df, "x")
+    r = pos.selectExpr("count(*)", "count(distinct i)", "min(i)", "max(i)").first()
+    assert tuple(r) == (90_000, 90_000, 1, 90_000)
+    assert pos.where("sample = 7").count() == 30_001  # 7 itself too
+    assert pos.where("sample = 7").selectExpr("max(i) - min(i)").first()[0] == 30_000
+
+
+def test_array_tails_equal_scalar_ones():
+    x = np.array([0.0, 0.1, 0.9, 1.0, 2.5, 7.0, 30.0])
+    for a in (0.5, 1.0, 2.0, 9.5):
+        assert sp.gammainc_lower_array(a, x) == pytest.approx([1 - sp.gammainc_upper(a, v) for v in x], abs=1e-13)
+    y = np.array([0.0, 0.01, 0.3, 0.5, 0.77, 0.999, 1.0])
+    for a, b in ((0.5, 0.5), (2.0, 3.0), (2.5, 0.5), (30.0, 4.0)):
+        assert sp.betainc_array(a, b, y) == pytest.approx([sp.betainc(a, b, v) for v in y], abs=1e-13)
+
+
+def test_published_quantiles_of_the_families(spark):
+    df = spark.createDataFrame([(0.95,), (0.5,)], "p double")
+    want = {("chi2", 4.0): (9.487729036781154, 3.3566939800333233), ("t", 5.0): (2.015048372669157, 0.0),
+            ("gamma", 2.0): (4.743864518390577, 1.6783469900166608), ("beta", 2.0): (0.75139546, 0.38572757)}
+    for (dist, a), qs in want.items():
+        prm = {"df": a} if dist in ("chi2", "t") else {"a": a, "b": 3.0}
+        got = [r.v for r in df.select(st.ppf(dist, df["p"], prm).alias("v")).collect()]
+        assert got == pytest.approx(list(qs), abs=1e-7)
 
 
 def test_t_and_levene(spark):
