@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from itertools import groupby
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -107,8 +108,7 @@ def py_fold(s: str) -> str:
 
 
 def normalize_header(name: str) -> str:
-    """P3 rule for one header: like C10 but a trailing `_` is kept."""
-    t = py_fold(name).lower().strip()
-    t = re.sub(r"[^\w\s]", " ", t)
-    t = _PY_WS.sub("_", t)
-    return re.sub(r"__+", "_", t)
+    """P3 rule for one header: ASCII letters and digits in lower case, every run of anything else one `_`
+    (white space at the ends is dropped, other marks there leave a `_`)."""
+    folded = py_fold(name).lower().strip()
+    return "".join("".join(run) if wanted else "_" for wanted, run in groupby(folded, str.isalnum))

@@ -128,6 +128,7 @@ def fill_missing(df: DataFrame, spec: Mapping[str, object], by: Iterable[str] |
                  ) -> DataFrame:
     """Fill NULL / NaN per column with a constant or 'mean' | 'median' | 'mode'.
 
+    An integer column filled with its mean or median becomes double, as the statistic may have a fraction.
     Statistics are aggregates (per `by` group when given) joined back once: a one-row table is
     broadcast; a per-group table is joined on the group keys (AQE broadcasts it when small).
     """
@@ -157,7 +158,8 @@ def fill_missing(df: DataFrame, spec: Mapping[str, object], by: Iterable[str] |
         if c in consts:
             sel.append(F.coalesce(col, F.lit(consts[c]).cast(dtype(df, c))).alias(c))
         elif c in spec:
-            sel.append(F.coalesce(col, F.col(f"_fill_{c}").cast(dtype(df, c))).alias(c))
+            kind = "double" if is_integral(dtype(df, c)) and spec[c] != "mode" else dtype(df, c)
+            sel.append(F.coalesce(col.cast(kind), F.col(f"_fill_{c}").cast(kind)).alias(c))
         else:
             sel.append(F.col(c))
     return out.select(*sel)
@@ -233,7 +235,3 @@ def normalize_headers(df: DataFrame) -> DataFrame:
     if len(set(new)) != len(new):
         raise ValueError(f"normalised headers collide: {new}")
     return df.toDF(*new)
-
-
-def quote(name: str) -> str:
-    return sql_ident(name)

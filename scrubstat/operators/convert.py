@@ -38,6 +38,7 @@ def convert_to_numeric(df: DataFrame, mode: str | None = None, include=None, exc
     mode 'integer' / 'Int64': long when every non-null value is a whole number, else the column
     is left unchanged (see `numeric_failures` for the report).
     mode None (auto): long when every non-null value is a whole number, else double.
+    Whole numbers beyond the range of a long count as not whole: double, or unchanged.
     Integer and auto modes run one guard aggregate over all columns in scope.
     """
     cols = [c for c in scope(df, include, exclude)]
@@ -48,8 +49,9 @@ def convert_to_numeric(df: DataFrame, mode: str | None = None, include=None, exc
         raise ValueError(f"unknown numeric mode: {mode}")
     aggs = []
     for i, c in enumerate(cols):
-        cls, _ = _classify(F.col(c), decimal_comma, thousands)
-        aggs += [F.count_if(cls == "non_numeric").alias(f"bad{i}"),
+        cls, d = _classify(F.col(c), decimal_comma, thousands)
+        aggs += [F.count_if(F.abs(d) >= 9.2e18).alias(f"large{i}"),
+                 F.count_if(cls == "non_numeric").alias(f"bad{i}"),
                  F.count_if(cls == "non_integer").alias(f"frac{i}")]
     guard = df.agg(*aggs).first() if aggs else None
     sel = []
@@ -58,7 +60,7 @@ def convert_to_numeric(df: DataFrame, mode: str | None = None, include=None, exc
             sel.append(F.col(c))
             continue
         i = cols.index(c)
-        whole = guard[f"bad{i}"] == 0 and guard[f"frac{i}"] == 0
+        whole = guard[f"bad{i}"] == 0 and guard[f"frac{i}"] == 0 and guard[f"large{i}"] == 0
         d = strict_double(F.col(c), decimal_comma, thousands)
         if whole:
             sel.append(number_text(F.col(c), decimal_comma, thousands)

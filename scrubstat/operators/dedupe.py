@@ -21,7 +21,6 @@ from __future__ import annotations
 import difflib
 import math
 import re
-import uuid
 from collections.abc import Sequence
 
 import pandas as pd
@@ -31,7 +30,7 @@ from pyspark.sql import types as T
 
 from ..columns import dtype, is_string, scope
 from ..functions.text import normalize_key, squash, tokens
-from ..session import scratch_path, write_through
+from ..session import write_through
 
 HOT_KEY_ROWS = 2000  # rows per task when a join key is shared by many values
 
@@ -45,7 +44,7 @@ def salted_self_pairs(items: DataFrame, key: str = "gram", ident: str = "id",
     A key held by m > hot ids is split into ceil(m / hot) salt buckets on one side and its rows
     are replicated once per bucket on the other, so its m^2 / 2 comparisons spread over tasks.
     """
-    freq = items.groupBy(key).agg(F.count(F.lit(1)).alias("_m"))
+    freq = write_through(items.groupBy(key).agg(F.count(F.lit(1)).alias("_m")), "gram-counts")
     it = items.join(freq, key)
     buckets = F.when(F.col("_m") > hot, F.ceil(F.col("_m") / hot)).otherwise(F.lit(1))
     left = it.select(key, F.col(ident).alias("a"),
@@ -57,6 +56,17 @@ def salted_self_pairs(items: DataFrame, key: str = "gram", ident: str = "id",
             .select("a", "b").distinct())
 
 
+def salted_pairs(left: DataFrame, right: DataFrame, key: str = "gram", hot: int = HOT_KEY_ROWS) -> DataFrame:
+    """left(key, x) joined to right(key, y): distinct (x, y), x != y. A key that many right rows hold is split
+    into buckets of about `hot` of them; the left rows of the key are repeated once per bucket."""
+    # written first, so that the joins back to it are between plain shuffles and split when skewed
+    freq = write_through(right.groupBy(key).agg(F.count(F.lit(1)).alias("_m")), "gram-counts")
+    buckets = F.ceil(F.col("_m") / hot).cast("long")
+    r = right.join(freq, key).select(key, "y", F.pmod(F.xxhash64("y"), buckets).alias("_salt"))
+    l = left.join(freq, key).select(key, "x", F.explode(F.sequence(F.lit(0).cast("long"), buckets - 1)).alias("_salt"))  # noqa: E741
+    return l.join(r, [key, "_salt"]).where("x != y").select("x", "y").distinct()
+
+
 def _blocked(gram: Column, block: str | None) -> Column:
     """Prefix a join key with the block (e.g. the column name) so joins stay in a block."""
     return F.concat(F.col(block), F.lit("\u0000"), gram) if block else gram
@@ -134,20 +144,17 @@ def deletion_candidates(keys: DataFrame, t: float, col: str = "key", ident: str
     pref_all = _prefix_elements(keys, coef, col, ident)
     big_ids = big.select(F.col(ident).alias("_bid"))
     pref_big = pref_all.join(big_ids, F.col(ident) == F.col("_bid")).drop("_bid")
-    cross = (pref_big.select("gram", F.col(ident).alias("x"))
-             .join(pref_all.select("gram", F.col(ident).alias("y")), "gram")
-             .where(F.col("x") != F.col("y"))
-             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
+    unordered = lambda p: p.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    cross = unordered(salted_pairs(pref_big.select("gram", F.col(ident).alias("x")),
+                                   pref_all.select("gram", F.col(ident).alias("y"))))
     # pairs whose longer string has length <= 1/coef get no shared-bigram guarantee: pair
     # such strings through a shared character (any match keeps at least one character)
     short_len = math.floor(1.0 / coef) if coef > 0 else 10 ** 9
     chars = keys.where(L <= short_len).select(
         ident, F.explode(F.array_distinct(F.split(F.col(col), ""))).alias("gram"))
     big_short = chars.join(big.select(ident), ident)
-    by_char = (big_short.select("gram", F.col(ident).alias("x"))
-               .join(chars.select("gram", F.col(ident).alias("y")), "gram")
-               .where(F.col("x") != F.col("y"))
-               .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
+    by_char = unordered(salted_pairs(big_short.select("gram", F.col(ident).alias("x")),
+                                     chars.select("gram", F.col(ident).alias("y"))))
     return pairs.unionByName(cross).unionByName(by_char).distinct()
 
 
@@ -173,17 +180,16 @@ def containment_candidates(keys: DataFrame, col: str = "key", ident: str = "id",
     freq = occ.groupBy("el").agg(F.count(F.lit(1)).alias("_f"))
     rarest = (occ.join(freq, "el").groupBy(ident)
               .agg(F.min_by("el", F.struct("_f", "el")).alias("gram")))
-    outer = occ.select(F.col(ident).alias("outer"), F.col("el").alias("gram"))
-    pairs = rarest.select(F.col(ident).alias("inner"), "gram").join(outer, "gram")
+    outer = occ.select(F.col(ident).alias("y"), F.col("el").alias("gram"))
+    pairs = salted_pairs(rarest.select(F.col(ident).alias("x"), "gram"), outer)
     extra = [block] if block else []
     one = keys.where(F.length(F.col(col)) == 1).select(
-        F.col(ident).alias("inner"), _blocked(F.col(col), block).alias("gram"))
-    chars = keys.select(F.col(ident).alias("outer"), *extra,
+        F.col(ident).alias("x"), _blocked(F.col(col), block).alias("gram"))
+    chars = keys.select(F.col(ident).alias("y"), *extra,
                         F.explode(F.array_distinct(F.split(F.col(col), ""))).alias("gram"))
-    chars = chars.select("outer", _blocked(F.col("gram"), block).alias("gram"))
-    pairs1 = one.join(chars, "gram")
-    return (pairs.select("inner", "outer").unionByName(pairs1.select("inner", "outer"))
-            .where(F.col("inner") != F.col("outer")).distinct())
+    chars = chars.select("y", _blocked(F.col("gram"), block).alias("gram"))
+    return (pairs.unionByName(salted_pairs(one, chars)).distinct()
+            .select(F.col("x").alias("inner"), F.col("y").alias("outer")))
 
 
 # --- scorers -------------------------------------------------------------------------------
@@ -207,13 +213,20 @@ def _indel_ratio(a: str, b: str) -> float:
         return 100.0
     if not a or not b:
         return 0.0
-    prev = [0] * (len(b) + 1)
-    for ca in a:
-        cur = [0]
-        for j, cb in enumerate(b, 1):
-            cur.append(prev[j - 1] + 1 if ca == cb else max(prev[j], cur[j - 1]))
-        prev = cur
-    return 200.0 * prev[-1] / (len(a) + len(b))
+    return 200.0 * _lcs(a, b) / (len(a) + len(b))
+
+
+def _lcs(a: str, b: str) -> int:
+    """Length of the longest common subsequence, one row of the table as bits of an integer."""
+    places: dict[str, int] = {}
+    for i, c in enumerate(a):
+        places[c] = places.get(c, 0) | 1 << i
+    full = (1 << len(a)) - 1
+    row = full
+    for c in b:
+        hit = row & places.get(c, 0)
+        row = ((row + hit) | (row - hit)) & full
+    return len(a) - row.bit_count()
 
 
 def _partial(short: str, long: str) -> float:
@@ -359,16 +372,31 @@ def _token_dups(df: DataFrame, cols: Sequence[str], t: float, scorer: str) -> Da
     return scored.where(F.col("by_containment") | F.col("by_token") | F.col("by_fuzzy"))
 
 
+def token_groups(df: DataFrame, include=None, exclude=None) -> DataFrame:
+    """C8 (b) without pairs: (column_name, token, n_values, value) for every token that two or more distinct
+    values of a column share. Linear in the data, where the pairs of a common token grow with its square."""
+    cols = [c for c in (scope(df, include, None, lenient=True) if include else scope(df, None, exclude))
+            if is_string(dtype(df, c))]
+    if not cols:
+        raise ValueError("no string column to scan")
+    flat = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("value")) for c in cols])))
+    toks = flat.where("value is not null").distinct().select(
+        "column_name", "value", F.explode(F.array_distinct(tokens(F.col("value")))).alias("token"))
+    common = write_through(toks.groupBy("column_name", "token").agg(F.count(F.lit(1)).alias("n_values"))
+                           .where("n_values > 1"), "token-counts")
+    return toks.join(common, ["column_name", "token"]).select("column_name", "token", "n_values", "value")
+
+
 # --- C9 ------------------------------------------------------------------------------------
 
-def fuzzy_pairs(df: DataFrame, column: str, threshold: float = 90, scorer: str = "levenshtein",
+def fuzzy_pairs(df: DataFrame, column: str, threshold: float = 90, scorer: str = "wratio",
                 keep_empty: bool = False) -> DataFrame:
     """C9 step 1-3: normalised keys (C11), blocked candidates, exact score >= threshold.
 
     Output: unordered pairs (key_a < key_b, score).
     """
     if column not in df.columns:
-        raise ValueError(f"Column '{column}' not found in DataFrame.")
+        raise ValueError(f"no column {column!r} to group")
     keys = df.select(normalize_key(F.col(column)).alias("key"))
     if not keep_empty:
         keys = keys.where(F.length("key") > 0)
@@ -380,7 +408,9 @@ def fuzzy_pairs(df: DataFrame, column: str, threshold: float = 90, scorer: str =
             raise ValueError("levenshtein blocking needs threshold > 50")
         cand = deletion_candidates(keys, t)
     elif scorer == "wratio":
-        cand = _wratio_candidates(keys)
+        if threshold < WRATIO_LEAST:
+            raise ValueError(f"weighted-ratio blocking needs threshold >= {WRATIO_LEAST}")
+        cand = _wratio_candidates(keys, threshold)
     else:
         raise ValueError("scorer must be 'levenshtein' or 'wratio'")
     ka = keys.select(F.col("id").alias("a"), F.col("key").alias("ka"))
@@ -393,57 +423,56 @@ def fuzzy_pairs(df: DataFrame, column: str, threshold: float = 90, scorer: str =
     return s.where(F.col("score") >= threshold)
 
 
-def _wratio_candidates(keys: DataFrame) -> DataFrame:
-    """Weighted-ratio candidates: shared token, or shared bigram of the key or of its
-    token-sorted form (partial and token ratios all need one of these)."""
-    toks = keys.select("id", F.explode(F.split(F.col("key"), " ")).alias("gram")) \
-        .where(F.length("gram") > 0)
-    srt = keys.select("id", F.array_join(F.array_sort(F.split("key", " ")), " ").alias("key"))
-    big = _bigram_occurrences(keys).select("id", F.substring_index("el", "#", 1).alias("gram"))
-    big2 = _bigram_occurrences(srt).select("id", F.substring_index("el", "#", 1).alias("gram"))
-    items = toks.unionByName(big).unionByName(big2).distinct()
-    return salted_self_pairs(items, "gram", "id")
-
-
-def _rank_key(v):
-    if isinstance(v, dict):
-        return tuple(v.values())
-    if hasattr(v, "_fields") or isinstance(v, tuple):
-        return tuple(v)
-    return v
-
-
-def _sequential_variants(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Greedy scan in rank order over a small remaining graph; returns the variants."""
-    rank = {}
-    adj: dict = {}
-    for u, v, ru, rv in zip(pdf["u"], pdf["v"], pdf["ru"], pdf["rv"]):
-        rank[u], rank[v] = _rank_key(ru), _rank_key(rv)
-        adj.setdefault(u, set()).add(v)
-    visited, variants = set(), []
-    for name in sorted(adj, key=lambda x: rank[x]):
-        if name in visited:
-            continue
-        visited.add(name)
-        for m in adj[name]:
-            if m not in visited:
-                visited.add(m)
-                variants.append(m)
-    return pd.DataFrame({"u": pd.Series(variants, dtype="object")})
-
-
-def greedy_groups(pairs: DataFrame, order: DataFrame | None = None, max_rounds: int = 256,
-                  local_finish_edges: int = 100_000) -> DataFrame:
+WRATIO_LEAST = 87  # below it, partial token ratios (at most 85.5) would count too
+
+
+def _wratio_candidates(keys: DataFrame, threshold: float) -> DataFrame:
+    """Lossless candidates for weighted ratio >= threshold (>= 87). Scores are rounded, so raw scores from
+    `threshold` - 0.5 count. Then one of these holds, each with a blocking of its own:
+
+    * the plain ratio is at least r = raw / 100, or the ratio of the token-sorted (or sorted distinct) forms
+      at least raw / 95: a ratio r of lengths a, b leaves at most (1 - r)(a + b) single-character edits, each
+      of which breaks at most two bigrams (`prefix_candidates` with 4 r - 3);
+    * the forms share a token;
+    * the shorter form's ratio to a window of its own length is p >= raw / 90: it then shares k (4 p - 3) - 1 of
+      its k - 1 bigrams with the longer form, hence one of its rarest ones (a single character is in it).
+    """
+    raw = threshold - 0.5
+    plain = keys.select("id", F.trim(F.regexp_replace("key", "[^0-9a-z]+", " ")).alias("key")).where("key != ''")
+    plain = write_through(plain, "wratio-keys")
+    toks = F.split("key", " ")
+    out = [salted_self_pairs(plain.select("id", F.explode(F.array_distinct(toks)).alias("gram")), "gram", "id"),
+           prefix_candidates(plain, 4 * raw / 100 - 3)]
+    for form in (F.array_sort(toks), F.array_sort(F.array_distinct(toks))):
+        out.append(prefix_candidates(plain.select("id", F.array_join(form, " ").alias("key")), 4 * raw / 95 - 3))
+    if raw <= 90:
+        k = F.length("key")
+        grams = F.transform(F.sequence(F.lit(1), k - 1), lambda i: F.substring("key", i, 2))
+        occ = plain.where(k >= 2).select("id", (k - 1).alias("_n"), F.explode(grams).alias("gram"))
+        freq = write_through(occ.groupBy("gram").agg(F.count(F.lit(1)).alias("_f")), "gram-counts")
+        shared = F.greatest(F.ceil((F.col("_n") + 1) * (4 * raw / 90 - 3) - 1e-9) - 1, F.lit(1))
+        w = Window.partitionBy("id").orderBy("_f", "gram")
+        inner = (occ.join(freq, "gram").withColumn("_r", F.row_number().over(w))
+                 .where(F.col("_r") <= F.col("_n") - shared + 1).select(F.col("id").alias("x"), "gram").distinct())
+        chars = plain.select(F.col("id").alias("y"), F.explode(F.array_distinct(F.split("key", ""))).alias("gram"))
+        one = plain.where(k == 1).select(F.col("id").alias("x"), F.col("key").alias("gram"))
+        for l, r in ((inner, occ.select(F.col("id").alias("y"), "gram").distinct()), (one, chars)):  # noqa: E741
+            out.append(salted_pairs(l, r).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
+    cand = out[0]
+    for o in out[1:]:
+        cand = cand.unionByName(o)
+    return cand.distinct()
+
+
+def greedy_groups(pairs: DataFrame, order: DataFrame | None = None) -> DataFrame:
     """C9 step 4: the canonical names the sequential greedy scan would pick.
 
     A name is canonical exactly when no earlier canonical name matches it (lexicographically
-    first maximal independent set of the match graph). Parallel rounds over a node state table
-    a live name smaller than all of its live neighbours becomes canonical and its live
-    neighbours become variants. Only edges between undecided names are carried to the next
-    round, so the work shrinks with the graph; the live edges are written to the shared
-    checkpoint folder every round (no replay of earlier rounds after a lost executor) and the
-    variants of each round are appended to a table there; canonical = every name that is not
-    a variant.
+    first maximal independent set of the match graph). Each round looks at the edges between undecided
+    names: a name smaller than all of its neighbours is canonical, its neighbours become variants, and
+    edges of either drop out. A round decides at least the smallest name of every connected part, so the
+    rounds end. Only the round's own decisions and the edges left are written (to the shared scratch
+    folder); a name that never becomes a variant is canonical.
 
     `order`: optional (key, ord) table giving the scan order; default the key itself.
     Output: (canonical, variant, score) for every match of every canonical name.
@@ -458,43 +487,25 @@ def greedy_groups(pairs: DataFrame, order: DataFrame | None = None, max_rounds:
         rank_u, rank_v = F.col("u"), F.col("v")
     edges = write_through(edges.select("u", "v", "score", rank_u.alias("ru"),
                                        rank_v.alias("rv")), "greedy-edges")
-    live = edges.select("u", "v", "ru", "rv")
-    spark = edges.sparkSession
-    var_path = scratch_path(spark, f"tables/greedy-variants-{uuid.uuid4().hex}")
-    for _ in range(max_rounds):
-        # `live` holds edges between undecided names. A live name smaller than all of its live
-        # neighbours is canonical; its live neighbours become variants. Every name ends up one
-        # or the other, so only the variants are recorded; a name left without live
-        # neighbours simply drops out and stays canonical.
-        now = (live.groupBy("u", "ru").agg(F.min("rv").alias("_min"))
-               .where(F.col("ru") < F.col("_min")).select("u"))
-        live.join(now, "u").select(F.col("v").alias("u")).distinct() \
-            .write.mode("append").parquet(var_path)
-        variants = spark.read.parquet(var_path)
-        decided = now.unionByName(variants)
-        rest = (live.join(decided, "u", "left_anti")
-                .join(decided.select(F.col("u").alias("v")), "v", "left_anti"))
-        live = write_through(rest, "greedy-live")
-        n_live = live.count()
-        if n_live == 0:
-            break
-        if n_live <= local_finish_edges:
-            # the remaining undecided names have no canonical neighbour; a sequential scan
-            # over this bounded remainder (checked size) decides them exactly as more rounds
-            # would, in one task
-            (live.groupBy(F.lit(0).alias("_g")).applyInPandas(_sequential_variants, "u string")
-             .write.mode("append").parquet(var_path))
-            break
-    else:
-        raise RuntimeError("greedy grouping did not finish; raise max_rounds")
+    live, variants = edges.select("u", "v", "ru", "rv"), None
+    while not live.isEmpty():
+        first = (live.groupBy("u", "ru").agg(F.min("rv").alias("_min"))
+                 .where(F.col("ru") < F.col("_min")).select("u"))
+        beaten = live.join(first, "u").select(F.col("v").alias("u")).distinct()
+        decided = write_through(first.withColumn("wins", F.lit(True)).unionByName(
+            beaten.withColumn("wins", F.lit(False))), "greedy-round")
+        lost = decided.where(~F.col("wins")).select("u")
+        variants = lost if variants is None else variants.unionByName(lost)
+        live = write_through(live.join(decided.select("u"), "u", "left_anti")
+                             .join(decided.select(F.col("u").alias("v")), "v", "left_anti"), "greedy-live")
     names = edges.select("u").distinct()
-    canon = names.join(spark.read.parquet(var_path), "u", "left_anti")
+    canon = names if variants is None else names.join(variants, "u", "left_anti")
     return edges.join(canon, "u").select(F.col("u").alias("canonical"),
                                          F.col("v").alias("variant"), "score")
 
 
 def fuzzy_groups(df: DataFrame, column: str, threshold: float = 90,
-                 scorer: str = "levenshtein", order_by: str | None = None) -> DataFrame:
+                 scorer: str = "wratio", order_by: str | None = None) -> DataFrame:
     """Canonical -> variant pairs. With `order_by`, a key's scan position is the smallest
     `order_by` value among its rows (first appearance); otherwise the key itself."""
     pairs = fuzzy_pairs(df, column, threshold, scorer)
@@ -505,16 +516,31 @@ def fuzzy_groups(df: DataFrame, column: str, threshold: float = 90,
     return greedy_groups(pairs, order)
 
 
+def group_values(df: DataFrame, column: str, groups: DataFrame) -> DataFrame:
+    """The raw values of every group with their counts: (canonical, key, value, n), the canonical name's own
+    spellings included. A key under several canonicals is listed with each."""
+    groups = write_through(groups, "groups")
+    members = groups.select("canonical", F.col("variant").alias("key")).unionByName(
+        groups.select("canonical", F.col("canonical").alias("key"))).distinct()
+    raw = (df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+           .withColumn("key", normalize_key(F.col("value"))))
+    return members.join(raw, "key").select("canonical", "key", "value", "n")
+
+
 # --- C24 -----------------------------------------------------------------------------------
 
 def apply_canonical(df: DataFrame, column: str, groups: DataFrame, out: str | None = None
                     ) -> DataFrame:
     """Replace values by their canonical form. Rows are matched on the normalised key;
-    a variant under several canonicals takes the best score, then the smallest canonical."""
+    a variant under several canonicals takes the best score, then the smallest canonical; spellings of a
+    canonical name take that name. Values of no group, and NULL, stay as they are."""
     out = out or f"{column}_canonical"
-    best = groups.groupBy(F.col("variant").alias("_key")).agg(
+    groups = write_through(groups, "groups")
+    pairs = groups.select(F.col("variant").alias("_key"), "canonical", "score").unionByName(
+        groups.select(F.col("canonical").alias("_key"), "canonical", F.lit(float("inf")).alias("score")))
+    best = pairs.groupBy("_key").agg(
         F.min_by("canonical", F.struct((-F.col("score")).alias("s"), F.col("canonical").alias("c")))
         .alias("_canon"))
-    keyed = df.withColumn("_key", normalize_key(F.col(column)))
+    keyed = df.withColumn("_key", F.when(F.col(column).isNotNull(), normalize_key(F.col(column))))
     j = keyed.join(best, "_key", "left")
-    return j.select(*df.columns, F.coalesce(F.col("_canon"), F.col("_key")).alias(out))
+    return j.select(*df.columns, F.coalesce(F.col("_canon"), F.col(column)).alias(out))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -122,25 +122,33 @@ def describe_text(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
 
 
 def describe_all(df: DataFrame) -> DataFrame:
-    """A1: `describe(include='all')` in long form, one row per column."""
-    num = [c for c in df.columns if is_numeric(dtype(df, c))]
-    txt = [c for c in df.columns if is_string(dtype(df, c))]
+    """A1: `describe(include='all')` in long form, one row per column, columns without values included
+    (count 0). Dates and timestamps are described as numbers, in seconds since 1970 UTC; booleans as text."""
+    kinds = {c: dtype(df, c) for c in df.columns}
+    when = [c for c, t in kinds.items() if isinstance(t, (T.DateType, T.TimestampType, T.TimestampNTZType))]
+    num = [c for c, t in kinds.items() if is_numeric(t)] + when
+    txt = [c for c, t in kinds.items() if is_string(t) or isinstance(t, T.BooleanType)]
+    flat = df.select(*[F.col(c).cast("timestamp").cast("double").alias(c) if c in when else F.col(c) for c in num],
+                     *[F.col(c).cast("string").alias(c) for c in txt])
+    stats = ["mean", "std", "min", "q25", "q50", "q75", "max"]
     parts = []
     if num:
-        parts.append(describe_numeric(df, num).select(
+        parts.append(describe_numeric(flat, num).select(
             "column_name", F.col("count").cast("long").alias("count"),
             F.lit(None).cast("long").alias("unique"), F.lit(None).cast("string").alias("top"),
-            F.lit(None).cast("long").alias("freq"), "mean", "std", "min", "q25", "q50", "q75",
-            "max"))
+            F.lit(None).cast("long").alias("freq"), *stats))
     if txt:
-        parts.append(describe_text(df, txt).select(
+        parts.append(describe_text(flat, txt).select(
             "column_name", "count", "unique", "top", "freq",
-            *[F.lit(None).cast("double").alias(c)
-              for c in ["mean", "std", "min", "q25", "q50", "q75", "max"]]))
+            *[F.lit(None).cast("double").alias(c) for c in stats]))
+    if not parts:
+        raise ValueError("no column that can be described")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out
+    every = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in num + txt])).alias("column_name"))
+    return every.join(out, "column_name", "left").select(
+        "column_name", F.coalesce("count", F.lit(0)).cast("long").alias("count"), "unique", "top", "freq", *stats)
 
 
 # --- A4 ------------------------------------------------------------------------------------
@@ -207,13 +215,24 @@ def central_trend(df: DataFrame, columns: Sequence[str] | None = None,
     base_t = F.when(F.col("skew") > 0, right).otherwise(left)
     extreme = (a > 1.5) | (F.col("max") > 10 * F.col("median"))
     transform = F.when(strong, F.concat(base_t, F.when(extreme, tt["extreme"]).otherwise("")))
-    zero_mean = F.col("mean") == 0
+    # a column without values keeps its row
+    every = (df.select(*by).distinct() if by else df.sparkSession.range(1).select()).select(
+        *[F.col(b).alias(f"_{b}") for b in by], F.explode(F.array(*[F.lit(c) for c in cols])).alias("_column"))
+    on = F.col("column_name") == F.col("_column")
+    for b in by:
+        on = on & F.col(b).eqNullSafe(F.col(f"_{b}"))
+    m = every.join(m, on, "left").select(
+        *[F.col(f"_{b}").alias(b) for b in by], F.col("_column").alias("column_name"),
+        F.coalesce("n", F.lit(0)).cast("long").alias("n"),
+        *[F.col(x) for x in m.columns if x not in (*keys, "n")])
+    empty = F.col("n") == 0
+    zero_mean = (F.col("mean") == 0) | empty
     return m.select(
         *keys, "n", "mean", "std", "median", "cv", F.abs(F.col("cv")).alias("cv_abs"), "skew",
         F.when(zero_mean, None).otherwise(cv_msg).alias("cv_message"),
         F.when(zero_mean, None).otherwise(lv_).alias("skew_level"),
         F.when(zero_mean, None).otherwise(sk_msg).alias("skew_message"),
-        F.when(zero_mean, "undefined").otherwise(central).alias("central"),
+        F.when(empty, "empty").when(zero_mean, "undefined").otherwise(central).alias("central"),
         F.when(zero_mean, None).otherwise(reason).alias("reason"),
         F.when(zero_mean, None).otherwise(transform).alias("transform"))
 
@@ -241,7 +260,7 @@ def iqr_outliers(df: DataFrame, column: str, bound: str = "both", clamp_zero: bo
     if bound not in ("both", "lower", "upper"):
         raise ValueError("bound must be 'both', 'lower' or 'upper'")
     b = iqr_bounds(df, column, clamp_zero).select("lower", "upper")
-    x = F.col(column)
+    x = nan_to_null(F.col(column), dtype(df, column))  # NaN is missing, not large
     j = df.crossJoin(F.broadcast(b))
     side = F.when(x < F.col("lower"), "lower").when(x > F.col("upper"), "upper")
     keep = {"both": side.isNotNull(), "lower": x < F.col("lower"), "upper": x > F.col("upper")}
@@ -349,9 +368,9 @@ def correlation_pairs(df: DataFrame, columns: Sequence[str] | None = None) -> Da
 # --- A12 - A20 -----------------------------------------------------------------------------
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
-    """Non-null counts per value (order by n desc, value when displaying)."""
+    """Non-null counts per value, the most frequent first (ties: smaller value first)."""
     return (df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value"))
-            .agg(F.count(F.lit(1)).alias("n")))
+            .agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "value"))
 
 
 def group_mean(df: DataFrame, keys: Sequence[str], value: str, digits: int = 2) -> DataFrame:
@@ -427,6 +446,14 @@ def box_outlier_points(df: DataFrame, column: str) -> DataFrame:
     return o.groupBy(F.col(column).alias("value"), "side").agg(F.count(F.lit(1)).alias("n"))
 
 
+def box_inlier_points(df: DataFrame, column: str) -> DataFrame:
+    """Values within the fences with their counts, for drawing all points."""
+    x = nan_to_null(F.col(column).cast("double"), T.DoubleType())
+    b = iqr_bounds(df, column).select("lower", "upper")
+    j = df.select(x.alias("value")).where("value is not null").crossJoin(F.broadcast(b))
+    return j.where("value between lower and upper").groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+
+
 # --- A21 -----------------------------------------------------------------------------------
 
 def transform_expr(x: Column, name: str, max_x: Column | None = None) -> Column:
@@ -526,9 +553,3 @@ def rank_normal_score(df: DataFrame, column: str, name: str = "normal_score") ->
     mean_rank = F.col("start") + (F.col("cnt") + 1) / 2.0
     scores = rc.select("_x", norm_ppf((mean_rank - 0.5) / F.col("n")).alias(name))
     return base.join(scores, "_x", "left").drop("_x")
-
-
-def window_share(df: DataFrame, value: str, part_by: Sequence[str], name: str = "share"
-                 ) -> DataFrame:
-    w = Window.partitionBy(*part_by)
-    return df.withColumn(name, F.col(value) / F.sum(value).over(w))

@@ -381,6 +381,15 @@ def _power_lambda_grid(spark, sf):
     return round_all(p.power_lambda_grid(table(spark, sf, "events"), "value"), 4)
 
 
-@q("rank_normal_score")
+def _rank_score_sql() -> str:
+    from .q_stat import _ppf_sql
+    return ("WITH v AS (SELECT event_id, value, CASE WHEN isnan(value) THEN NULL ELSE value END AS x FROM events), "
+            "r AS (SELECT x, (min(rn) + max(rn)) / 2.0 AS mean_rank FROM (SELECT x, row_number() OVER (ORDER BY x) AS rn FROM v "
+            "WHERE x IS NOT NULL) t GROUP BY x), n AS (SELECT count(x) AS n FROM v) SELECT event_id, value, "
+            f"round({_ppf_sql('((mean_rank - 0.5) / n.n)')}, 7) AS normal_score FROM v LEFT JOIN r USING (x), n")
+
+
+@q("rank_normal_score", _rank_score_sql())
 def _rank_normal_score(spark, sf):
-    return p.rank_normal_score(table(spark, sf, "events").select("event_id", "value"), "value")
+    out = p.rank_normal_score(table(spark, sf, "events").select("event_id", "value"), "value")
+    return out.withColumn("normal_score", F.round("normal_score", 7))

@@ -51,7 +51,16 @@ SPANS_SQL = ("SELECT c_mktsegment AS grp, c_acctbal AS val FROM customer "
 CONSTANTS_SQL = ("SELECT c_custkey AS id, CAST(2 AS DOUBLE) AS same, CAST(c_custkey AS DOUBLE) AS "
                  "varying, CAST(NULL AS DOUBLE) AS empty FROM customer")
 
-VIEWS = {"dirty": DIRTY_SQL, "dup_rows": DUP_ROWS_SQL, "spans": SPANS_SQL,
+# Odd inputs: NaN among the values, a constant, a column without values, whole numbers with gaps, text of a number
+# beyond the range of a long, dates and booleans.
+EDGE_SQL = ("SELECT c_custkey AS id, CASE WHEN c_custkey % 7 = 0 THEN CAST('NaN' AS DOUBLE) WHEN c_custkey % 50 = 1 THEN "
+            "c_acctbal * 100 ELSE c_acctbal END AS noisy, CAST(5 AS DOUBLE) AS same, CAST(NULL AS DOUBLE) AS nothing, "
+            "CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE CAST(c_custkey % 11 AS INT) END AS whole, "
+            "CASE WHEN c_custkey % 9 = 0 THEN '100000000000000000000' ELSE CAST(c_custkey AS STRING) END AS large_raw, "
+            "CAST(concat('2024-01-', lpad(CAST(1 + c_custkey % 28 AS STRING), 2, '0')) AS DATE) AS day, "
+            "c_custkey % 4 = 0 AS flag FROM customer")
+
+VIEWS = {"edge": EDGE_SQL, "dirty": DIRTY_SQL, "dup_rows": DUP_ROWS_SQL, "spans": SPANS_SQL,
          "constants": CONSTANTS_SQL}
 
 

@@ -13,7 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import join_uri, scratch_path
 
 
 def read_parquet_stream(spark: SparkSession, path_glob: str, schema, max_files: int = 100
@@ -26,7 +26,9 @@ def read_parquet_stream(spark: SparkSession, path_glob: str, schema, max_files:
 def hourly_counts(stream: DataFrame, ts: str, key: str, value: str | None = None,
                   window: str = "1 hour", watermark: str | None = None) -> DataFrame:
     """Trend counts per (time window, key); optional watermark bounds the state."""
-    s = stream.withWatermark(ts, watermark) if watermark else stream
+    s = stream
+    if watermark:  # which Spark takes on instants only
+        s = stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, watermark)
     aggs = [F.count(F.lit(1)).alias("n")]
     if value:
         aggs.append(F.sum(value).alias("total"))
@@ -39,18 +41,37 @@ def run_to_table(stream: DataFrame, name: str, mode: str = "append",
                  out: str | None = None) -> str:
     """Run a streaming query over everything available now and persist it as parquet.
 
-    append: each micro-batch is appended. complete: each micro-batch holds the full result and
-    replaces the table. Returns the table folder (in the shared checkpoint area).
+    append: each micro-batch is a folder `batch=<id>` of its own, written in overwrite mode, so a batch that
+    is replayed after a failure replaces itself. complete: each micro-batch holds the full result and
+    replaces the table. update: each batch folder holds the rows that changed; `read_latest` keeps the last of
+    each key. Returns the table folder (in the shared checkpoint area); read it with `read_table`.
     """
     spark = stream.sparkSession
     run_id = uuid.uuid4().hex
     out = out or scratch_path(spark, f"streams/{name}-{run_id}/table")
     ckpt = scratch_path(spark, f"streams/{name}-{run_id}/checkpoint")
-
-    def write(batch: DataFrame, _epoch: int) -> None:
-        batch.write.mode("overwrite" if mode == "complete" else "append").parquet(out)
-
     q = (stream.writeStream.outputMode(mode).option("checkpointLocation", ckpt)
-         .foreachBatch(write).trigger(availableNow=True).start())
+         .foreachBatch(batch_writer(out, mode)).trigger(availableNow=True).start())
     q.awaitTermination()
     return out
+
+
+def batch_writer(out: str, mode: str = "append"):
+    """The foreachBatch function: idempotent for a batch id."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        target = out if mode == "complete" else join_uri(out, f"batch={batch_id}")
+        batch.write.mode("overwrite").parquet(target)
+    return write
+
+
+def read_table(spark: SparkSession, out: str) -> DataFrame:
+    """What `run_to_table` wrote, without the batch column."""
+    return spark.read.parquet(out).drop("batch")
+
+
+def read_latest(spark: SparkSession, out: str, keys: list[str]) -> DataFrame:
+    """What an `update` run wrote: per key the row of the last batch that has it."""
+    t = spark.read.parquet(out)
+    rest = [c for c in t.columns if c not in (*keys, "batch")]
+    last = t.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("_last"))
+    return last.select(*keys, "_last.*")
