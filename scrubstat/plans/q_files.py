@@ -75,7 +75,7 @@ def _typed(df, schema):
 def _read_zip_members(spark, sf):
     cust = table(spark, sf, "customer")
     folder = _scratch(spark, "customer_zip")
-    ar.write_archives(cust.repartition(4), folder, "zip", "customer.csv").collect()
+    ar.write_archives(cust, folder, "zip", "customer.csv").collect()
     return _typed(ar.read_zip_csv(spark, folder, member="customer.csv"), cust.schema)
 
 
@@ -83,5 +83,5 @@ def _read_zip_members(spark, sf):
 def _read_xlsx_members(spark, sf):
     cust = table(spark, sf, "customer")
     folder = _scratch(spark, "customer_xlsx")
-    ar.write_archives(cust.repartition(4), folder, "xlsx").collect()
+    ar.write_archives(cust, folder, "xlsx").collect()
     return _typed(ar.read_xlsx(spark, folder), cust.schema)

@@ -2,8 +2,8 @@
 
 Archives are loaded with the `binaryFile` source (one row per file, content as bytes) and parsed
 inside `mapInPandas`: one task per archive, because a ZIP cannot be split. Each member row
-comes out as (archive, member, row_no, fields); the header row names the columns afterwards,
-so typing happens in Spark (see `convert.cast_datatypes`).
+comes out as (archive, member, row_no, header, fields) in short frames; each member's own header names its columns
+afterwards, so typing happens in Spark (see `convert.cast_datatypes`).
 """
 
 from __future__ import annotations
@@ -19,7 +19,22 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-ROW_SCHEMA = "archive string, member string, row_no long, fields array<string>"
+ROW_SCHEMA = "archive string, member string, row_no long, header array<string>, fields array<string>"
+CHUNK = 10_000  # rows held at a time
+
+
+def _batches(path: str, member: str, rows) -> Iterator[pd.DataFrame]:
+    """(row number, fields) in frames of `CHUNK` rows; every row carries its member's header (row 0)."""
+    out: list[tuple] = []
+    header = None
+    for n, fields in rows:
+        header = fields if header is None else header
+        out.append((path, member, n, header, fields))
+        if len(out) >= CHUNK:
+            yield pd.DataFrame(out, columns=["archive", "member", "row_no", "header", "fields"])
+            out = []
+    if out:
+        yield pd.DataFrame(out, columns=["archive", "member", "row_no", "header", "fields"])
 
 
 def _zip_rows(member: str | None, sep: str, encoding: str):
@@ -33,26 +48,12 @@ def _zip_rows(member: str | None, sep: str, encoding: str):
                         if m not in names:
                             raise KeyError(f"{m} not found in {path}")
                         if m.lower().endswith(".xlsx"):
-                            rows = list(_sheet_rows(zf.read(m)))
-                            yield pd.DataFrame({"archive": [path] * len(rows),
-                                                "member": [m] * len(rows),
-                                                "row_no": [r for r, _ in rows],
-                                                "fields": [f for _, f in rows]})
-                            continue
-                        if not m.lower().endswith(".csv"):
+                            yield from _batches(path, m, _sheet_rows(zf.read(m)))
+                        elif m.lower().endswith(".csv"):
+                            text = io.TextIOWrapper(zf.open(m), encoding=encoding, newline="")
+                            yield from _batches(path, m, enumerate(csv.reader(text, delimiter=sep)))
+                        else:
                             raise ValueError(f"unsupported member type: {m}")
-                        text = io.TextIOWrapper(zf.open(m), encoding=encoding, newline="")
-                        out = {"archive": [], "member": [], "row_no": [], "fields": []}
-                        for i, rec in enumerate(csv.reader(text, delimiter=sep)):
-                            out["archive"].append(path)
-                            out["member"].append(m)
-                            out["row_no"].append(i)
-                            out["fields"].append(rec)
-                            if len(out["row_no"]) >= 10000:
-                                yield pd.DataFrame(out)
-                                out = {k: [] for k in out}
-                        if out["row_no"]:
-                            yield pd.DataFrame(out)
     return run
 
 
@@ -78,15 +79,16 @@ def _binary_files(spark: SparkSession, glob: str, pattern: str) -> DataFrame:
 
 
 def with_header(rows: DataFrame) -> DataFrame:
-    """Name the fields by the header row (row 0) of the first archive; drop header rows.
-    The header is one small row taken to the driver."""
-    first = rows.where(F.col("row_no") == 0).select("fields").first()
-    if first is None:
+    """Name the fields by each member's own header (row 0) and drop the header rows. Members may order their
+    columns differently or lack some (NULL); the result has every name that occurs, in order of place,
+    then name. The distinct names, a schema, are taken to the driver."""
+    names = [r["name"] for r in rows.where(F.col("row_no") == 0).select(F.posexplode("fields").alias("at", "name"))
+             .where("name is not null").groupBy("name").agg(F.min("at").alias("at")).orderBy("at", "name").collect()]
+    if not names:
         raise ValueError("no header row found")
-    names = list(first["fields"])
     data = rows.where(F.col("row_no") > 0)
-    # short rows (trailing empty cells) give NULL instead of an index error
-    return data.select(*[F.get(F.col("fields"), i).alias(n) for i, n in enumerate(names)])
+    # short rows (trailing empty cells) and absent columns give NULL instead of an index error
+    return data.select(*[F.get("fields", F.array_position("header", F.lit(n)).cast("int") - 1).alias(n) for n in names])
 
 
 def read_zip_csv(spark: SparkSession, glob: str, member: str | None = None, sep: str = ",",
@@ -116,38 +118,35 @@ def _sheet_rows(content: bytes, sheet: int = 1):
             root = ET.fromstring(zf.read("xl/sharedStrings.xml"))
             for si in root.findall("m:si", _NS):
                 shared.append("".join(t.text or "" for t in si.iter(f"{{{_NS['m']}}}t")))
-        root = ET.fromstring(zf.read(f"xl/worksheets/sheet{sheet}.xml"))
-        for row in root.iter(f"{{{_NS['m']}}}row"):
-            cells: dict[int, str] = {}
-            for c in row.findall("m:c", _NS):
-                kind = c.get("t")
-                v = c.find("m:v", _NS)
-                if kind == "inlineStr":
-                    t = c.find("m:is/m:t", _NS)
-                    val = t.text if t is not None else ""
-                elif v is None:
-                    val = None
-                elif kind == "s":
-                    val = shared[int(v.text)]
-                else:
-                    val = v.text
-                cells[_col_index(c.get("r"))] = val
-            width = max(cells) + 1 if cells else 0
-            yield int(row.get("r")) - 1, [cells.get(i) for i in range(width)]
+        tag = f"{{{_NS['m']}}}row"
+        with zf.open(f"xl/worksheets/sheet{sheet}.xml") as f:
+            for _event, row in ET.iterparse(f):
+                if row.tag != tag:
+                    continue
+                cells: dict[int, str] = {}
+                for c in row.findall("m:c", _NS):
+                    kind = c.get("t")
+                    v = c.find("m:v", _NS)
+                    if kind == "inlineStr":
+                        t = c.find("m:is/m:t", _NS)
+                        val = t.text if t is not None else ""
+                    elif v is None:
+                        val = None
+                    elif kind == "s":
+                        val = shared[int(v.text)]
+                    else:
+                        val = v.text
+                    cells[_col_index(c.get("r"))] = val
+                width = max(cells) + 1 if cells else 0
+                yield int(row.get("r")) - 1, [cells.get(i) for i in range(width)]
+                row.clear()  # rows are read one by one, not kept
 
 
 def _xlsx_rows(sheet: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for path, content in zip(pdf["path"], pdf["content"]):
-                out = {"archive": [], "member": [], "row_no": [], "fields": []}
-                for r, fields in _sheet_rows(content, sheet):
-                    out["archive"].append(path)
-                    out["member"].append(f"sheet{sheet}")
-                    out["row_no"].append(r)
-                    out["fields"].append(fields)
-                if out["row_no"]:
-                    yield pd.DataFrame(out)
+                yield from _batches(path, f"sheet{sheet}", _sheet_rows(content, sheet))
     return run
 
 
@@ -166,71 +165,84 @@ def _xml_escape(s: str) -> str:
             .replace('"', "&quot;"))
 
 
-def xlsx_bytes(header: list[str], rows: list[list]) -> bytes:
-    """A minimal single-sheet workbook with inline strings and numbers."""
-    def cell(ref, v):
-        if v is None:
-            return ""
-        if isinstance(v, (int, float)) and not isinstance(v, bool):
-            return f'<c r="{ref}"><v>{repr(v) if isinstance(v, float) else v}</v></c>'
-        return f'<c r="{ref}" t="inlineStr"><is><t xml:space="preserve">{_xml_escape(str(v))}</t></is></c>'
-
-    def col_name(i):
-        s = ""
-        i += 1
-        while i:
-            i, r = divmod(i - 1, 26)
-            s = chr(65 + r) + s
-        return s
-
-    body = []
-    for r, vals in enumerate([header, *rows], 1):
-        body.append(f'<row r="{r}">' + "".join(cell(f"{col_name(i)}{r}", v)
-                                               for i, v in enumerate(vals)) + "</row>")
-    sheet = ('<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
-             f'<worksheet xmlns="{_NS["m"]}"><sheetData>{"".join(body)}</sheetData></worksheet>')
-    buf = io.BytesIO()
-    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+def _cell(ref: str, v) -> str:
+    if v is None:
+        return ""
+    if isinstance(v, (int, float)) and not isinstance(v, bool):
+        return f'<c r="{ref}"><v>{v!r}</v></c>'
+    return f'<c r="{ref}" t="inlineStr"><is><t xml:space="preserve">{_xml_escape(str(v))}</t></is></c>'
+
+
+def _col_name(i: int) -> str:
+    out = ""
+    i += 1
+    while i:
+        i, r = divmod(i - 1, 26)
+        out = chr(65 + r) + out
+    return out
+
+
+def write_xlsx(stream, rows: Iterator[list]) -> None:
+    """A minimal single-sheet workbook with inline strings and numbers, row by row."""
+    with zipfile.ZipFile(stream, "w", zipfile.ZIP_DEFLATED) as zf:
         zf.writestr("[Content_Types].xml",
                     '<?xml version="1.0" encoding="UTF-8"?><Types xmlns="http://schemas.openxml'
                     'formats.org/package/2006/content-types"><Default Extension="xml" ContentType='
                     '"application/xml"/></Types>')
         zf.writestr("xl/workbook.xml", f'<workbook xmlns="{_NS["m"]}"><sheets><sheet name='
                                        '"Sheet1" sheetId="1"/></sheets></workbook>')
-        zf.writestr("xl/worksheets/sheet1.xml", sheet)
-    return buf.getvalue()
+        with zf.open("xl/worksheets/sheet1.xml", "w") as sheet:
+            sheet.write(('<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
+                         f'<worksheet xmlns="{_NS["m"]}"><sheetData>').encode())
+            for r, vals in enumerate(rows, 1):
+                sheet.write((f'<row r="{r}">' + "".join(_cell(f"{_col_name(i)}{r}", v) for i, v in enumerate(vals))
+                             + "</row>").encode())
+            sheet.write(b"</sheetData></worksheet>")
+
+
+def write_zip_csv(stream, rows: Iterator[list], member: str, sep: str) -> None:
+    """A ZIP with one CSV member, row by row."""
+    with zipfile.ZipFile(stream, "w", zipfile.ZIP_DEFLATED) as zf:
+        with zf.open(member, "w") as raw, io.TextIOWrapper(raw, "utf-8", newline="") as text:
+            w = csv.writer(text, delimiter=sep, lineterminator="\n")
+            for r in rows:
+                w.writerow(["" if v is None else (repr(v) if isinstance(v, float) else v) for v in r])
 
 
 def write_archives(df: DataFrame, folder: str, kind: str = "zip", member: str = "data.csv",
-                   sep: str = ",") -> DataFrame:
-    """Write each partition of `df` as one archive (ZIP holding a CSV member, or XLSX) into a
-    shared folder; returns (archive, rows) per archive written. Runs as a Spark job."""
+                   sep: str = ",", rows_per_archive: int = 50_000) -> DataFrame:
+    """Write `df` as archives of about `rows_per_archive` rows (ZIP holding a CSV member, or XLSX) into a shared
+    folder of any store that pyarrow's file systems reach; returns (archive, rows) per archive written. Tasks
+    stream their rows; each attempt writes a file of its own name. Runs as a Spark job."""
     cols = df.columns
+    parts = max(1, -(-df.count() // rows_per_archive))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import os
         import uuid
-        frames = [b for b in batches]
-        if not frames:
-            return
-        pdf = pd.concat(frames)
-        os.makedirs(folder, exist_ok=True)
-        name = os.path.join(folder, f"part-{uuid.uuid4().hex}.{kind}")
-        recs = [[None if (isinstance(v, float) and v != v) or v is None else
-                 (v.item() if hasattr(v, "item") else v) for v in row]
-                for row in pdf[cols].itertuples(index=False, name=None)]
-        if kind == "zip":
-            text = io.StringIO()
-            w = csv.writer(text, delimiter=sep, lineterminator="\n")
-            w.writerow(cols)
-            for r in recs:
-                w.writerow(["" if v is None else (repr(v) if isinstance(v, float) else v)
-                            for v in r])
-            with zipfile.ZipFile(name, "w", zipfile.ZIP_DEFLATED) as zf:
-                zf.writestr(member, text.getvalue())
+
+        from pyarrow.fs import FileSystem
+        count = 0
+
+        def rows():
+            nonlocal count
+            yield cols
+            for b in batches:
+                for row in b[cols].itertuples(index=False, name=None):
+                    count += 1
+                    yield [None if v is None or (isinstance(v, float) and v != v) else
+                           (v.item() if hasattr(v, "item") else v) for v in row]
+
+        fs, base = FileSystem.from_uri(folder)
+        fs.create_dir(base, recursive=True)
+        name = f"part-{uuid.uuid4().hex}.{kind}"
+        with fs.open_output_stream(f"{base}/{name}", compression=None) as f:
+            if kind == "zip":
+                write_zip_csv(f, rows(), member, sep)
+            else:
+                write_xlsx(f, rows())
+        if count:
+            yield pd.DataFrame({"archive": [f"{folder.rstrip('/')}/{name}"], "rows": [count]})
         else:
-            with open(name, "wb") as fh:
-                fh.write(xlsx_bytes(cols, recs))
-        yield pd.DataFrame({"archive": [name], "rows": [len(recs)]})
+            fs.delete_file(f"{base}/{name}")
 
-    return df.mapInPandas(run, "archive string, rows long")
+    return df.repartition(parts).mapInPandas(run, "archive string, rows long")

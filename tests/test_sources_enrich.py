@@ -1,3 +1,4 @@
+import io
 import os
 import tempfile
 
@@ -36,7 +37,8 @@ def test_zip_archives_with_quoted_newline(spark, tmp_path):
 
 
 def test_xlsx_roundtrip(spark, tmp_path):
-    (tmp_path / "b.xlsx").write_bytes(ar.xlsx_bytes(["a", "b"], [["x", 1.5], ["y & z", None]]))
+    with open(tmp_path / "b.xlsx", "wb") as f:
+        ar.write_xlsx(f, iter([["a", "b"], ["x", 1.5], ["y & z", None]]))
     rows = ar.read_xlsx(spark, str(tmp_path)).collect()
     assert [(r.a, r.b) for r in rows] == [("x", "1.5"), ("y & z", None)]
 
@@ -62,8 +64,42 @@ def test_enrich_fallback_and_order(spark):
 def test_zip_with_xlsx_member_and_missing_path(spark, tmp_path):
     import zipfile
     with zipfile.ZipFile(tmp_path / "c.zip", "w") as zf:
-        zf.writestr("book.xlsx", ar.xlsx_bytes(["a"], [["x"], ["y"]]))
+        book = io.BytesIO()
+        ar.write_xlsx(book, iter([["a"], ["x"], ["y"]]))
+        zf.writestr("book.xlsx", book.getvalue())
     rows = ar.read_zip_csv(spark, str(tmp_path), member="book.xlsx").collect()
     assert sorted(r.a for r in rows) == ["x", "y"]
     with pytest.raises(FileNotFoundError):
         ar.read_zip_csv(spark, str(tmp_path / "nope"))
+
+
+def test_archives_with_headers_of_their_own(spark, tmp_path):
+    import zipfile
+    for k, text in enumerate(["id,name\n1,x\n", "name,id\ny,2\n", "id,extra\n3,z\n"]):
+        with zipfile.ZipFile(tmp_path / f"a{k}.zip", "w") as zf:
+            zf.writestr("m.csv", text)
+    df = ar.read_zip_csv(spark, str(tmp_path))
+    rows = {tuple(r) for r in df.select("id", "name", "extra").collect()}
+    assert rows == {("1", "x", None), ("2", "y", None), ("3", None, "z")}
+
+
+def test_write_archives_streams_to_uri(spark, tmp_path):
+    df = spark.range(25).selectExpr("id", "cast(id as string) as t", "if(id % 5 = 0, null, id * 0.5) as x")
+    out = ar.write_archives(df, f"file://{tmp_path}/z", "zip", "m.csv", rows_per_archive=10).collect()
+    assert sum(r.rows for r in out) == 25 and len(out) == 3
+    assert ar.read_zip_csv(spark, f"{tmp_path}/z").count() == 25
+
+
+def test_paths_below_any_store():
+    from scrubstat.session import join_uri
+    assert join_uri("hdfs://name:8020/x/", "tables/a") == "hdfs://name:8020/x/tables/a"
+    assert join_uri("s3a://bucket", "/t", "p") == "s3a://bucket/t/p"
+
+
+def test_cluster_without_shared_folder_raises():
+    from types import SimpleNamespace
+
+    from scrubstat.session import checkpoint_dir
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
+    with pytest.raises(RuntimeError):
+        checkpoint_dir(SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda k, d=None: None)))
