@@ -18,14 +18,26 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import write_through
+
 
 def default_buckets(df: DataFrame) -> int:
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(16, min(1024, 2 * parts))
+    """Two buckets for each shuffle partition, the setting that follows the size of the data."""
+    return max(16, 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
 def _search(key: Column, bounds: Sequence[Column]) -> Column:
-    """Number of boundaries <= key, as a balanced CASE tree (bounds sorted ascending)."""
+    """Number of boundaries <= key (bounds sorted ascending): a balanced CASE tree, or, where that would
+    outgrow generated code, the same search over an array."""
+    n = len(bounds)
+    if n > 512:
+        at, step, steps = F.array(*bounds), 1 << (n.bit_length() - 1), []
+        while step:
+            steps.append(F.lit(step))
+            step >>= 1
+        found = F.aggregate(F.array(*steps), F.lit(0), lambda a, s: F.when(
+            (a + s <= n) & (F.get(at, a + s - 1) <= key), a + s).otherwise(a))
+        return F.when(key.isNotNull(), found).otherwise(F.lit(0))
 
     def rec(lo: int, hi: int) -> Column:
         if lo == hi:
@@ -77,12 +89,13 @@ def global_rank(df: DataFrame, order_cols: Sequence[str], by: Sequence[str] = ()
                 name: str = "rank", buckets: int | None = None) -> DataFrame:
     """Row number (1-based) by `order_cols` within `by` groups (whole table when empty).
 
-    Ties are broken by a hash of the whole row, which also lets boundaries split a run of equal
-    keys, so a hot key does not land in one task.
+    The input is written once to the shared scratch folder: counting, cutting, numbering and totals
+    read that table. Ties are broken by a hash of the row and its place there, so boundaries split
+    a run of equal keys, and of identical rows, and neither lands in one task.
     """
     by = list(by)
     order_cols = list(order_cols)
-    keyed = df.withColumn("_tb", F.xxhash64(*[F.col(c) for c in df.columns]))
+    keyed = write_through(df.withColumn("_tb", F.xxhash64(*[F.col(c) for c in df.columns], F.monotonically_increasing_id())), "rank")
     keys = order_cols + ["_tb"]
     types = {f.name: f.dataType for f in keyed.schema}
     b = buckets or default_buckets(df)
@@ -90,7 +103,7 @@ def global_rank(df: DataFrame, order_cols: Sequence[str], by: Sequence[str] = ()
     bounds: list[Column] = []
     if n > 0:
         frac = min(1.0, 64.0 * b / n)
-        sample = (keyed.sample(False, frac, seed=17).select(*keys).orderBy(*keys).collect())
+        sample = keyed.sample(False, frac, seed=17).select(*keys).orderBy(*keys).collect()  # about 64 rows a bucket
         if sample:
             step = max(1, len(sample) // b)
             picked = sample[step::step][: b - 1]

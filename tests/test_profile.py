@@ -1,6 +1,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from scrubstat.operators import profile as p
 from scrubstat.operators.rank import exact_quantiles, global_rank
@@ -71,3 +72,21 @@ def test_iqr_outliers_invalid_bound(spark):
     df = spark.createDataFrame([(1.0,)], "x double")
     with pytest.raises(ValueError):
         p.iqr_outliers(df, "x", bound="middle")
+
+
+def test_global_rank_reads_its_input_once_and_splits_identical_rows(spark, sf):
+    from scrubstat.operators.rank import _search, global_rank
+    df = spark.range(3000).selectExpr("cast(7 as int) as x")
+    out = global_rank(df, ["x"], buckets=16)
+    assert sorted(r["rank"] for r in out.collect()) == list(range(1, 3001))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Range (" not in plan  # only the written table is read
+    hit = spark.range(5000).select(_search(F.col("id"), [F.lit(b) for b in range(0, 4000, 4)]).alias("n"), "id")
+    assert hit.where("n != least(1000, id div 4 + 1)").count() == 0
+
+
+def test_trend_table_plan_reads_orders_once(spark, sf):
+    from scrubstat.plans.tables import trend
+    out = trend(spark, sf, with_record_id=True)
+    # orders are read by the job that writes the trend; numbering and totals read what it wrote
+    assert out.inputFiles() and not any("orders" in f for f in out.inputFiles())
