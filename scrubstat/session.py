@@ -96,12 +96,25 @@ def drop_scratch(spark: SparkSession, *paths: str) -> None:
         fs.delete(p, True)
 
 
+_TABLES: list[str] = []  # scratch tables of this process
+
+
+def release_scratch(spark: SparkSession, keep: DataFrame) -> None:
+    """Remove the scratch tables written so far, but for those that `keep` reads. For jobs in steps, each of
+    which starts from a table that the last one wrote elsewhere."""
+    read = "\n".join(keep.inputFiles())
+    for path in [t for t in _TABLES if t.rpartition("/")[2] not in read]:
+        drop_scratch(spark, path)
+        _TABLES.remove(path)
+
+
 def write_through(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage by writing a parquet table into the shared checkpoint folder and reading it
     back. Unlike `checkpoint()`, the re-read table carries its real size, so iterative jobs do
     not compound estimated join sizes from round to round."""
     path = scratch_path(df.sparkSession, f"tables/{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
+    _TABLES.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
