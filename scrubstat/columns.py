@@ -67,11 +67,6 @@ def numeric_columns(df: DataFrame, columns: Iterable[str] | None = None,
     return out
 
 
-def string_columns(df: DataFrame, columns: Iterable[str] | None = None) -> list[str]:
-    names = list(columns) if columns is not None else list(df.columns)
-    return [c for c in names if is_string(dtype(df, c))]
-
-
 def nan_to_null(c: Column | str, dt: T.DataType | None = None) -> Column:
     """Treat float NaN as missing, like pandas does. Non-float types pass through."""
     col = F.col(c) if isinstance(c, str) else c
@@ -88,11 +83,6 @@ def num(df: DataFrame, name: str) -> Column:
     return nan_to_null(F.col(name).cast("double"), T.DoubleType())
 
 
-def rounded(c: Column, digits: int = 6) -> Column:
-    """Rounding rule for floating results compared across engines."""
-    return F.round(c, digits)
-
-
 def round_all(df: DataFrame, digits: int = 6, skip: Iterable[str] = ()) -> DataFrame:
     """Round every floating column of a (small) result, except those in `skip`."""
     skip = set(skip)
@@ -120,7 +110,3 @@ def null_rows(df: DataFrame, column: str) -> DataFrame:
 def two_groups(df: DataFrame, group_col: str, a, b) -> DataFrame:
     """P5: keep the rows of two groups (the two samples of a test)."""
     return df.where(F.col(group_col).isin(a, b))
-
-
-def sql_ident(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"

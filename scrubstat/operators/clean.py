@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..columns import dtype, is_integral, is_numeric, is_string, scope, sql_ident
+from ..columns import dtype, is_integral, is_numeric, is_string, scope
 from ..functions.text import normalize_header, normalize_text
 from .rank import exact_quantiles, global_rank
 

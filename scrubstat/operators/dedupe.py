@@ -291,14 +291,16 @@ def _distinct_values(df: DataFrame, column: str) -> DataFrame:
 
 
 def implicit_duplicates_token(df: DataFrame, include=None, exclude=None,
-                              fuzzy_threshold: float = 0.85, scorer: str = "difflib"
-                              ) -> DataFrame:
+                              fuzzy_threshold: float = 0.85, scorer: str = "difflib",
+                              token_pairs: bool = True) -> DataFrame:
     """Per string column, ordered pairs (base, other) of distinct values that match by
     containment of squashed forms, a shared token, or similarity of squashed forms >=
     threshold (difflib ratio, order-sensitive; or the symmetric levenshtein ratio).
 
     Output: (column_name, base, other, by_containment, by_token, by_fuzzy). As in the original,
-    a value whose squashed form is empty matches every other value.
+    a value whose squashed form is empty matches every other value. The pairs of a token grow with the square of
+    its values; `token_pairs=False` leaves out pairs that only share a token (`token_groups` lists those values
+    once per token).
     """
     if include:
         cols = [c for c in scope(df, include, None, lenient=True)]
@@ -311,10 +313,10 @@ def implicit_duplicates_token(df: DataFrame, include=None, exclude=None,
         raise ValueError("bigram blocking needs fuzzy_threshold > 0.5 for levenshtein")
     if not cols:
         raise ValueError("no string column to scan")
-    return _token_dups(df, cols, fuzzy_threshold, scorer)
+    return _token_dups(df, cols, fuzzy_threshold, scorer, token_pairs)
 
 
-def _token_dups(df: DataFrame, cols: Sequence[str], t: float, scorer: str) -> DataFrame:
+def _token_dups(df: DataFrame, cols: Sequence[str], t: float, scorer: str, token_pairs: bool) -> DataFrame:
     """All columns in one pass: values are tagged with their column, and every join key
     (token, bigram, character) carries the column name, so pairs never cross columns."""
     parts = [df.select(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
@@ -328,10 +330,10 @@ def _token_dups(df: DataFrame, cols: Sequence[str], t: float, scorer: str) -> Da
     vals = write_through(vals, "token-values")
     ids = vals.select("id", "key", "column_name")
     blk = "column_name"
-    # (b) tokens
+    # (b) tokens (unless pairs that share no more than a token are left out)
     toks = vals.select("id", blk, F.explode(F.array_distinct(tokens(F.col("value"))))
                        .alias("_t")).select("id", _blocked(F.col("_t"), blk).alias("gram"))
-    tok_pairs = salted_self_pairs(toks, "gram", "id").withColumn("_tok", F.lit(True))
+    tok_pairs = salted_self_pairs(toks if token_pairs else toks.limit(0), "gram", "id").withColumn("_tok", F.lit(True))
     # (a) containment (ordered) -> unordered pairs
     nonempty = ids.where(F.length("key") > 0)
     cont = containment_candidates(nonempty, block=blk)
@@ -367,9 +369,11 @@ def _token_dups(df: DataFrame, cols: Sequence[str], t: float, scorer: str) -> Da
     else:
         fuzzy = levenshtein_score(kb, ko) >= round(100.0 * t, 9)
     scored = both.select("column_name", "base", "other", contains.alias("by_containment"),
-                         F.coalesce(F.col("_tok"), F.lit(False)).alias("by_token"),
+                         (F.coalesce(F.col("_tok"), F.lit(False)) if token_pairs else
+                          F.arrays_overlap(tokens(F.col("base")), tokens(F.col("other")))).alias("by_token"),
                          F.coalesce(fuzzy, F.lit(False)).alias("by_fuzzy"))
-    return scored.where(F.col("by_containment") | F.col("by_token") | F.col("by_fuzzy"))
+    wanted = F.col("by_containment") | F.col("by_fuzzy")
+    return scored.where(wanted | F.col("by_token") if token_pairs else wanted)
 
 
 def token_groups(df: DataFrame, include=None, exclude=None) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..columns import move_to_end
+from ..session import write_through
 from .dedupe import HOT_KEY_ROWS
 
 # (?d): only \n ends a line, as for Python's `.`; (?i) ignore case; first match wins.
@@ -43,29 +44,43 @@ def best_page_match(keys: DataFrame, phrase: str, pages: DataFrame, page_id: str
                     text: str = "text", hot: int = HOT_KEY_ROWS) -> DataFrame:
     """E5: for each phrase the page sharing the most distinct tokens (ties: smallest page id).
 
-    Phrase tokens and page tokens meet in an equi-join on the token; a token held by many pages
-    is salted over several tasks. Keys without any shared token get no row.
+    A token that more than `hot` pages hold is common. Phrases first meet pages on their other tokens. Where the best
+    page shares more of these than the phrase has common tokens, c, no page known by common tokens alone can
+    win or tie; the common tokens are then only counted for pages within c of the best. Only the phrases
+    that stay open meet pages on their common tokens too, split over several tasks a token. So common words do not
+    pair all phrases with all pages, and no answer changes. Keys without any shared token get no row.
     Output: (key columns..., page_id, score).
     """
     kcols = [c for c in keys.columns]
-    ktok = keys.select(*kcols, F.explode(F.array_distinct(
-        F.regexp_extract_all(F.lower(F.col(phrase)), F.lit("[a-z0-9]+"), 0))).alias("token"))
-    ptok = pages.select(F.col(page_id).alias("_pid"), F.explode(F.array_distinct(
-        F.regexp_extract_all(F.lower(F.col(text)), F.lit("[a-z0-9]+"), 0))).alias("token"))
-    freq = ptok.groupBy("token").agg(F.count(F.lit(1)).alias("_m"))
-    buckets = F.when(F.col("_m") > hot, F.ceil(F.col("_m") / hot)).otherwise(F.lit(1)).cast("long")
-    ps = ptok.join(freq, "token").select("token", "_pid",
-                                         F.pmod(F.xxhash64("_pid"), buckets).alias("_salt"))
-    ks = ktok.join(freq, "token").select(*kcols, "token", F.explode(
-        F.sequence(F.lit(0).cast("long"), buckets - 1)).alias("_salt"))
-    shared = ks.join(ps, ["token", "_salt"]).groupBy(*kcols, "_pid").agg(
-        F.count(F.lit(1)).alias("score"))
+    words = lambda c: F.explode(F.array_distinct(F.regexp_extract_all(F.lower(F.col(c)), F.lit("[a-z0-9]+"), 0)))
+    ptok = pages.select(F.col(page_id).alias("_pid"), words(text).alias("token"))
+    freq = write_through(ptok.groupBy("token").agg(F.count(F.lit(1)).alias("_m")), "page-tokens")
+    # the key as a struct: its nulls compare equal
+    ktok = write_through(keys.select(F.struct(*kcols).alias("_k"), words(phrase).alias("token")).join(freq, "token"), "key-tokens")
+    common = F.col("_m") > hot
+
+    def meet(tokens: DataFrame) -> DataFrame:
+        buckets = F.ceil(F.col("_m") / hot).cast("long")
+        ps = ptok.join(freq, "token").select("token", "_pid", F.pmod(F.xxhash64("_pid"), buckets).alias("_salt"))
+        ks = tokens.select("_k", "token", F.explode(F.sequence(F.lit(0).cast("long"), buckets - 1)).alias("_salt"))
+        return ks.join(ps, ["token", "_salt"]).groupBy("_k", "_pid").agg(F.count(F.lit(1)).alias("score"))
+
+    rare = write_through(meet(ktok.where(~common)), "page-scores")
+    state = write_through(ktok.groupBy("_k").agg(F.count_if(common).alias("_c")).join(
+        rare.groupBy("_k").agg(F.max("score").alias("_best")), "_k", "left")
+        .withColumn("_open", (F.col("_c") > 0) & (F.coalesce("_best", F.lit(0)) <= F.col("_c"))), "key-state")
+    near = rare.join(state.where("not _open"), "_k").where("score >= _best - _c")
+    more = (near.join(ktok.where(common).select("_k", "token"), "_k").join(ptok, ["_pid", "token"])
+            .groupBy("_k", "_pid").agg(F.count(F.lit(1)).alias("_more")))
+    settled = near.join(more, ["_k", "_pid"], "left").select(
+        "_k", "_pid", (F.col("score") + F.coalesce("_more", F.lit(0))).alias("score"))
+    opened = meet(ktok.join(state.where("_open").select("_k"), "_k"))
     # best = highest score, then smallest page id; an aggregate (partial per task) rather
     # than a window, so a key with many candidate pages never sits in one partition
-    best = shared.groupBy(*kcols).agg(
+    best = settled.unionByName(opened).groupBy("_k").agg(
         F.min_by("_pid", F.struct((-F.col("score")).alias("s"), F.col("_pid").alias("p")))
         .alias("_pid"), F.max("score").alias("score"))
-    return best.select(*kcols, F.col("_pid").alias(page_id), "score")
+    return best.select("_k.*", F.col("_pid").alias(page_id), "score")
 
 
 def enrich_lookup(df: DataFrame, name: str, platform: str, pages: DataFrame,

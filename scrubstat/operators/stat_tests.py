@@ -13,11 +13,11 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..columns import nan_to_null
+from ..columns import nan_to_null, two_groups
 from ..functions import special as sp
 from ..functions.special import log_norm_cdf, norm_ppf, norm_tail
 from .rank import exact_quantiles, ranked_counts
@@ -89,7 +89,7 @@ def levene(df: DataFrame, group: str, value: str, by: Sequence[str] = (),
 # --- T2 / T3 / T4 --------------------------------------------------------------------------
 
 def _two_sample_stats(df: DataFrame, group: str, value: str, a, b, by: Sequence[str]):
-    v = df.where(F.col(group).isin(a, b)).select(*by, group, _val(df, value).alias("_x"))
+    v = two_groups(df, group, a, b).select(*by, group, _val(df, value).alias("_x"))
     sel = lambda g, e: F.when(F.col(group) == g, e)
     x = F.col("_x")
     return v.groupBy(*by).agg(
@@ -126,7 +126,7 @@ def ttest_decision(df: DataFrame, group: str, value: str, a, b, alpha: float = 0
                    by: Sequence[str] = ()) -> DataFrame:
     """T4: Levene first; p < alpha -> Welch, else pooled; then reject or keep H0."""
     by = list(by)
-    two = df.where(F.col(group).isin(a, b))
+    two = two_groups(df, group, a, b)
     lev = levene(two, group, value, by).select(
         *by, F.col("statistic").alias("levene_stat"), F.col("p_value").alias("levene_p"))
     pooled = ttest(df, group, value, a, b, True, by).select(

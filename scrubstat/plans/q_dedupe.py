@@ -37,6 +37,13 @@ def _implicit_dup_token(spark, sf):
                                         fuzzy_threshold=0.85, scorer="levenshtein")
 
 
+@q("implicit_dup_other", f"SELECT * FROM ({_token_sql()}) t WHERE by_containment OR by_fuzzy")
+def _implicit_dup_other(spark, sf):
+    """Without the pairs that only share a token."""
+    return dd.implicit_duplicates_token(table(spark, sf, "part"), include=_PART_COLS, fuzzy_threshold=0.85,
+                                        scorer="levenshtein", token_pairs=False)
+
+
 @q("implicit_dup_difflib")
 def _implicit_dup_difflib(spark, sf):
     return dd.implicit_duplicates_token(table(spark, sf, "part"), include=_PART_COLS,

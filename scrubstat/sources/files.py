@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Sequence
 from pathlib import Path
 
@@ -12,11 +11,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.parsing import parse_timestamp, strict_double
+from ..session import join_uri
 
 
 def _path(path: str | Path, filename: str | Path | None = None) -> str:
-    p = Path(path) / filename if filename is not None else Path(path)
-    return str(p)
+    """The path as text; URIs of any store stay whole."""
+    return str(path) if filename is None else join_uri(str(path), str(filename))
 
 
 def read_csv(spark: SparkSession, path: str | Path, filename: str | Path | None = None, *,
@@ -85,7 +85,3 @@ def write_parquet(df: DataFrame, path: str | Path, mode: str = "overwrite",
         w = w.partitionBy(*partition_by)
     w.parquet(str(path))
     return str(path)
-
-
-def exists(path: str | Path) -> bool:
-    return os.path.exists(str(path))

@@ -103,3 +103,20 @@ def test_cluster_without_shared_folder_raises():
     sc = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
     with pytest.raises(RuntimeError):
         checkpoint_dir(SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda k, d=None: None)))
+
+
+@pytest.mark.parametrize("hot", [1, 3, 2000])
+def test_best_page_equals_brute_force(spark, hot):
+    import random
+    rng = random.Random(4)
+    vocab = ["the", "of", "game"] * 4 + [f"w{i}" for i in range(25)]
+    pages = [(i, " ".join(rng.choices(vocab, k=rng.randint(1, 8)))) for i in range(40)]
+    keys = [(f"k{i}" if i else None, " ".join(rng.choices(vocab + ["absent"], k=rng.randint(1, 5)))) for i in range(30)]
+    want = {}
+    for k, ph in keys:
+        best = min(((-len(set(ph.split()) & set(t.split())), p) for p, t in pages), default=None)
+        if best and best[0]:
+            want[k, ph] = (best[1], -best[0])
+    got = en.best_page_match(spark.createDataFrame(keys, "k string, phrase string"), "phrase",
+                             spark.createDataFrame(pages, "page_id long, text string"), hot=hot)
+    assert {(r.k, r.phrase): (r.page_id, r.score) for r in got.collect()} == want
