@@ -136,7 +136,10 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     rows = rows.withColumn("sha", F.sha1(F.encode("html", "UTF-8")))
     firsts = write_through(rows.where(F.octet_length("html") >= min_bytes).groupBy(F.col("sha").alias("key"))
                            .agg(F.min("id").alias("first")), "warc-firsts")
-    sample = (rows.select("id", "url", F.substring("html", 1, sample_bytes).alias("html"))
+    # Each partition sends its first pages to the driver, so a hash keeps all but about twice the sample out.
+    share = max(1, min(1 << 30, (sample_pages << 31) // max(1, rows.count())))
+    sample = (rows.where(F.pmod(F.xxhash64("id", "url"), F.lit(1 << 30)) < share)
+              .select("id", "url", F.substring("html", 1, sample_bytes).alias("html"))
               .orderBy(F.xxhash64("id", "url"), "html").limit(sample_pages).collect())
     dictionary = build_dictionary([make_record(None if r["id"] is None else str(r["id"]), r["url"], r["html"].encode(), None)
                                    for r in sample], dictionary_bytes)
