@@ -1,7 +1,9 @@
 """The corpus pipeline: five stages from raw documents to packed training sequences.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; `run` writes it as Parquet into the shared scratch
-folder and rereads it as the next stage's docs. All but the last return the columns of documents.
+folder and rereads it as the next stage's docs. All but the last return the columns of documents. A stage starts by
+removing the scratch tables of the stages before it, but for those that its docs read: write a stage's result
+before the next is called, as `run` does.
 
 Defined results: null text counts as empty and stays null until it is packed as one end token; empty tables pass through
 every stage; extra columns are carried by all stages but the last. Rows without id: see each stage.
@@ -17,7 +19,12 @@ from scrubstat.llm.mixing import mix_documents
 from scrubstat.llm.packing import pack_documents
 from scrubstat.llm.pii import find_pii, redacted
 from scrubstat.llm.quality import score_quality
-from scrubstat.session import join_uri, ship_package, write_through
+from scrubstat.session import join_uri, release_scratch, ship_package, write_through
+
+
+def _start(spark: SparkSession, docs: DataFrame) -> None:
+    ship_package(spark)
+    release_scratch(spark, docs)
 
 
 def _resized(docs: DataFrame) -> DataFrame:
@@ -28,7 +35,7 @@ def _resized(docs: DataFrame) -> DataFrame:
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier (operator 9, trained on all labels) does not reject. Rows without id are
     scored like any other."""
-    ship_package(spark)
+    _start(spark, docs)
     labels = spark.read.parquet(join_uri(sf_dir, "labels.parquet"))
     scored = score_quality(docs, labels, F.lit(True), keep_rows=True)
     return scored.where("score >= 0.5").select("row.*")
@@ -38,7 +45,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """One document, that with the smallest id, of each group linked by a Jaccard similarity of 0.8 or more over
     five-word shingles (operator 5). Documents without words are no copies of each other. A row without id goes if
     its group has a document with an id; else it stays. Of rows equal in id and text one stays."""
-    ship_package(spark)
+    _start(spark, docs)
     classes = jaccard_classes(docs, n=5, percent=80)
     kept = classes.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
     stay = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
@@ -47,7 +54,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data (operator 3) replaced by its kind in brackets."""
-    ship_package(spark)
+    _start(spark, docs)
     found = find_pii(docs, keep_rows=True)
     cols = [redacted(F.col("row.text"), F.col("spans")).alias(c) if c == "text" else F.col(f"row.`{c}`").alias(c)
             for c in docs.columns]
@@ -57,13 +64,13 @@ def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix of sources by weights 5, 2, 1 repeating (operator 8): documents repeat or go, in the order of the mix;
     the last one taken of a source is cut."""
-    ship_package(spark)
+    _start(spark, docs)
     return _resized(mix_documents(docs))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 1024 tokens (operator 1), one row per piece with its token ids."""
-    ship_package(spark)
+    _start(spark, docs)
     return pack_documents(docs)
 
 
