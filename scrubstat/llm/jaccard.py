@@ -1,18 +1,18 @@
 """N-gram Jaccard join with adaptive multi-match prefixes, and its connected components.
 
 A document's set holds its distinct word n-grams as 64-bit hashes, ordered by estimated frequency,
-then hash. Two sets of at least the wanted similarity share `need` tokens, so their prefixes of
-length size - need + l share at least l tokens, for any l. Each document picks its own l (1 to 4):
-the estimated cost of its candidates, from a sketch of token frequencies, is weighed against a longer
-prefix, which asks for l shared tokens before a pair is verified. Of a pair the larger document
-probes, with its l; the smaller one is indexed with its shorter prefix, extended for every l.
+then hash. Two sets of sizes a and b with the wanted similarity share at least need(a, b) tokens, so for any l
+the first a - need + l tokens of one and the first b - need + l of the other have l in common. Each document picks
+its own l (1 to 4): the estimated cost of its candidates, from a sketch of token frequencies, is weighed against a
+longer prefix, which asks for l shared tokens before a pair is verified. A pair goes by the smaller l of the two.
 
 Steps:
 1. One pass over the texts gives each document's set size and signature (equal sets form one class)
    and counts tokens into a sketch of fixed size.
 2. A second pass emits prefix tokens; tokens that only one class has are dropped.
-3. Each class is compared with its likeliest anchors (the first and last class that holds most of
-   its tokens): linear work, which joins large groups of near copies. Links give components.
+3. Each class is compared with its likeliest anchors (the most central class of the lists that it is in, and
+   the first, if it shares l tokens with them): linear work, which joins large groups of near copies. Links
+   give components.
 4. Any pair that could still join two components is compared: within a token's list, the classes
    outside the list's largest component against all of other components. So no list of one
    component is paired out, and no link that could change a component is lost.
@@ -38,31 +38,73 @@ from .graph import components
 
 SKETCH = 1 << 18  # counters of the frequency sketch
 MOST_MATCHES = 4
-_WORDS: dict[bytes, int] = {}
+USUAL = 0.1  # partners that a token without notable frequency is taken to bring
+SLOTS = 1 << 23  # bits of the filter for documents whose sets are wanted
 _M = np.uint64(0x9E3779B97F4A7C15)
+_POWERS: list[np.ndarray] = []
 
 
-def shingle_set(text: str | None, n: int) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the word n-grams; ASCII letters in lower case, ASCII white space."""
-    words = (text or "").encode().lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    if len(words) < n:
-        return np.array([xxhash.xxh64_intdigest(b" ".join(words), 1)], np.uint64)
-    if len(_WORDS) > 500_000:
-        _WORDS.clear()
-    codes = []
-    for w in words:
-        c = _WORDS.get(w)
-        if c is None:
-            c = _WORDS[w] = xxhash.xxh64_intdigest(w)
-        codes.append(c)
-    h = np.array(codes, np.uint64)
-    out = h[:len(h) - n + 1]
+def _mix(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(32))) * _M
+    return h ^ (h >> np.uint64(29))
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the multiplier and of its inverse modulo 2^64."""
+    if not _POWERS or len(_POWERS[0]) < n:
+        inverse = np.uint64(pow(int(_M), -1, 1 << 64))
+        _POWERS[:] = [np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, x)])) for x in (_M, inverse)]
+    return _POWERS[0], _POWERS[1]
+
+
+def shingle_sets(texts: list[str | None], n: int) -> list[np.ndarray]:
+    """Per text the sorted distinct 64-bit hashes of its word n-grams; ASCII letters in lower case, ASCII white
+    space. Words are found and hashed over the bytes of many texts at once (a polynomial over each word's bytes)."""
+    raw = [t.encode() if t is not None else b"" for t in texts]
+    out: list[np.ndarray] = []
+    first = 0
+    while first < len(raw):
+        last, size = first, 0
+        while last < len(raw) and (last == first or size + len(raw[last]) < 1 << 20):
+            size += len(raw[last]) + 1
+            last += 1
+        out += _sets_of(raw[first:last], n)
+        first = last
+    return out
+
+
+def _sets_of(raw: list[bytes], n: int) -> list[np.ndarray]:
+    b = np.frombuffer(b"\n" + b"\n".join(raw) + b"\n", np.uint8)
+    space = (b == 32) | ((b >= 9) & (b <= 13))
+    b = np.where((b >= 65) & (b <= 90), b + np.uint8(32), b)
+    edge = np.flatnonzero(space[1:] != space[:-1]) + 1
+    start, end = edge[0::2], edge[1::2]
+    up, down = _powers(len(b))
+    sums = np.concatenate([[np.uint64(0)], np.cumsum((b.astype(np.uint64) + np.uint64(1)) * up[:len(b)])])
+    word = _mix((sums[end] - sums[start]) * down[start])
+    bounds = np.cumsum([1] + [len(r) + 1 for r in raw])
+    at = np.searchsorted(start, bounds)
+    grams = word[:max(0, len(word) - n + 1)]
     for k in range(1, n):
-        out = (out ^ (out >> np.uint64(29))) * _M + h[k:len(h) - n + 1 + k]
-    out = (out ^ (out >> np.uint64(32))) * _M
-    return np.unique(out ^ (out >> np.uint64(29)))
+        grams = _mix(grams) + word[k:len(word) - n + 1 + k]
+    grams = _mix(grams)
+    out = []
+    for lo, hi in zip(at, at[1:]):
+        if hi - lo >= n:
+            g = np.sort(grams[lo:hi - n + 1])
+            out.append(g[np.concatenate([[True], g[1:] != g[:-1]])])
+        elif hi > lo:  # the whole sequence
+            h = np.array([hi - lo], np.uint64)
+            for w in word[lo:hi]:
+                h = _mix(h) + w
+            out.append(_mix(h))
+        else:
+            out.append(np.zeros(0, np.uint64))
+    return out
+
+
+def shingle_set(text: str | None, n: int) -> np.ndarray:
+    return shingle_sets([text], n)[0]
 
 
 def signature(tokens: np.ndarray) -> int:
@@ -79,21 +121,26 @@ class Prefixes:
         self.excess = np.maximum(0.0, counts - mean - 6 * np.sqrt(mean + 1))
 
     def of(self, tokens: np.ndarray):
-        """(prefix tokens, l, probe class, index class): a token belongs to the probe (index) prefix for
-        every l not below its class."""
+        """(prefix tokens for partners of any size, l)."""
         n, p = len(tokens), self.percent
-        need_probe = -(-p * n // 100)
-        need_index = -(-2 * p * n // (100 + p))
+        least = -(-p * n // 100)  # shared with the smallest possible partner
+        even = -(-2 * p * n // (100 + p))  # with one of the same size
         often = self.excess[(tokens & np.uint64(SKETCH - 1)).astype(np.int64)]
         if often.any():
             by = np.lexsort((tokens, often))
             tokens, often = tokens[by], often[by]
-        most = min(MOST_MATCHES, need_probe)
-        length = n - need_probe
-        cost = [length + k + often[:length + k].sum() * (1 + n / 10 / k) for k in range(1, most + 1)]
-        at = np.arange(1, length + most + 1)
-        return (tokens[:length + most], 1 + int(np.argmin(cost)),
-                np.maximum(1, at - n + need_probe), np.minimum(15, np.maximum(1, at - n + need_index)))
+        most = min(MOST_MATCHES, least)
+        length = n - even
+        # Entries met, and partners, of which at most one in k is verified (at a cost that grows with n).
+        cost = [length + k + (often[:length + k].sum() + USUAL * (length + k)) * (1 + n / k) for k in range(1, most + 1)]
+        return tokens[:n - least + most], 1 + int(np.argmin(cost))
+
+
+def slices(frames, rows: int = 500):
+    """The batches of a task in short pieces, so that few sets are held at a time."""
+    for f in frames:
+        for k in range(0, len(f), rows):
+            yield f.iloc[k:k + rows]
 
 
 def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 4,
@@ -106,11 +153,10 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def sizes(frames):
         counts = np.zeros(SKETCH, np.int64)
-        for f in frames:
-            sets = [shingle_set(t, n) for t in f["text"]]
-            for k in range(0, len(sets), 500):
-                slots = np.concatenate(sets[k:k + 500]) & np.uint64(SKETCH - 1)
-                counts += np.bincount(slots.astype(np.int64), minlength=SKETCH)
+        for f in slices(frames):
+            sets = shingle_sets(list(f["text"]), n)
+            slots = np.concatenate(sets) & np.uint64(SKETCH - 1)
+            counts += np.bincount(slots.astype(np.int64), minlength=SKETCH)
             yield pd.DataFrame({"doc_id": f["doc_id"], "n": [len(s) for s in sets],
                                 "sig": [signature(s) for s in sets], "slot": -1, "count": 0})
         at = np.nonzero(counts)[0]
@@ -126,39 +172,53 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def emit(frames):
         prefixes = Prefixes(percent, shared.value)
-        for f in frames:
+        for f in slices(frames):
             parts = []
-            for t in f["text"]:
-                s = shingle_set(t, n)
+            for s in shingle_sets(list(f["text"]), n):
                 if len(s):
-                    tokens, ell, probe, index = prefixes.of(s)
-                    meta = (len(s) << 12) + (ell << 8) + (np.minimum(15, probe) << 4) + index
+                    tokens, ell = prefixes.of(s)
+                    meta = (len(s) << 29) + (ell << 26) + np.arange(len(tokens), dtype=np.int64)
                     parts.append((tokens, np.full(len(tokens), signature(s)), meta))
             if parts:
                 tok, sig, meta = (np.concatenate(x) for x in zip(*parts))
                 yield pd.DataFrame({"token": tok.view(np.int64), "sig": sig, "meta": meta})
 
     entries = texts.where(F.col("text").isNotNull()).mapInPandas(emit, "token bigint, sig bigint, meta bigint")
-    common = (entries.groupBy("token").agg(F.min("sig").alias("lo"), F.max("sig").alias("hi"))
-              .where("lo != hi"))
+    # Aggregates are written before they are joined back: then both sides of the join are plain shuffles and a
+    # token or class that many documents have is split.
+    common = write_through(entries.groupBy("token").agg(F.min("sig").alias("lo"), F.max("sig").alias("hi"))
+                           .where("lo != hi"), "jaccard-common")
     lists = write_through(entries.join(common, "token").select(
-        "token", "sig", "lo", "hi", F.expr("meta >> 12").alias("n"), F.expr("cast((meta >> 8) & 15 as int)").alias("ell"),
-        F.expr("cast((meta >> 4) & 15 as int)").alias("probe"), F.expr("cast(meta & 15 as int)").alias("index")).distinct(),
-        "jaccard-lists")
+        "token", "sig", "lo", F.expr("meta >> 29").alias("n"), F.expr("cast((meta >> 26) & 7 as int)").alias("ell"),
+        F.expr("cast(meta & 67108863 as int)").alias("pos")).distinct(), "jaccard-lists")
 
-    # The sets of classes that share a token, from the text of one document each (of all documents
-    # without id, where a class has no other).
-    busy = lists.select("sig").distinct()
-    chosen = (sized.where("n > 0").join(busy, "sig").groupBy("sig").agg(F.min("doc_id").alias("id"))
-              .select(F.col("id").cast("string").alias("id")).distinct())
+    classes = write_through(sized.where("n > 0").groupBy("sig").agg(F.min("doc_id").cast("string").alias("doc_id")), "jaccard-classes")
+    slot = F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit("null"))), F.lit(SLOTS))
 
-    def sets_of(frames):
-        for f in frames:
-            sets = [shingle_set(t, n) for t in f["text"]]
-            yield pd.DataFrame({"sig": [signature(s) for s in sets], "tokens": [s.tobytes() for s in sets]})
+    def sets_for(pairs):
+        """(sig, tokens) of the classes in pairs, from the text of one document each. A bitmap of fixed size keeps
+        other texts out of the pass (false hits fall to the join)."""
+        wanted = pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct()
+        chunks = (wanted.join(classes, "sig").select(slot.alias("s"))
+                  .groupBy(F.bitmap_bucket_number(F.col("s") + 1).alias("k"))  # buckets of 32,768 bits, from 1
+                  .agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("s") + 1)).alias("bits"))
+                  .collect())  # at most SLOTS bits
+        bits = np.zeros(SLOTS // 8, np.uint8)
+        for r in chunks:
+            bits[(r["k"] - 1) * 4096:r["k"] * 4096] = np.frombuffer(r["bits"], np.uint8)
+        held = spark.sparkContext.broadcast(bits)
+
+        def sets_of(frames):
+            for f in slices(frames):
+                s = f["slot"].to_numpy()
+                hit = (held.value[s >> 3] >> (s & 7)) & 1 == 1
+                if hit.any():
+                    sets = shingle_sets(list(f["text"].to_numpy()[hit]), n)
+                    yield pd.DataFrame({"sig": [signature(x) for x in sets], "tokens": [x.tobytes() for x in sets]})
 
-    sets = write_through(texts.join(chosen, F.col("doc_id").eqNullSafe(F.col("id"))).select("text").mapInPandas(
-        sets_of, "sig bigint, tokens binary").dropDuplicates(["sig"]), "jaccard-sets")
+        found = (texts.where(F.col("text").isNotNull()).select("text", slot.alias("slot"))
+                 .mapInPandas(sets_of, "sig bigint, tokens binary"))
+        return write_through(found.join(wanted, "sig", "left_semi").dropDuplicates(["sig"]), "jaccard-sets")
 
     def verify(frames):
         for f in frames:
@@ -170,40 +230,52 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             yield f.loc[keep, ["a", "b"]]
 
     def links(pairs):
+        sets = sets_for(pairs)
         left = sets.select(F.col("sig").alias("a"), F.col("tokens").alias("tokens_a"))
         right = sets.select(F.col("sig").alias("b"), F.col("tokens").alias("tokens_b"))
         return pairs.join(left, "a").join(right, "b").mapInPandas(verify, "a bigint, b bigint")
 
-    # Anchors: per class the first and the last class that most of its tokens lead to.
+    # Anchors of a token's list: its most central class (that with the fewest prefix tokens of its own) and its
+    # first. Per class, those are tried that most of its tokens lead to.
+    shared_with = lists.groupBy("sig").agg(F.count("*").alias("c"))
+    least = f"(n * {percent} + 99) div 100"
+    central = write_through(lists.join(shared_with, "sig").groupBy("token").agg(
+        F.min(F.struct(F.expr(f"n - {least} + least({least}, {MOST_MATCHES}) - c").alias("own"), "sig")).alias("best"))
+        .select("token", F.col("best.sig").alias("central")), "jaccard-central")
+    led = lists.join(central, "token")
     near = []
-    for anchor in ("lo", "hi"):
-        met = lists.where(f"sig != {anchor}").groupBy("sig", anchor).count()
+    for anchor in ("lo", "central"):
+        met = led.where(f"sig != {anchor}").groupBy("sig", anchor).agg(
+            F.count("*").alias("count"), F.first("ell").alias("ell")).where("count >= ell")
         near.append(met.groupBy("sig").agg(F.max_by(anchor, F.struct("count", anchor)).alias("b")).select(F.col("sig").alias("a"), "b"))
-    found = write_through(links(near[0].union(near[1]).select(
-        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()), "jaccard-links")
+    first_pairs = write_through(near[0].union(near[1]).select(
+        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "jaccard-pairs")
+    found = write_through(links(first_pairs), "jaccard-links")
     roots = write_through(components(found), "jaccard-roots")
 
     # What could still join two components.
-    placed = lists.join(roots.withColumnRenamed("node", "sig"), "sig", "left").withColumn("root", F.coalesce("root", "sig")).drop("lo", "hi")
-    mixed = placed.groupBy("token", "root").count().groupBy("token").agg(
-        F.max_by("root", F.struct("count", "root")).alias("main"), F.count("*").alias("roots")).where("roots > 1")
+    placed = lists.join(roots.withColumnRenamed("node", "sig"), "sig", "left").withColumn("root", F.coalesce("root", "sig")).drop("lo")
+    mixed = write_through(placed.groupBy("token", "root").count().groupBy("token").agg(
+        F.max_by("root", F.struct("count", "root")).alias("main"), F.count("*").alias("roots")).where("roots > 1"), "jaccard-mixed")
     open_lists = write_through(placed.join(mixed.select("token", "main"), "token"), "jaccard-open")
-    x = open_lists.where("root != main").select("token", *[F.col(c).alias(f"x_{c}") for c in ("sig", "n", "ell", "probe", "index", "root")])
-    y = open_lists.select("token", "main", *[F.col(c).alias(f"y_{c}") for c in ("sig", "n", "ell", "probe", "index", "root")])
+    cols = ("sig", "n", "ell", "pos", "root")
+    x = open_lists.where("root != main").select("token", *[F.col(c).alias(f"x_{c}") for c in cols])
+    y = open_lists.select("token", "main", *[F.col(c).alias(f"y_{c}") for c in cols])
+    need = f"((x_n + y_n) * {percent} + {99 + percent}) div {100 + percent}"
     met = x.join(y, "token").where(
         "x_root != y_root and (y_root = main or x_sig < y_sig) and "
-        f"100 * least(x_n, y_n) >= {percent} * greatest(x_n, y_n)").select(
-        F.expr("(x_n, x_sig) > (y_n, y_sig)").alias("x_probes"), "*").select(
-        F.expr("if(x_probes, x_sig, y_sig)").alias("a"), F.expr("if(x_probes, y_sig, x_sig)").alias("b"),
-        F.expr("if(x_probes, x_ell, y_ell)").alias("ell"), F.expr("if(x_probes, x_probe, y_probe)").alias("probe"),
-        F.expr("if(x_probes, y_index, x_index)").alias("index")).where("probe <= ell and index <= ell")
-    pairs = met.groupBy("a", "b").agg(F.count("*").alias("matches"), F.first("ell").alias("ell")).where("matches >= ell")
-    more = write_through(links(pairs.select("a", "b")), "jaccard-links")
-    if not more.isEmpty():
-        roots = write_through(components(found.union(more)), "jaccard-roots")
+        f"100 * least(x_n, y_n) >= {percent} * greatest(x_n, y_n) and "
+        f"x_pos < x_n - {need} + least(x_ell, y_ell) and y_pos < y_n - {need} + least(x_ell, y_ell)").select(
+        F.least("x_sig", "y_sig").alias("a"), F.greatest("x_sig", "y_sig").alias("b"), F.least("x_ell", "y_ell").alias("ell"))
+    pairs = write_through(met.groupBy("a", "b").agg(F.count("*").alias("matches"), F.first("ell").alias("ell"))
+                          .where("matches >= ell").select("a", "b"), "jaccard-pairs")
+    if not pairs.isEmpty():
+        more = write_through(links(pairs), "jaccard-links")
+        if not more.isEmpty():
+            roots = write_through(components(found.union(more)), "jaccard-roots")
 
     named = sized.join(roots.withColumnRenamed("node", "sig"), "sig", "left").withColumn("root", F.coalesce("root", "sig"))
-    names = named.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    names = write_through(named.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("component_id")), "jaccard-names")
     return (named.join(names, "root", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
