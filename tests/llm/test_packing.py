@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import types as T
 
-from scrubstat.llm.packing import pack_documents, pack_lengths, public_bpe, step_groups
+from scrubstat.llm.packing import pack_documents, pack_lengths, public_bpe, step_groups, token_ids
 
 
 def encode(text):
@@ -56,6 +56,22 @@ def test_ids_equal_the_tokenizer_file(spark, sf):
         assert list(public_bpe().encode_ordinary(x)) == t.encode(x, add_special_tokens=False).ids
 
 
+def loaded_tokenizer():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def test_ids_equal_the_tokenizer_as_loaded(spark, sf):
+    t, end = loaded_tokenizer(), "<|endoftext|>"
+    texts = [r.text for r in spark.read.parquet(f"{sf}/documents.parquet").limit(60).collect()]
+    texts += [f"a {end} b", end, end + end, f"\n {end}  x", f"<{end}>", end[:-1], f"é{end}'ll", f"<|endof{end}text|>"]
+    for x in texts:
+        assert token_ids(x).tolist() == t.encode(x, add_special_tokens=False).ids
+    packed = pack_documents(spark.createDataFrame([(1, f"a {end} b")], "doc_id long, text string")).collect()
+    assert [np.frombuffer(p.ids, "<u4").tolist() for p in packed] == [[64, 220, 50256, 275, 0]]
+
+
 def test_edge_rows(spark):
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
                            T.StructField("bucket", T.StringType()), T.StructField("ids", T.LongType())])
