@@ -72,6 +72,16 @@ def test_ids_equal_the_tokenizer_as_loaded(spark, sf):
     assert [np.frombuffer(p.ids, "<u4").tolist() for p in packed] == [[64, 220, 50256, 275, 0]]
 
 
+def test_runs_of_over_a_million_blanks(spark):
+    t, n = loaded_tokenizer(), 1_200_000
+    docs = {1: " " * n + "x", 2: "a" + "\n" * n + "<|endoftext|> b", 3: "\u00a0 " * (n // 2) + "é"}
+    for x in docs.values():
+        assert token_ids(x).tolist() == t.encode(x, add_special_tokens=False).ids
+    packed = pack_documents(spark.createDataFrame([(1, docs[1])], "doc_id long, text string")).collect()
+    ids = b"".join(bytes(p.ids) for p in sorted(packed, key=lambda p: p.start))
+    assert np.frombuffer(ids, "<u4").tolist() == t.encode(docs[1], add_special_tokens=False).ids + [0]
+
+
 def test_edge_rows(spark):
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
                            T.StructField("bucket", T.StringType()), T.StructField("ids", T.LongType())])
