@@ -16,6 +16,9 @@ Steps:
 4. Any pair that could still join two components is compared: within a token's list, the classes
    outside the list's largest component against all of other components. So no list of one
    component is paired out, and no link that could change a component is lost.
+5. `jaccard_links` and `jaccard_pairs` find every link: none leaves its component, so all pairs of classes within
+   each component are verified, large components in pairs of blocks of bounded size. `jaccard_classes` is the short
+   way to the components and leaves this step out.
 
 Frequencies only order tokens and choose l; results do not depend on them.
 
@@ -40,6 +43,8 @@ SKETCH = 1 << 18  # counters of the frequency sketch
 MOST_MATCHES = 4
 USUAL = 0.1  # partners that a token without notable frequency is taken to bring
 SLOTS = 1 << 23  # bits of the filter for documents whose sets are wanted
+BLOCK = 128  # classes of a component in a block,
+BLOCK_TOKENS = 1 << 21  # and tokens, on average
 _M = np.uint64(0x9E3779B97F4A7C15)
 _POWERS: list[np.ndarray] = []
 
@@ -146,6 +151,124 @@ def slices(frames, rows: int = 500):
 def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 4,
                     percent: int = 85) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of docs."""
+    sized, roots, _ = _joined(docs, id_col, text_col, n, percent)
+    return _named(sized, roots).select("doc_id", "n_shingles", "component_id")
+
+
+def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 4,
+                  percent: int = 85) -> DataFrame:
+    """(doc_id, n_shingles, component_id, class, n_links) for every row of docs: `class` is the same for equal sets
+    (null for size 0), n_links counts the other rows that the row links with, copies included."""
+    sized, roots, sets_for = _joined(docs, id_col, text_col, n, percent)
+    copies = write_through(sized.where("n > 0").groupBy("sig").agg(
+        F.first("n").alias("n"), F.count("*").alias("copies")), "jaccard-copies")
+    linked = _verified(copies, roots, sets_for, percent, pairs=False).groupBy("sig").agg(F.sum("links").alias("links"))
+    counts = write_through(copies.join(linked, "sig", "left").select(
+        "sig", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "jaccard-counts")
+    return _named(sized, roots).join(counts, "sig", "left").select(
+        "doc_id", "n_shingles", "component_id", F.when(F.col("n_shingles") > 0, F.col("sig")).alias("class"),
+        F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
+def jaccard_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 4,
+                  percent: int = 85) -> DataFrame:
+    """(class_a, class_b, doc_a, doc_b) for every link between different sets, class_a > class_b as in `jaccard_links`;
+    doc_a and doc_b are the smallest ids of the classes. As many rows as there are links: their number grows with
+    the square of a group's size."""
+    sized, roots, sets_for = _joined(docs, id_col, text_col, n, percent)
+    copies = write_through(sized.where("n > 0").groupBy("sig").agg(
+        F.first("n").alias("n"), F.count("*").alias("copies"), F.min("doc_id").alias("doc_id")), "jaccard-copies")
+    out = _verified(copies, roots, sets_for, percent, pairs=True)
+    for side in "ab":
+        out = out.join(copies.select(F.col("sig").alias(side), F.col("doc_id").alias(f"doc_{side}")), side)
+    return out.select(F.col("a").alias("class_a"), F.col("b").alias("class_b"), "doc_a", "doc_b")
+
+
+def shared_tokens(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """Matrix of the numbers of tokens that the sets of x share with those of y."""
+    if len(x) * len(y) <= 4:
+        return np.array([[len(np.intersect1d(a, b, assume_unique=True)) for b in y] for a in x], np.int64)
+    vocabulary = np.intersect1d(np.concatenate(x), np.concatenate(y))
+    sides = []
+    for sets in (x, y):
+        tokens, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        at = np.searchsorted(vocabulary, tokens)
+        hit = np.flatnonzero(at < len(vocabulary))
+        hit = hit[vocabulary[at[hit]] == tokens[hit]]
+        hit = hit[np.argsort(at[hit], kind="stable")]
+        sides.append((at[hit], owner[hit], len(sets)))
+    out = np.zeros((len(x), len(y)), np.int64)
+    for lo in range(0, len(vocabulary), 4096):
+        parts = []
+        for at, owner, size in sides:
+            here = slice(*np.searchsorted(at, [lo, lo + 4096]))
+            part = np.zeros((size, 4096), np.float32)
+            part[owner[here], at[here] - lo] = 1
+            parts.append(part)
+        out += (parts[0] @ parts[1].T).astype(np.int64)  # whole numbers up to 4096
+    return out
+
+
+def _verified(copies: DataFrame, roots: DataFrame, sets_for, percent: int, pairs: bool) -> DataFrame:
+    """All pairs of classes within the components, verified: the links (a, b), or the partial counts (sig, links)."""
+    members = write_through(roots.select(F.col("node").alias("sig"), "root").join(copies.select("sig", "n", "copies"), "sig"), "jaccard-members")
+    per_root = write_through(members.groupBy("root").agg(F.greatest(
+        F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_TOKENS)).alias("k")), "jaccard-blocks")
+    # Components of one block share tasks.
+    m, tokens = members.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    buckets = F.lit(max(1, m // BLOCK, tokens // BLOCK_TOKENS))
+    block = F.pmod(F.xxhash64("sig"), F.col("k"))
+    dealt = (members.join(per_root, "root").withColumn("block", block).join(sets_for(members.select("sig")), "sig")
+             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1)))
+             .select(F.when(F.col("k") == 1, F.pmod(F.xxhash64("root"), buckets)).otherwise(F.col("root")).alias("key"), "k",
+                     F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+                     "root", "block", "sig", "copies", "tokens"))
+
+    def compare(f):
+        f = f.sort_values(["root", "sig"], ignore_index=True)
+        root, block, sig, copied = (f[c].to_numpy() for c in ("root", "block", "sig", "copies"))
+        sets = [np.frombuffer(t, np.uint64) for t in f["tokens"]]
+        size = np.array([len(s) for s in sets], np.int64)
+        i, j = f["i"].iloc[0], f["j"].iloc[0]
+        a, b, links = [], [], np.zeros(len(f), np.int64)
+        for x in np.split(np.arange(len(f)), np.flatnonzero(root[1:] != root[:-1]) + 1):
+            x, y = (x, x) if i == j else (x[block[x] == i], x[block[x] == j])
+            if not len(x) or not len(y):
+                continue
+            both = shared_tokens([sets[k] for k in x], [sets[k] for k in y])
+            keep = 100 * both >= percent * (size[x][:, None] + size[y][None, :] - both)
+            if i == j:
+                np.fill_diagonal(keep, False)
+                links[x] += keep @ copied[x]
+                keep = np.triu(keep)
+            else:
+                links[x] += keep @ copied[y]
+                links[y] += keep.T @ copied[x]
+            if pairs:
+                u, v = np.nonzero(keep)
+                a.append(np.maximum(sig[x[u]], sig[y[v]]))
+                b.append(np.minimum(sig[x[u]], sig[y[v]]))
+        if pairs:
+            none = [np.zeros(0, np.int64)]
+            return pd.DataFrame({"a": np.concatenate(none + a), "b": np.concatenate(none + b)})
+        return pd.DataFrame({"sig": sig, "links": links})
+
+    groups = dealt.groupBy("key", "k", "i", "j")
+    return groups.applyInPandas(compare, "a bigint, b bigint" if pairs else "sig bigint, links bigint")
+
+
+def _named(sized: DataFrame, roots: DataFrame) -> DataFrame:
+    """(sig, doc_id, n_shingles, component_id) for every row of sized."""
+    named = sized.join(roots.withColumnRenamed("node", "sig"), "sig", "left").withColumn("root", F.coalesce("root", "sig"))
+    names = write_through(named.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("component_id")), "jaccard-names")
+    return (named.join(names, "root", "left").select(
+        "sig", "doc_id", F.col("n").alias("n_shingles"),
+        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
+
+
+def _joined(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int):
+    """(sized, roots, sets_for): (doc_id, n, sig) of every row, (node, root) of the classes that link, and a function
+    that gives (sig, tokens) of wanted classes."""
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
     # pandas would turn whole numbers beside nulls into floats, so ids pass Python as text.
@@ -195,10 +318,9 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = write_through(sized.where("n > 0").groupBy("sig").agg(F.min("doc_id").cast("string").alias("doc_id")), "jaccard-classes")
     slot = F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit("null"))), F.lit(SLOTS))
 
-    def sets_for(pairs):
-        """(sig, tokens) of the classes in pairs, from the text of one document each. A bitmap of fixed size keeps
+    def sets_for(wanted):
+        """(sig, tokens) of the classes in wanted, from the text of one document each. A bitmap of fixed size keeps
         other texts out of the pass (false hits fall to the join)."""
-        wanted = pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct()
         chunks = (wanted.join(classes, "sig").select(slot.alias("s"))
                   .groupBy(F.bitmap_bucket_number(F.col("s") + 1).alias("k"))  # buckets of 32,768 bits, from 1
                   .agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("s") + 1)).alias("bits"))
@@ -230,7 +352,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             yield f.loc[keep, ["a", "b"]]
 
     def links(pairs):
-        sets = sets_for(pairs)
+        sets = sets_for(pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct())
         left = sets.select(F.col("sig").alias("a"), F.col("tokens").alias("tokens_a"))
         right = sets.select(F.col("sig").alias("b"), F.col("tokens").alias("tokens_b"))
         return pairs.join(left, "a").join(right, "b").mapInPandas(verify, "a bigint, b bigint")
@@ -274,8 +396,4 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         if not more.isEmpty():
             roots = write_through(components(found.union(more)), "jaccard-roots")
 
-    named = sized.join(roots.withColumnRenamed("node", "sig"), "sig", "left").withColumn("root", F.coalesce("root", "sig"))
-    names = write_through(named.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("component_id")), "jaccard-names")
-    return (named.join(names, "root", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
+    return sized, roots, sets_for

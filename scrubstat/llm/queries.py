@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..plans.registry import make_registry
 from ..plans.tables import table
 from ..session import scratch_path
-from .jaccard import jaccard_classes
+from .jaccard import jaccard_classes, jaccard_links
 from .langid import identify
 from .mixing import mix_plan
 from .packing import pack_documents
@@ -127,6 +127,15 @@ def op5_jaccard_join(spark, sf_dir):
     return jaccard_classes(table(spark, sf_dir, "documents"), n=4, percent=85)
 
 
+OP5_LINKS_SQL = OP5_SQL.replace("AS component_id", """AS component_id,
+  (SELECT count(*) FROM links WHERE links.a = w.doc_id)::BIGINT AS n_links""", 1)
+
+
+@q("op5_jaccard_links", OP5_LINKS_SQL)
+def op5_jaccard_links(spark, sf_dir):
+    return jaccard_links(table(spark, sf_dir, "documents"), n=4, percent=85).drop("class")
+
+
 @q("op2_fingerprint")
 def op2_fingerprint(spark, sf_dir):
     out = fingerprint_documents(table(spark, sf_dir, "documents"))

@@ -1,10 +1,11 @@
 import random
+from itertools import combinations
 
 import numpy as np
 import pytest
 
 from scrubstat.llm.graph import components
-from scrubstat.llm.jaccard import Prefixes, jaccard_classes, shingle_set
+from scrubstat.llm.jaccard import Prefixes, jaccard_classes, jaccard_links, jaccard_pairs, shared_tokens, shingle_set
 
 
 def brute(docs, n, percent):
@@ -57,6 +58,53 @@ def test_equals_brute_force(spark, seed, n, percent):
     assert got == brute(docs, n, percent)
 
 
+def group_of_copies():
+    """300 near copies of one text (three blocks), a few far from each other, some repeated; and other texts."""
+    rng = random.Random(7)
+    base, docs = [f"w{i}" for i in range(120)], corpus(5, 150)
+    for i in range(300):
+        w = list(base)
+        for _ in range(rng.choice([0, 1, 1, 2, 3])):
+            w[rng.randrange(len(w))] = f"x{rng.randrange(50)}"
+        docs.append((10_000 + i, " ".join(w)))
+    return docs
+
+
+def test_every_link_is_found(spark):
+    docs = group_of_copies() + [(0, None), (2, ""), (5, "lone words here")]
+    sets = {d: {tuple(w[i:i + 4]) for i in range(max(1, len(w) - 3))} if (w := (t or "").split()) else set() for d, t in docs}
+    links, pairs = dict.fromkeys(sets, 0), set()
+    for a, b in combinations(sets, 2):
+        both = len(sets[a] & sets[b])
+        if both and 100 * both >= 85 * (len(sets[a]) + len(sets[b]) - both):
+            links[a] += 1
+            links[b] += 1
+            if sets[a] != sets[b]:
+                pairs.add(frozenset((frozenset(sets[a]), frozenset(sets[b]))))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    rows = jaccard_links(df, n=4, percent=85).collect()
+    assert len(rows) == len(docs) and {r.doc_id: r.n_links for r in rows} == links
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == brute(docs, 4, 85)
+    found = jaccard_pairs(df, n=4, percent=85).collect()
+    assert {frozenset((frozenset(sets[r.doc_a]), frozenset(sets[r.doc_b]))) for r in found} == pairs
+    assert len(found) == len(pairs) > 5_000 and all(r.class_a > r.class_b for r in found)
+
+
+def test_links_of_edge_rows(spark):
+    schema = "doc_id long, text string"
+    assert jaccard_links(spark.createDataFrame([], schema)).count() == 0
+    assert jaccard_pairs(spark.createDataFrame([], schema)).count() == 0
+    rows = [(None, "a b c d e f"), (7, "a b c d e f"), (7, "a b c d e f"), (None, None), (9, "lone " * 30_000)]
+    got = sorted(((r.doc_id, r.n_links) for r in jaccard_links(spark.createDataFrame(rows, schema)).collect()), key=str)
+    assert got == sorted([(None, 2), (7, 2), (7, 2), (None, 0), (9, 0)], key=str)
+
+
+def test_shared_tokens():
+    rng = np.random.default_rng(3)
+    x, y = ([np.unique(rng.integers(0, 20_000, k).astype(np.uint64)) for k in sizes] for sizes in ((9000, 5, 0, 700), (12_000, 40)))
+    assert shared_tokens(x, y).tolist() == [[len(np.intersect1d(a, b)) for b in y] for a in x]
+
+
 def test_every_similar_pair_meets_in_its_prefixes():
     rng = np.random.default_rng(0)
     for trial in range(300):
