@@ -1,4 +1,4 @@
-"""The ten pipeline operators as registered queries: name -> (fn(spark, sf_dir), SQL or None)."""
+"""The pipeline operators as registered queries: name -> (fn(spark, sf_dir), SQL or None)."""
 
 from __future__ import annotations
 
@@ -12,6 +12,7 @@ from ..session import scratch_path
 from .jaccard import jaccard_classes, jaccard_links
 from .langid import identify
 from .mixing import mix_plan
+from .negatives import hard_negatives
 from .packing import pack_documents
 from .pii import BASE_KINDS, find_pii
 from .quality import score_quality
@@ -179,3 +180,30 @@ FROM p JOIN f USING (h)"""
 def op7_warc(spark, sf_dir):
     back = archive_round_trip(table(spark, sf_dir, "pages"), scratch_path(spark, f"warc-{uuid.uuid4().hex}"))
     return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP11_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+    list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) WHERE a.vec_id % 50 = 0),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, (row_number() OVER w)::INTEGER AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER w <= 3"""
+
+
+@q("op11_hard_negatives", OP11_SQL)
+def op11_hard_negatives(spark, sf_dir):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", label)
+    return hard_negatives(rows, F.col("vec_id") % 50 == 0)
