@@ -16,10 +16,12 @@ from .negatives import hard_negatives
 from .packing import pack_documents
 from .pii import BASE_KINDS, find_pii
 from .quality import score_quality
+from .rules import quality_rules
 from .secrets import BASE_RULES, find_secrets
 from .sketch import fingerprint, fingerprint_documents
 from .spans import kind_count, spans_text
 from .topk import top_k_search
+from .trie import prefix_trie
 from .warc import archive_round_trip
 
 Q, q = make_registry()
@@ -207,3 +209,50 @@ def op11_hard_negatives(spark, sf_dir):
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     rows = table(spark, sf_dir, "embeddings").withColumn("label", label)
     return hard_negatives(rows, F.col("vec_id") % 50 == 0)
+
+
+# The checksum of a decimal id is folded byte by byte through a table of 256 entries, itself computed.
+OP12_SQL = """
+WITH crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)),
+    lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)) AS tab),
+t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+c AS (
+  SELECT conv_id, list({'role': role, 'text': text} ORDER BY turn NULLS FIRST,
+      substr(sha256(concat(length(role), ':', role, text)), 1, 32)) AS own,
+    xor(list_reduce(list_concat([4294967295], list_transform(string_split(conv_id::VARCHAR, ''), lambda b: ascii(b)::BIGINT)),
+      lambda a, b: xor(a >> 8, tab[(xor(a, b) & 255) + 1])), 4294967295) % 6 AS h
+  FROM t, crc GROUP BY conv_id, tab),
+r AS (
+  SELECT a.conv_id, list_concat(coalesce(b.own, [])[1:a.h], a.own[a.h + 1:]) AS seq
+  FROM c a LEFT JOIN c b ON b.conv_id = a.conv_id - a.conv_id % 100),
+pre AS (SELECT conv_id, len(seq) AS n, seq, unnest(range(len(seq) + 1)) AS depth FROM r),
+nodes AS (
+  SELECT depth, seq[1:depth] AS key, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE n = depth), '')) AS ends_sha256
+  FROM pre GROUP BY ALL),
+up AS (
+  SELECT n.*, p.conv_id AS parent_conv_id FROM nodes n
+  LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.key = n.key[1:n.depth - 1]),
+kids AS (SELECT parent_conv_id AS conv_id, depth - 1 AS depth, count(*) AS n_children FROM up WHERE depth > 0 GROUP BY ALL),
+own AS (
+  SELECT up.*, coalesce(n_children, 0) AS n_children, (n_children IS NULL)::BIGINT AS leaf,
+    CASE WHEN depth > 0 THEN (n_convs - 1) * length(key[-1].text) ELSE 0 END AS saved
+  FROM up LEFT JOIN kids USING (conv_id, depth)),
+below AS (SELECT key, leaf, saved, unnest(range(depth + 1)) AS top FROM own),
+sums AS (SELECT top AS depth, key[1:top] AS key, sum(leaf)::BIGINT AS n_leaves, sum(saved)::BIGINT AS saved_tokens FROM below GROUP BY ALL)
+SELECT conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256
+FROM own JOIN sums USING (depth, key)"""
+
+
+@q("op12_prefix_trie", OP12_SQL)
+def op12_prefix_trie(spark, sf_dir):
+    c = F.col("conv_id")
+    return prefix_trie(table(spark, sf_dir, "conversations"), F.crc32(c.cast("string")) % 6, c - c % 100)
+
+
+@q("op13_quality_rules")
+def op13_quality_rules(spark, sf_dir):
+    out = quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "probability")
