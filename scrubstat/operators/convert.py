@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..columns import dtype, is_numeric, is_string, scope
-from ..functions.parsing import (localize_utc, number_text, parse_timestamp, strftime_to_java,
+from ..functions.parsing import (number_text, parse_in_zone, strftime_to_java,
                                  strict_double)
 from .rank import global_rank
 
@@ -101,8 +101,9 @@ def normalize_datetime(df: DataFrame, include=None, exclude=None, fmt: str | Non
                        time_zone: str = "UTC") -> DataFrame:
     """Parse string columns with a strftime format (bad values -> NULL).
 
-    Wall-clock values are read in `time_zone` and returned as the UTC wall clock
-    (timestamp_ntz). With a time-only format (`%H:%M:%S`, `%H:%M`) the result is the time of
+    Wall-clock values are read in `time_zone`; values with an offset or zone (`%z`, `%Z`, or at
+    the end of the text without a format) are instants already, also in a column that mixes
+    both. All are returned as the UTC wall clock (timestamp_ntz). With a time-only format (`%H:%M:%S`, `%H:%M`) the result is the time of
     day as an `HH:mm:ss` string (C22).
     """
     cols = [c for c in scope(df, include, exclude) if is_string(dtype(df, c))]
@@ -115,7 +116,7 @@ def normalize_datetime(df: DataFrame, include=None, exclude=None, fmt: str | Non
             t = F.try_to_timestamp(F.col(c), F.lit(strftime_to_java(fmt)))
             out.append(F.date_format(t, "HH:mm:ss").alias(c))
         else:
-            out.append(localize_utc(parse_timestamp(F.col(c), fmt), time_zone or "UTC").alias(c))
+            out.append(parse_in_zone(F.col(c), fmt, time_zone or "UTC").alias(c))
     return df.select(*out)
 
 

@@ -93,6 +93,33 @@ def _localize_datetime(spark, sf):
                              time_zone="Asia/Kolkata", include=["ts_raw"])
 
 
+def _zoned(d):
+    """Wall clocks, instants with three forms of an offset, and fractions in one column."""
+    mark = F.element_at(F.array(*map(F.lit, ["+0200", "Z", "-05:30", ".250", "", ".5+01"])), (F.col("id") % 6 + 1).cast("int"))
+    return d.select("id", F.concat("ts_raw", mark).alias("ts_raw"))
+
+
+_WALL = "SELECT id, CAST(id % 6 AS INTEGER) AS k, try_strptime(ts_raw, '%Y-%m-%d %H:%M:%S') AS w FROM dirty"
+_MADRID = "CAST(timezone('UTC', timezone('Europe/Madrid', {})) AS TIMESTAMP)"
+
+
+@q("localize_aware", with_views(
+    "SELECT id, CASE k WHEN 0 THEN w - INTERVAL 2 HOUR WHEN 1 THEN w WHEN 2 THEN w + INTERVAL 330 MINUTE "
+    f"WHEN 3 THEN {_MADRID.format('w + INTERVAL 250 MILLISECOND')} WHEN 4 THEN {_MADRID.format('w')} "
+    f"ELSE w + INTERVAL 500 MILLISECOND - INTERVAL 1 HOUR END AS ts_raw FROM ({_WALL}) x", "dirty"))
+def _localize_aware(spark, sf):
+    d = _zoned(view(spark, sf, "dirty"))
+    return cv.cast_datatypes(d, "datetime", time_zone="Europe/Madrid", include=["ts_raw"])
+
+
+@q("parse_offsets", with_views(
+    "SELECT id, CASE k WHEN 0 THEN w - INTERVAL 2 HOUR WHEN 1 THEN w WHEN 2 THEN w + INTERVAL 330 MINUTE END AS ts_raw "
+    f"FROM ({_WALL}) x", "dirty"))
+def _parse_offsets(spark, sf):
+    d = _zoned(view(spark, sf, "dirty"))
+    return cv.normalize_datetime(d, include=["ts_raw"], fmt="%Y-%m-%d %H:%M:%S%z", time_zone="Asia/Kolkata")
+
+
 @q("time_of_day", with_views(
     "SELECT id, strftime(try_strptime(substr(ts_raw, 12, 8), '%H:%M:%S'), '%H:%M:%S') AS t "
     "FROM dirty", "dirty"))
