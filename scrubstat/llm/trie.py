@@ -207,7 +207,7 @@ def placed_arcs(nodes: DataFrame) -> DataFrame:
 
 def list_ranks(elements: DataFrame) -> DataFrame:
     """(kind, conv_id, at, rank) of a linked list (kind, conv_id, at, w, next): the weight from an element to the end,
-    its own included. Pointer jumping: in each round an element skips to its successor's successor. The list is written
+    its own included. Pointer jumping: an element skips to its successor's successor, twice a round. The list is written
     every round and the round before removed."""
     spark = elements.sparkSession
 
@@ -218,14 +218,17 @@ def list_ranks(elements: DataFrame) -> DataFrame:
 
     flat = elements.select("kind", "conv_id", "at", F.col("w").cast("bigint").alias("w"), F.col("next.kind").alias("n_kind"),
                            F.col("next.conv_id").alias("n_conv"), F.col("next.at").alias("n_at"))
-    t, path = kept(flat)
-    for _ in range(t.count().bit_length()):
+    def jump(t):
         ahead = t.select(F.col("kind").alias("n_kind"), F.col("conv_id").alias("n_conv"), F.col("at").alias("n_at"),
                          F.col("w").alias("more"), F.col("n_kind").alias("k2"), F.col("n_conv").alias("c2"), F.col("n_at").alias("a2"))
         moved = t.where("n_kind is not null").join(ahead, ["n_kind", "n_conv", "n_at"]).select(
             "kind", "conv_id", "at", (F.col("w") + F.col("more")).alias("w"), F.col("k2").alias("n_kind"),
             F.col("c2").alias("n_conv"), F.col("a2").alias("n_at"))
-        new, new_path = kept(t.where("n_kind is null").union(moved))
+        return t.where("n_kind is null").union(moved)
+
+    t, path = kept(flat)
+    for _ in range((t.count().bit_length() + 1) // 2):
+        new, new_path = kept(jump(jump(t)))
         drop_scratch(spark, path)
         t, path = new, new_path
     return t.select("kind", "conv_id", "at", F.col("w").alias("rank"))
