@@ -31,6 +31,7 @@ from pyspark.sql import types as T
 from ..columns import dtype, is_string, scope
 from ..functions.text import normalize_key, squash, tokens
 from ..session import write_through
+from .bags import bag_candidates, edit_admits, ratio_admits
 
 HOT_KEY_ROWS = 2000  # rows per task when a join key is shared by many values
 
@@ -307,10 +308,6 @@ def implicit_duplicates_token(df: DataFrame, include=None, exclude=None,
     else:
         cols = scope(df, None, exclude)
     cols = [c for c in cols if is_string(dtype(df, c))]
-    if scorer == "difflib" and fuzzy_threshold <= 0.75:
-        raise ValueError("bigram blocking needs fuzzy_threshold > 0.75 for difflib")
-    if scorer == "levenshtein" and fuzzy_threshold <= 0.5:
-        raise ValueError("bigram blocking needs fuzzy_threshold > 0.5 for levenshtein")
     if not cols:
         raise ValueError("no string column to scan")
     return _token_dups(df, cols, fuzzy_threshold, scorer, token_pairs)
@@ -341,7 +338,10 @@ def _token_dups(df: DataFrame, cols: Sequence[str], t: float, scorer: str, token
                              F.greatest("inner", "outer").alias("b")).distinct()
     # (c) similarity
     coef = (4 * t - 3) if scorer == "difflib" else (2 * t - 1)
-    sim_pairs = prefix_candidates(nonempty, coef, block=blk)
+    if coef > 0:
+        sim_pairs = prefix_candidates(nonempty, coef, block=blk)
+    else:  # too weak for shared bigrams
+        sim_pairs = bag_candidates(nonempty, ratio_admits(t) if scorer == "difflib" else edit_admits(t), block=blk)
     cand = (tok_pairs.select("a", "b").unionByName(cont_pairs).unionByName(sim_pairs)
             .distinct().join(tok_pairs, ["a", "b"], "left"))
     # empty squashed forms match everything in their column (both directions): the output is
@@ -395,7 +395,8 @@ def token_groups(df: DataFrame, include=None, exclude=None) -> DataFrame:
 
 def fuzzy_pairs(df: DataFrame, column: str, threshold: float = 90, scorer: str = "wratio",
                 keep_empty: bool = False) -> DataFrame:
-    """C9 step 1-3: normalised keys (C11), blocked candidates, exact score >= threshold.
+    """C9 step 1-3: normalised keys (C11), blocked candidates, exact score >= threshold, which may be
+    any: below 87 (weighted ratio) or 50 (levenshtein) candidates come from character bags (`bags`).
 
     Output: unordered pairs (key_a < key_b, score).
     """
@@ -408,13 +409,9 @@ def fuzzy_pairs(df: DataFrame, column: str, threshold: float = 90, scorer: str =
     keys = write_through(keys.distinct().select("key", F.col("key").alias("id")), "fuzzy-keys")
     t = threshold / 100.0
     if scorer == "levenshtein":
-        if t <= 0.5:
-            raise ValueError("levenshtein blocking needs threshold > 50")
-        cand = deletion_candidates(keys, t)
+        cand = deletion_candidates(keys, t) if t > 0.5 else bag_candidates(keys, edit_admits(t))
     elif scorer == "wratio":
-        if threshold < WRATIO_LEAST:
-            raise ValueError(f"weighted-ratio blocking needs threshold >= {WRATIO_LEAST}")
-        cand = _wratio_candidates(keys, threshold)
+        cand = _wratio_candidates(keys, threshold) if threshold >= WRATIO_LEAST else _wratio_bags(keys, threshold)
     else:
         raise ValueError("scorer must be 'levenshtein' or 'wratio'")
     ka = keys.select(F.col("id").alias("a"), F.col("key").alias("ka"))
@@ -427,7 +424,22 @@ def fuzzy_pairs(df: DataFrame, column: str, threshold: float = 90, scorer: str =
     return s.where(F.col("score") >= threshold)
 
 
-WRATIO_LEAST = 87  # below it, partial token ratios (at most 85.5) would count too
+WRATIO_LEAST = 87  # below it, partial token ratios (at most 85.5) count too, and bigrams are no longer sure
+
+
+def _wratio_bags(keys: DataFrame, threshold: float) -> DataFrame:
+    """Lossless candidates for weighted ratio >= threshold at any threshold: pairs that share a token, and those whose
+    common characters reach the bound of one of the ratios. Sorting tokens keeps the characters, and its ratio
+    counts 0.95, so the plain forms stand for the sorted ones; sets of tokens have forms of their own."""
+    raw = threshold - 0.5  # scores are rounded
+    plain = keys.select("id", F.trim(F.regexp_replace("key", "[^0-9a-z]+", " ")).alias("key")).where("key != ''")
+    plain = write_through(plain, "wratio-keys")
+    toks = F.split("key", " ")
+    shared = salted_self_pairs(plain.select("id", F.explode(F.array_distinct(toks)).alias("gram")), "gram", "id")
+    sets = plain.select("id", F.array_join(F.array_sort(F.array_distinct(toks)), " ").alias("key"))
+    out = (shared.select("a", "b").union(bag_candidates(plain, ratio_admits(raw / 100, raw / 90, 1.5)))
+           .union(bag_candidates(sets, ratio_admits(raw / 95, raw / 85.5))).distinct())
+    return out  # keys without a word score 0 and pair with nothing
 
 
 def _wratio_candidates(keys: DataFrame, threshold: float) -> DataFrame:

@@ -72,6 +72,23 @@ def _fuzzy_pairs_names(spark, sf):
     return out.withColumn("score", F.round("score", 6))
 
 
+@q("fuzzy_pairs_weak",
+   "WITH k AS (SELECT DISTINCT " + _norm_key("p_name") + " AS key FROM part) SELECT a.key AS "
+   f"key_a, b.key AS key_b, round({_SCORE}, 6) AS score FROM k a JOIN k b ON a.key < b.key "
+   f"WHERE length(a.key) > 0 AND length(b.key) > 0 AND {_SCORE} >= 40")
+def _fuzzy_pairs_weak(spark, sf):
+    """A threshold too low for shared pieces of text: candidates by character bags."""
+    out = dd.fuzzy_pairs(table(spark, sf, "part"), "p_name", 40, "levenshtein")
+    return out.withColumn("score", F.round("score", 6))
+
+
+@q("implicit_dup_weak", f"SELECT * FROM ({_token_sql().replace('0.85', '0.45').replace('85.0', '45.0')}) t "
+   "WHERE by_containment OR by_fuzzy")
+def _implicit_dup_weak(spark, sf):
+    return dd.implicit_duplicates_token(table(spark, sf, "part"), include=_PART_COLS, fuzzy_threshold=0.45,
+                                        scorer="levenshtein", token_pairs=False)
+
+
 # The sequential scan itself: name by name, canonical unless an earlier canonical name matches it.
 _GROUPS = (
     f"k AS (SELECT DISTINCT {_KEY} AS key FROM customer), p AS (SELECT a.key AS u, b.key AS v, {_SCORE} AS score FROM k a "
