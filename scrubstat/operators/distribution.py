@@ -22,20 +22,21 @@ from .rank import _search, ranked_counts
 BIN_METHODS = ("sturges", "sqrt", "rice", "fd", "auto")
 
 
-def _values(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:
+def _values(df: DataFrame, column: str, by: Sequence[str] = (), finite: bool = False) -> DataFrame:
     x = nan_to_null(F.col(column).cast("double"), T.DoubleType())
-    return df.select(*by, x.alias("_x")).where(F.col("_x").isNotNull())
+    v = df.select(*by, x.alias("_x")).where(F.col("_x").isNotNull())
+    return v.where(F.abs("_x") < F.lit(float("inf"))) if finite else v
 
 
 # --- H1 ------------------------------------------------------------------------------------
 
 def bin_counts(df: DataFrame, column: str, methods: Sequence[str] = BIN_METHODS) -> DataFrame:
     """H1: number of histogram bins by each rule. IQR 0 in `fd` falls back to sturges;
-    `auto` = max(sturges, fd). Raises on an unknown rule. Output: (method, bins)."""
+    `auto` = max(sturges, fd). Infinite values do not count. Raises on an unknown rule. Output: (method, bins)."""
     bad = [m for m in methods if m not in BIN_METHODS]
     if bad:
         raise ValueError(f"no bin rule called {bad}; the rules are {BIN_METHODS}")
-    v = _values(df, column)
+    v = _values(df, column, finite=True)
     st = v.agg(F.count("_x").alias("n"), F.min("_x").alias("mn"), F.max("_x").alias("mx"))
     q = quantiles(v, "_x", [0.25, 0.75], names=["q25", "q75"])
     j = st.crossJoin(q)
@@ -89,10 +90,10 @@ def histogram(df: DataFrame, column: str, bins: int = 10, by: Sequence[str] = ()
     by + shared_edges -> stacked histogram by hue (one set of edges); by without shared edges ->
     one set of edges per group (overlapping histograms). density -> count / (n * width).
     center -> the mean and the median (per group where edges are per group), which a chart draws
-    as lines. Output: (by..., bin, bin_left, bin_right, n[, density][, mean, median]).
+    as lines. Infinite values have no bin and are left out, as missing ones are. Output: (by..., bin, bin_left, bin_right, n[, density][, mean, median]).
     """
     by = list(by)
-    v = _values(df, column, by)
+    v = _values(df, column, by, finite=True)
     edge_keys = [] if shared_edges else by
     bounds = v.groupBy(*edge_keys).agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"),
                                        F.count("_x").alias("_n"))

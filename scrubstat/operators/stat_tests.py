@@ -366,12 +366,13 @@ def _upper(z: Column) -> Column:
 def dagostino_pearson(df: DataFrame, value: str) -> DataFrame:
     """D'Agostino-Pearson K^2 from population skewness and kurtosis; p = exp(-K^2/2).
 
-    Output: one row (n, skew_z, kurt_z, statistic, p_value). Needs n >= 8 for a meaningful z.
+    Output: one row (n, skew_z, kurt_z, statistic, p_value), NULL but for n below 8 values, for which
+    the transformation of the skewness is not defined, and for a constant column.
     """
     v = df.select(_val(df, value).alias("_x")).where(F.col("_x").isNotNull())
     s = v.agg(F.count("_x").cast("double").alias("n"), F.skewness("_x").alias("g1"),
               (F.kurtosis("_x") + 3).alias("b2"))
-    n, g1, b2 = F.col("n"), F.col("g1"), F.col("b2")
+    n, g1, b2 = F.when(F.col("n") >= 8, F.col("n")), F.col("g1"), F.col("b2")
     y = g1 * F.sqrt((n + 1) * (n + 3) / (6 * (n - 2)))
     beta2 = 3 * (n * n + 27 * n - 70) * (n + 1) * (n + 3) / ((n - 2) * (n + 5) * (n + 7) * (n + 9))
     w2 = F.sqrt(2 * (beta2 - 1)) - 1
@@ -389,7 +390,7 @@ def dagostino_pearson(df: DataFrame, value: str) -> DataFrame:
     cube = F.signum(term) * F.pow(F.abs(term), F.lit(1.0 / 3.0))
     z2 = (1 - 2 / (9 * a) - cube) / F.sqrt(2 / (9 * a))
     k2 = z1 * z1 + z2 * z2
-    return s.select(n.cast("long").alias("n"), z1.alias("skew_z"), z2.alias("kurt_z"),
+    return s.select(F.col("n").cast("long").alias("n"), z1.alias("skew_z"), z2.alias("kurt_z"),
                     k2.alias("statistic"), F.exp(-k2 / 2).alias("p_value"))
 
 
@@ -399,7 +400,8 @@ def anderson_darling(df: DataFrame, value: str) -> DataFrame:
 
     Works on the collapsed (value, count) ranking: for a run of equal values at positions
     s+1..s+c the weights (2i-1) and (2(n-i)+1) are summed in closed form, so n is unbounded.
-    Output: one row (n, statistic, critical_5pct, reject_h0), NULL for a constant column.
+    Output: one row (n, statistic, critical_5pct, reject_h0). The statistic is NULL for a constant column, the
+    critical value for n below 4, where the factor is negative, and the decision where either is.
     """
     v = df.select(_val(df, value).alias("_x")).where(F.col("_x").isNotNull())
     st = v.agg(F.avg("_x").alias("_mu"), F.stddev_samp("_x").alias("_sd"))
@@ -414,7 +416,8 @@ def anderson_darling(df: DataFrame, value: str) -> DataFrame:
     agg = rc.agg(F.sum(term).alias("_t"), F.max("n").cast("double").alias("_n"))
     nn = F.col("_n")
     a2 = -nn - F.try_divide(F.col("_t"), nn)
-    crit = F.round(F.try_divide(F.lit(0.787), 1 + F.try_divide(F.lit(4.0), nn) - F.try_divide(F.lit(25.0), nn * nn)), 3)
+    factor = 1 + F.try_divide(F.lit(4.0), nn) - F.try_divide(F.lit(25.0), nn * nn)
+    crit = F.round(F.try_divide(F.lit(0.787), F.when(factor > 0, factor)), 3)
     return agg.select(nn.cast("long").alias("n"), a2.alias("statistic"),
                       crit.alias("critical_5pct"), (a2 > crit).alias("reject_h0"))
 
