@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from ..operators import dashboard as d
+from ..operators.refresh import read_trend, refresh_trend
+from ..session import scratch_path
 from .registry import make_registry
-from .tables import REGIONS, trend, with_views
+from .tables import REGIONS, table, trend, with_views
 
 Q, q = make_registry()
 
@@ -14,6 +18,18 @@ def _trend_table(spark, sf):
     return trend(spark, sf, with_record_id=True)
 
 
+@q("trend_refresh", with_views("SELECT * FROM trend", "trend"))
+def _trend_refresh(spark, sf):
+    """Three refreshes as the orders come in, the second of them made twice, and late orders in the last."""
+    folder = scratch_path(spark, f"trend-{uuid.uuid4().hex}")
+    o, c, n, r = (table(spark, sf, t) for t in ("orders", "customer", "nation", "region"))
+    first = o.where("o_orderdate < TIMESTAMP_NTZ '1998-01-01' and o_orderkey % 50 != 7")
+    second = o.where("o_orderdate < TIMESTAMP_NTZ '2000-01-01' and o_orderkey % 50 != 7")
+    for orders in (first, second, second, o):
+        refresh_trend(orders, c, n, r, folder)
+    return read_trend(spark, folder)
+
+
 @q("trend_filtered", with_views(
     "SELECT region, category_title, CAST(sum(videos_count) AS BIGINT) AS videos_count FROM trend "
     "WHERE trending_date >= TIMESTAMP '1996-01-01 00:00:00' "
