@@ -12,7 +12,7 @@ from scrubstat.session import write_through
 
 
 def files(folder):
-    return {p: os.stat(p).st_mtime_ns for p in glob.glob(f"{folder}/trend/day=*/*.parquet")}
+    return {p: os.stat(p).st_mtime_ns for p in glob.glob(f"{folder}/trend/part=*/*.parquet")}
 
 
 def test_refreshes_equal_a_rebuild(spark, sf, tmp_path):
@@ -24,8 +24,8 @@ def test_refreshes_equal_a_rebuild(spark, sf, tmp_path):
         before = files(folder)
         changes = {x["day"].isoformat(): x["change"] for x in refresh_trend(orders, customer, n, r, folder, **options).collect()}
         after = files(folder)
-        touched = {p.split("day=")[1][:10] for p in before.keys() | after.keys() if before.get(p) != after.get(p)}
-        assert touched <= set(changes)
+        touched = {p.split("part=")[1][:7] for p in before.keys() | after.keys() if before.get(p) != after.get(p)}
+        assert touched <= {d[:7] for d in changes}
         return changes
 
     def equal(orders, customer=c):
@@ -59,9 +59,11 @@ def test_refreshes_equal_a_rebuild(spark, sf, tmp_path):
     equal(without, gone)
 
     # Only recent days are looked at.
-    changes = refresh(o, gone, since="1995-02-01")
+    early = o.where("day < '1995-01-05'")  # late orders that come before it
+    some = o.where("day >= '1995-01-05'").unionByName(early.union(early))
+    changes = refresh(some, gone, since="1995-02-17")
     assert changes and min(changes) >= "1995-02-01"
-    assert refresh(o, gone, since="1995-02-01") == {}
+    assert refresh(some, gone, since="1995-02-17") == {}
     refresh(o, gone)
     equal(o, gone)
 
