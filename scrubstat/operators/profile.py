@@ -89,8 +89,12 @@ def moments(df: DataFrame, columns: Sequence[str] | None = None,
 # --- A1 / A2 / A5 --------------------------------------------------------------------------
 
 def quantiles(df: DataFrame, column: str, probs: Sequence[float], by: Sequence[str] = (),
-              names: Sequence[str] | None = None) -> DataFrame:
-    """A5: exact quantiles with linear interpolation, distributed (see rank.exact_quantiles)."""
+              names: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
+    """A5: exact quantiles with linear interpolation, distributed (see rank.exact_quantiles); with `exact=False` values
+    within a bounded rank error, from one sketch a group (see `sketches`; a group without values has no row)."""
+    if not exact:
+        from .sketches import quantile_sketches, sketch_quantiles
+        return sketch_quantiles(quantile_sketches(df, [column], by), probs, names).drop("column_name", "n")
     tmp = df.select(*by, nan_to_null(F.col(column).cast("double"), T.DoubleType()).alias("_x"))
     out = exact_quantiles(tmp, "_x", probs, by, names)
     return out

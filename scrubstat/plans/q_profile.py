@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..columns import round_all
 from ..operators import profile as p
+from ..operators import sketches as sk
+from ..session import scratch_path
 from .registry import make_registry
 from .tables import table, view, with_views
 
@@ -393,3 +397,30 @@ def _rank_score_sql() -> str:
 def _rank_normal_score(spark, sf):
     out = p.rank_normal_score(table(spark, sf, "events").select("event_id", "value"), "value")
     return out.withColumn("normal_score", F.round("normal_score", 7))
+
+
+_PROBS = [0.01, 0.25, 0.5, 0.75, 0.99]
+
+
+@q("quantiles_sketch",
+   "SELECT event_type, p, count(value)::BIGINT AS n, true AS within, true AS merged_within FROM events, "
+   f"(SELECT unnest({_PROBS}::DOUBLE[]) AS p) x GROUP BY event_type, p")
+def _quantiles_sketch(spark, sf):
+    """Whether the ranks of sketched quantiles lie within twice the bound, for sketches of the whole and merged of days."""
+    ev = table(spark, sf, "events").select("event_type", F.to_date("ts").alias("day"), "value")
+    folder = scratch_path(spark, f"sketches-{uuid.uuid4().hex}")
+    sk.store_sketches(ev, "day", folder, ["value"], ["event_type"])
+    merged = sk.merge_sketches(sk.read_sketches(spark, folder), ["event_type"])
+    names = [f"q{i}" for i in range(len(_PROBS))]
+    rows = F.explode(F.arrays_zip(F.array(*map(F.lit, _PROBS)).alias("p"), F.array(*names).alias("q"))).alias("r")
+
+    def checked(sketches, name):
+        found = sk.sketch_quantiles(sketches, _PROBS, names).select("event_type", "n", rows).select("event_type", "n", "r.*")
+        met = found.join(ev.select("event_type", "value"), "event_type").groupBy("event_type", "p", "n").agg(
+            (F.sum((F.col("value") < F.col("q")).cast("int")) / F.count("*")).alias("lo"),
+            (F.sum((F.col("value") <= F.col("q")).cast("int")) / F.count("*")).alias("hi"))
+        most = 2 * sk.rank_error()
+        return met.select("event_type", "p", "n", ((F.col("lo") <= F.col("p") + most) & (F.col("hi") >= F.col("p") - most)).alias(name))
+
+    whole = checked(sk.quantile_sketches(ev, ["value"], ["event_type"]), "within")
+    return whole.join(checked(merged, "merged_within"), ["event_type", "p", "n"])
