@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 # separators U+001C-U+001F and space. Java's \s lacks the separators, so the class is explicit.
 WS = r"\t-\r\x1c-\x20"
 WS_CLASS = f"[{WS}]"
-NOT_WORD_NOR_WS = f"[^A-Za-z0-9_{WS}]"
+PUNCTUATION = "".join(c for c in map(chr, range(128)) if not (c.isalnum() or c.isspace() or c == "_"))  # ASCII marks and controls
 
 
 def _build_fold_maps():
@@ -72,21 +72,17 @@ def strip_ws(c: Column) -> Column:
 
 
 def normalize_text(c: Column) -> Column:
-    """Fold, lower, strip, punctuation -> space, whitespace runs -> `_`, collapse `__`,
-    drop one trailing `_`, collapse again."""
-    t = strip_ws(F.lower(fold_ascii(c)))
-    t = F.regexp_replace(t, NOT_WORD_NOR_WS, " ")
-    t = F.regexp_replace(t, f"{WS_CLASS}+", "_")
-    t = F.regexp_replace(t, "__+", "_")
-    t = F.regexp_replace(t, "_$", "")
-    return F.regexp_replace(t, "__+", "_")
+    """The words of the folded lower-case text, `_` for whatever stands between them. White space at the ends does
+    not count, other marks at the start leave a `_`, at the end none."""
+    marked = F.regexp_replace(strip_ws(F.lower(fold_ascii(c))), "[^a-z0-9]+", "_")
+    return F.when(F.endswith(marked, F.lit("_")), F.left(marked, F.length(marked) - 1)).otherwise(marked)
 
 
 def normalize_key(c: Column) -> Column:
-    """C11: comparison key. null -> '', fold, lower, delete punctuation, one space, strip."""
-    t = F.lower(fold_ascii(F.coalesce(c.cast("string"), F.lit(""))))
-    t = F.regexp_replace(t, NOT_WORD_NOR_WS, "")
-    return strip_ws(F.regexp_replace(t, f"{WS_CLASS}+", " "))
+    """C11: comparison key: the words of the folded lower-case text without their punctuation, one space between; ''
+    for NULL. Punctuation does not part words, white space does."""
+    plain = F.translate(F.lower(fold_ascii(F.coalesce(c.cast("string"), F.lit("")))), PUNCTUATION, "")
+    return F.array_join(F.regexp_extract_all(plain, F.lit("[a-z0-9_]+"), F.lit(0)), " ")
 
 
 def squash(c: Column) -> Column:
