@@ -399,6 +399,29 @@ def _rank_normal_score(spark, sf):
     return out.withColumn("normal_score", F.round("normal_score", 7))
 
 
+def _power_sql(family: str) -> str:
+    """Halving of the slope of the likelihood, 30 times."""
+    log = "ln(x)" if family == "boxcox" else "ln(1 + abs(x))"
+    side = "1" if family == "boxcox" else "CASE WHEN x >= 0 THEN 1 ELSE -1 END"
+    m = "l.mid" if family == "boxcox" else "CASE WHEN x >= 0 THEN l.mid ELSE 2 - l.mid END"
+    return (f"WITH RECURSIVE e AS MATERIALIZED (SELECT {log} AS g, {side} AS s, value AS x FROM (SELECT value, value AS x FROM events "
+            f"WHERE value IS NOT NULL AND NOT isnan(value)) t {'WHERE x > 0' if family == 'boxcox' else ''}), "
+            "h(i, mid, w) AS (SELECT 0, 0.0::DOUBLE, 5.0::DOUBLE UNION ALL "
+            "SELECT i + 1, mid + CASE WHEN up THEN w / 2 ELSE -w / 2 END, w / 2 FROM ("
+            "SELECT l.i, l.mid, l.w, avg(s * g) - covar_pop(y, d) / var_pop(y) > 0 AS up FROM (SELECT l.i, l.mid, l.w, s, g, "
+            f"s * CASE WHEN {m} = 0 THEN g ELSE (exp({m} * g) - 1) / ({m}) END AS y, "
+            f"CASE WHEN {m} = 0 THEN g * g / 2 ELSE (({m}) * g * exp(({m}) * g) - exp(({m}) * g) + 1) / (({m}) * ({m})) END AS d "
+            "FROM h l, e WHERE l.i < 30) l GROUP BY l.i, l.mid, l.w) z) "
+            f"SELECT '{family}' AS family, round(mid, 6) AS lambda FROM h WHERE i = 30")
+
+
+@q("power_fit", f"SELECT * FROM ({_power_sql('boxcox')}) a UNION ALL SELECT * FROM ({_power_sql('yeojohnson')}) b")
+def _power_fit(spark, sf):
+    ev = table(spark, sf, "events")
+    best = [(f, p.power_fit(ev, "value", f)) for f in ("boxcox", "yeojohnson")]
+    return spark.createDataFrame(best, "family string, lambda double").withColumn("lambda", F.round("lambda", 6))
+
+
 _PROBS = [0.01, 0.25, 0.5, 0.75, 0.99]
 
 
