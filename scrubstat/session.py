@@ -19,6 +19,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -121,6 +122,14 @@ def write_through(df: DataFrame, name: str) -> DataFrame:
 _SHIPPED: set[str] = set()
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Arrow batches go to Python workers by bytes, not only by rows: ten thousand long texts at once would take
+    most of a worker's memory. A setting of the user's own is left as it is."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not spark.sparkContext.getConf().contains(key):
+        spark.conf.set(key, DEFAULT_CONF[key])
+
+
 def ship_package(spark: SparkSession) -> None:
     """Make the package importable in Python workers (Arrow UDFs, mapInPandas).
 
@@ -129,6 +138,7 @@ def ship_package(spark: SparkSession) -> None:
     executors can import it whatever their working directory or environment.
     """
     sc = spark.sparkContext
+    bound_batches(spark)
     app = sc.applicationId
     if app in _SHIPPED:
         return
