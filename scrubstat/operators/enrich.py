@@ -83,18 +83,23 @@ def best_page_match(keys: DataFrame, phrase: str, pages: DataFrame, page_id: str
     return best.select("_k.*", F.col("_pid").alias(page_id), "score")
 
 
+def lookup_years(keys: DataFrame, name: str, platform: str, pages: DataFrame, page_id: str = "page_id",
+                 html: str = "html") -> DataFrame:
+    """(name, platform, _year) for the key combinations that find a page."""
+    asked = keys.withColumn("_phrase", search_phrase(F.col(name), F.col(platform)))
+    pg = pages.select(F.col(page_id), page_text(F.col(html)).alias("_text"), F.col(html))
+    best = best_page_match(asked, "_phrase", pg.select(page_id, F.col("_text").alias("text")),
+                           page_id)
+    return (best.join(pg.select(page_id, html), page_id)
+            .select(name, platform, release_year(F.col(html)).alias("_year")))
+
+
 def enrich_lookup(df: DataFrame, name: str, platform: str, pages: DataFrame,
                   page_id: str = "page_id", html: str = "html",
                   out: str = "release_year") -> DataFrame:
     """E1-E5 end to end: one lookup per distinct (name, platform), joined back with
     'unknown' as fallback; the new column goes last, plus a typed `<out>_int`."""
-    keys = lookup_keys(df, [name, platform]).withColumn(
-        "_phrase", search_phrase(F.col(name), F.col(platform)))
-    pg = pages.select(F.col(page_id), page_text(F.col(html)).alias("_text"), F.col(html))
-    best = best_page_match(keys, "_phrase", pg.select(page_id, F.col("_text").alias("text")),
-                           page_id)
-    years = (best.join(pg.select(page_id, html), page_id)
-             .select(name, platform, release_year(F.col(html)).alias("_year")))
+    years = lookup_years(lookup_keys(df, [name, platform]), name, platform, pages, page_id, html)
     j = df.join(years, [name, platform], "left")
     res = j.select(*df.columns, F.coalesce(F.col("_year").cast("string"), F.lit("unknown"))
                    .alias(out), F.col("_year").alias(f"{out}_int"))

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators import enrich as en
+from ..operators.kept import category_table, encode, enrich_kept
+from ..session import scratch_path, write_through
 from .registry import make_registry
 from .tables import table
 
@@ -59,11 +63,34 @@ def _best_page_match(spark, sf):
         "phrase")
 
 
-@q("enrich_lookup",
-   f"WITH {_BEST}, y AS (SELECT best.p_name, best.p_brand, {_YEAR.format(c='pages.html')} AS yr "
-   f"FROM best JOIN pages USING (page_id)) SELECT part.*, coalesce(CAST(y.yr AS VARCHAR), "
-   f"'unknown') AS release_year, y.yr AS release_year_int FROM part LEFT JOIN y USING "
-   f"(p_name, p_brand)")
+_LOOKUP_SQL = (
+    f"WITH {_BEST}, y AS (SELECT best.p_name, best.p_brand, {_YEAR.format(c='pages.html')} AS yr "
+    f"FROM best JOIN pages USING (page_id)) SELECT part.*, coalesce(CAST(y.yr AS VARCHAR), "
+    f"'unknown') AS release_year, y.yr AS release_year_int FROM part LEFT JOIN y USING "
+    f"(p_name, p_brand)")
+
+
+@q("enrich_kept", _LOOKUP_SQL)
+def _enrich_kept(spark, sf):
+    """A run over the parts of half the brands, then one over all, which looks up the other half alone."""
+    folder = scratch_path(spark, f"lookups-{uuid.uuid4().hex}")
+    part, pages = table(spark, sf, "part"), table(spark, sf, "pages")
+    enrich_kept(part.where("p_brand < 'Brand#3'"), "p_name", "p_brand", pages, folder)
+    return enrich_kept(part, "p_name", "p_brand", pages, folder)
+
+
+_PART_COLS = ["p_name", "p_brand", "p_type"]
+
+
+@q("category_codes_joint", "SELECT p_partkey, p_name, p_brand, p_type, " + ", ".join(
+   f"CAST(dense_rank() OVER (ORDER BY {c}) - 1 AS INTEGER) AS {c}_code" for c in _PART_COLS) + " FROM part")
+def _category_codes_joint(spark, sf):
+    """Codes of several columns from one ranking."""
+    part = table(spark, sf, "part").select("p_partkey", *_PART_COLS)
+    return encode(part, _PART_COLS, write_through(category_table(part, _PART_COLS), "codes"))
+
+
+@q("enrich_lookup", _LOOKUP_SQL)
 def _enrich_lookup(spark, sf):
     return en.enrich_lookup(table(spark, sf, "part"), "p_name", "p_brand",
                             table(spark, sf, "pages"))
