@@ -2,16 +2,16 @@
 
 A sketch keeps every hash of a text's word shingles below a fixed fraction of the hash range, so sketches of
 texts of any size compare and merge: the union of two sketches is the sketch of both texts together, and the
-share of one's hashes found in the other estimates containment. A text of at most `whole` shingles keeps all
-of them; two sketches are compared below the lower of their thresholds, under which both are complete.
+share of one's hashes found in the other estimates containment. The fraction, one half, is the same for every text: a
+text of n shingles keeps about n / 2, and an estimate over m kept hashes errs by about 0.5 / sqrt(m), so
+those of texts of a few words are rough. Where neither of two texts keeps a hash, they are alike 1 if equal, else 0.
 
-`fingerprint` writes a sketch as text: `a` (all kept) or `f` (the fraction), then the hashes in hex, ascending.
+`fingerprint` writes a sketch as text: its hashes in hex, ascending.
 
 Native: DataFrame and SQL functions only. The next document by id comes from one shuffle into id ranges; rows
 that open a range go to the range before it as well.
 
-Defined results: null text is empty and has the empty sketch; two empty sketches are alike 1, an empty one
-and another 0; texts of fewer words than a shingle have one shingle, the whole sequence; null ids come
+Defined results: null text is empty and has the empty sketch; texts of fewer words than a shingle have one shingle, the whole sequence; null ids come
 last (in the last range); among rows of one id the order is by text; the only row of a table is its own next
 document; an empty table gives no rows; other columns are ignored.
 """
@@ -21,16 +21,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SHINGLE, FRACTION, WHOLE = 5, 4, 128  # one hash in FRACTION is kept
+SHINGLE, FRACTION = 5, 2  # one hash in FRACTION is kept
 TOP = (1 << 63) - 1  # hashes have 63 bits
 LIMIT = (1 << 63) // FRACTION
 ROWS_PER_RANGE, MOST_RANGES = 2000, 20_000
 SPACE = " \t\n\x0b\x0c\r"
 
 
-def add_sketch(df: DataFrame, text: str, out: str, n: int = SHINGLE, whole: int = WHOLE) -> DataFrame:
-    """df with `out`, an array<bigint> over its column `text` (no nulls): 1 if all hashes are kept, else 0;
-    then the kept hashes, ascending. Words hash once; a shingle hashes its words' hashes."""
+def add_sketch(df: DataFrame, text: str, out: str, n: int = SHINGLE) -> DataFrame:
+    """df with `out`, an array<bigint> over its column `text` (no nulls): the kept hashes, ascending. Words hash once; a
+    shingle hashes its words' hashes."""
     trimmed = F.btrim(F.lower(text), F.lit(SPACE))
     words = F.when(trimmed == "", F.expr("cast(array() as array<string>)")).otherwise(
         F.split(trimmed, r"[\x20\x09-\x0D]+"))
@@ -38,43 +38,32 @@ def add_sketch(df: DataFrame, text: str, out: str, n: int = SHINGLE, whole: int
     shingles = F.when(count < n, F.array(F.aggregate(h, F.lit(n).cast("long"), lambda a, x: F.xxhash64(a, x)))).otherwise(
         F.transform(F.sequence(F.lit(0), F.greatest(count - n, F.lit(0))),
                     lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(n)])))
-    kept = F.filter(F.transform(shingles, lambda x: x.bitwiseAND(F.lit(TOP))), lambda x: (F.col("_n") <= whole) | (x < LIMIT))
+    kept = F.filter(F.transform(shingles, lambda x: x.bitwiseAND(F.lit(TOP))), lambda x: x < LIMIT)
     return (df.withColumn("_h", F.transform(words, lambda w: F.xxhash64(w)))
-            .withColumn("_n", F.greatest(count - (n - 1), F.lit(1)))
-            .withColumn(out, F.when(count == 0, F.array(F.lit(1).cast("long"))).otherwise(
-                F.concat(F.array((F.col("_n") <= whole).cast("long")), F.array_sort(F.array_distinct(kept)))))
-            .drop("_h", "_n"))
+            .withColumn(out, F.when(count == 0, F.expr("cast(array() as array<bigint>)")).otherwise(
+                F.array_sort(F.array_distinct(kept))))
+            .drop("_h"))
 
 
-def _hashes(s: Column, below: Column) -> Column:
-    """The hashes of a sketch, or those under the fraction's threshold where `below` holds."""
-    own = F.slice(s, 2, F.size(s))
-    return F.when(below & (F.get(s, F.lit(0)) == 1), F.filter(own, lambda x: x < LIMIT)).otherwise(own)
-
-
-def add_likeness(df: DataFrame, a: str, b: str, jaccard: str, contained: str) -> DataFrame:
-    """df with the estimated Jaccard similarity of the texts of sketches a and b, and the share of a in b."""
-    below = (F.get(a, F.lit(0)) == 0) | (F.get(b, F.lit(0)) == 0)
-    same = F.when(F.col(a) == F.col(b), F.lit(1.0)).otherwise(F.lit(0.0))
-    out = (df.withColumn("_a", _hashes(F.col(a), below)).withColumn("_b", _hashes(F.col(b), below))
-           .withColumn("_both", F.size(F.array_intersect("_a", "_b"))))
-    union = F.size("_a") + F.size("_b") - F.col("_both")
+def add_likeness(df: DataFrame, a: str, b: str, jaccard: str, contained: str, equal: Column) -> DataFrame:
+    """df with the estimated Jaccard similarity of the texts of sketches a and b, and the share of a in b; `equal` says
+    whether the texts are, for sketches without hashes."""
+    same = F.when(equal, F.lit(1.0)).otherwise(F.lit(0.0))
+    out = df.withColumn("_both", F.size(F.array_intersect(a, b)))
+    union = F.size(a) + F.size(b) - F.col("_both")
     return (out.withColumn(jaccard, F.when(union == 0, same).otherwise(F.try_divide(F.col("_both"), union).cast("double")))
-            .withColumn(contained, F.when(F.size("_a") == 0, same).otherwise(F.try_divide(F.col("_both"), F.size("_a")).cast("double")))
-            .drop("_a", "_b", "_both"))
+            .withColumn(contained, F.when(F.size(a) == 0, same).otherwise(F.try_divide(F.col("_both"), F.size(a)).cast("double")))
+            .drop("_both"))
 
 
 def fingerprint(s: Column) -> Column:
     """A sketch as text."""
-    return F.concat(F.when(F.get(s, F.lit(0)) == 1, F.lit("a")).otherwise(F.lit("f")), F.array_join(
-        F.transform(F.slice(s, 2, F.size(s)), lambda x: F.lpad(F.lower(F.hex(x)), 16, "0")), ""))
+    return F.array_join(F.transform(s, lambda x: F.lpad(F.lower(F.hex(x)), 16, "0")), "")
 
 
 def merge(a: Column, b: Column) -> Column:
-    """The sketch of two texts together (above the fraction's threshold only if both kept all)."""
-    below = (F.get(a, F.lit(0)) == 0) | (F.get(b, F.lit(0)) == 0)
-    return F.concat(F.array(F.least(F.get(a, F.lit(0)), F.get(b, F.lit(0)))),
-                    F.array_sort(F.array_union(_hashes(a, below), _hashes(b, below))))
+    """The sketch of two texts together."""
+    return F.array_sort(F.array_union(a, b))
 
 
 def with_next(rows: DataFrame, id_col: str, tie: str, cols: list[str]) -> DataFrame:
@@ -118,7 +107,10 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
     rows = with_next(add_sketch(rows, "text", "sketch"), "doc_id", "text", ["text", "sketch"])
     rows = rows.withColumn("n_chars", F.length("text").cast("long"))
     rows = rows.withColumn("edited", F.expr(
-        "concat(left(text, cast(n_chars - n_chars div 2 as int)), left(next_text, cast(n_chars div 2 as int)))")).drop("text", "next_text")
+        "concat(left(text, cast(n_chars - n_chars div 2 as int)), left(next_text, cast(n_chars div 2 as int)))"))
+    rows = (rows.withColumn("_same_edited", F.col("text") == F.col("edited")).withColumn("_same_next", F.col("text") == F.col("next_text"))
+            .drop("text", "next_text"))
     rows = add_sketch(rows, "edited", "edited_sketch")
-    rows = add_likeness(rows, "sketch", "edited_sketch", "near_edited", "contained_edited")
-    return add_likeness(rows, "sketch", "next_sketch", "near_next", "contained_next").drop("next_sketch")
+    rows = add_likeness(rows, "sketch", "edited_sketch", "near_edited", "contained_edited", F.col("_same_edited"))
+    rows = add_likeness(rows, "sketch", "next_sketch", "near_next", "contained_next", F.col("_same_next"))
+    return rows.drop("next_sketch", "_same_edited", "_same_next")
