@@ -47,6 +47,7 @@ BLOCK = 128  # classes of a component in a block,
 BLOCK_TOKENS = 1 << 21  # and tokens, on average
 _M = np.uint64(0x9E3779B97F4A7C15)
 _POWERS: list[np.ndarray] = []
+PIECE = 1 << 19  # bytes hashed at once
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -54,40 +55,68 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the multiplier and of its inverse modulo 2^64."""
-    if not _POWERS or len(_POWERS[0]) < n:
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the multiplier and of its inverse modulo 2^64, for a piece."""
+    if not _POWERS or len(_POWERS[0]) < PIECE + 1:
         inverse = np.uint64(pow(int(_M), -1, 1 << 64))
-        _POWERS[:] = [np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, x)])) for x in (_M, inverse)]
+        _POWERS[:] = [np.cumprod(np.concatenate([[np.uint64(1)], np.full(PIECE, x)])) for x in (_M, inverse)]
     return _POWERS[0], _POWERS[1]
 
 
 def shingle_sets(texts: list[str | None], n: int) -> list[np.ndarray]:
     """Per text the sorted distinct 64-bit hashes of its word n-grams; ASCII letters in lower case, ASCII white
     space. Words are found and hashed over the bytes of many texts at once (a polynomial over each word's bytes)."""
-    raw = [t.encode() if t is not None else b"" for t in texts]
     out: list[np.ndarray] = []
-    first = 0
-    while first < len(raw):
-        last, size = first, 0
-        while last < len(raw) and (last == first or size + len(raw[last]) < 1 << 20):
-            size += len(raw[last]) + 1
-            last += 1
-        out += _sets_of(raw[first:last], n)
-        first = last
-    return out
+    raw, size = [], 0
+    for t in texts:
+        r = t.encode() if t is not None else b""
+        if raw and size + len(r) > PIECE:
+            out += _sets_of(raw, n)
+            raw, size = [], 0
+        raw.append(r)
+        size += len(r) + 1
+    return out + (_sets_of(raw, n) if raw else [])
+
+
+def _word_hashes(b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(starts, hashes) of the words of some bytes that end with white space. Bytes are taken in pieces; of a word that
+    goes on in the next piece the sum so far and its length are carried."""
+    up, down = _powers()
+    starts, hashes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    at, sum_, length = 0, np.uint64(0), 0  # the word that is open
+    for lo in range(0, len(b), PIECE):
+        p = b[lo:lo + PIECE]
+        space = (p == 32) | ((p >= 9) & (p <= 13))
+        p = np.where((p >= 65) & (p <= 90), p + np.uint8(32), p)
+        edge = np.flatnonzero(np.concatenate([[space[0] == (length > 0)], space[1:] != space[:-1]]))
+        if length and not space[0]:
+            edge = np.concatenate([[0], edge])  # goes on
+        sums = np.concatenate([[np.uint64(0)], np.cumsum((p.astype(np.uint64) + np.uint64(1)) * up[:len(p)])])
+        if length and space[0]:  # had ended with the last piece
+            starts.append(np.array([at]))
+            hashes.append(np.array([sum_]))
+            edge = edge[1:]
+        start, end = edge[0::2], edge[1::2]
+        word = (sums[np.append(end, len(p))[:len(start)]] - sums[start]) * down[start]
+        if length and len(start) and not space[0]:
+            with np.errstate(over="ignore"):
+                word[0] = sum_ + np.uint64(pow(int(_M), length, 1 << 64)) * word[0]
+        first = start + lo
+        if length and len(start) and not space[0]:
+            first[0] = at
+        if len(start) > len(end):  # open at the end of the piece
+            at, sum_, length = first[-1], word[-1], lo + len(p) - int(first[-1])
+            word, first = word[:-1], first[:-1]
+        else:
+            length = 0
+        starts.append(first)
+        hashes.append(word)
+    return np.concatenate(starts), _mix(np.concatenate(hashes))
 
 
 def _sets_of(raw: list[bytes], n: int) -> list[np.ndarray]:
-    b = np.frombuffer(b"\n" + b"\n".join(raw) + b"\n", np.uint8)
-    space = (b == 32) | ((b >= 9) & (b <= 13))
-    b = np.where((b >= 65) & (b <= 90), b + np.uint8(32), b)
-    edge = np.flatnonzero(space[1:] != space[:-1]) + 1
-    start, end = edge[0::2], edge[1::2]
-    up, down = _powers(len(b))
-    sums = np.concatenate([[np.uint64(0)], np.cumsum((b.astype(np.uint64) + np.uint64(1)) * up[:len(b)])])
-    word = _mix((sums[end] - sums[start]) * down[start])
-    bounds = np.cumsum([1] + [len(r) + 1 for r in raw])
+    start, word = _word_hashes(np.frombuffer(b"\n".join([*raw, b""]), np.uint8))
+    bounds = np.cumsum([0] + [len(r) + 1 for r in raw])
     at = np.searchsorted(start, bounds)
     grams = word[:max(0, len(word) - n + 1)]
     for k in range(1, n):
@@ -141,11 +170,18 @@ class Prefixes:
         return tokens[:n - least + most], 1 + int(np.argmin(cost))
 
 
-def slices(frames, rows: int = 500):
-    """The batches of a task in short pieces, so that few sets are held at a time."""
+def slices(frames, rows: int = 500, chars: int = PIECE):
+    """The batches of a task in short pieces (of one text at least), so that few sets are held at a time."""
     for f in frames:
-        for k in range(0, len(f), rows):
-            yield f.iloc[k:k + rows]
+        size = f["text"].str.len().fillna(0).to_numpy(np.int64)
+        lo, total = 0, 0
+        for k in range(len(f)):
+            if k > lo and (k - lo >= rows or total + size[k] > chars):
+                yield f.iloc[lo:k]
+                lo, total = k, 0
+            total += size[k]
+        if len(f):
+            yield f.iloc[lo:]
 
 
 def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 4,

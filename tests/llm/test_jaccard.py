@@ -1,9 +1,12 @@
 import random
+import tracemalloc
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pytest
 
+from scrubstat.llm import jaccard as J
 from scrubstat.llm.graph import components
 from scrubstat.llm.jaccard import Prefixes, jaccard_classes, jaccard_links, jaccard_pairs, shared_tokens, shingle_set
 
@@ -164,3 +167,32 @@ def test_components(spark, seed):
                 changed = True
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {k: v for k, v in root.items() if k in got} and all(root[k] == k for k in set(root) - set(got))
+
+
+@pytest.mark.parametrize("piece", [1, 7, 64])
+def test_pieces_do_not_change_sets(monkeypatch, piece):
+    rng = random.Random(piece)
+    parts = ["a", "Zq", "é", " ", "  ", "\n", "\t", "word ", "数"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 120))) for _ in range(150)] + [None, "", " ", "x" * 300 + " y", " " * 90 + "z"]
+    want = {n: [J.shingle_set(t, n) for t in texts] for n in (1, 4)}
+    monkeypatch.setattr(J, "PIECE", piece)
+    monkeypatch.setattr(J, "_POWERS", [])
+    for n in (1, 4):
+        assert all((a == b).all() and len(a) == len(b) for a, b in zip(J.shingle_sets(texts, n), want[n], strict=True))
+        assert all(len(a) == len(b) and (a == b).all() for a, b in zip([J.shingle_set(t, n) for t in texts], want[n]))
+
+
+def test_a_long_text_takes_bounded_memory():
+    text = " ".join(f"w{i}" for i in range(1_500_000)) + " " + "y" * 3_000_000
+    tracemalloc.start()
+    assert len(J.shingle_set(text, 5)) == 1_500_001 - 4
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 14 * len(text) + (64 << 20)
+
+
+def test_slices_go_by_characters():
+    frame = pd.DataFrame({"text": ["a" * 400_000, "b" * 400_000, None, "c" * 900_000, ""] + ["d"] * 1200})
+    cut = list(J.slices([frame, frame.iloc[:0]]))
+    assert pd.concat(cut).equals(frame) and max(map(len, cut)) <= 500
+    assert all(len(s) == 1 or s["text"].str.len().fillna(0).sum() <= J.PIECE for s in cut)
