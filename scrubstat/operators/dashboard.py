@@ -21,17 +21,16 @@ def trend_table(orders: DataFrame, customer: DataFrame, nation: DataFrame,
     """Records per (region, day, category) from the order star schema.
 
     Orders are first counted per (customer, day) so a customer holding a large share of orders
-    reaches the customer join as at most one row per day. nation and region are fixed-size
-    dimension tables (25 and 5 rows by definition) and are broadcast; the customer side is left
-    to AQE, which broadcasts it only when its measured size is under the threshold.
+    reaches the customer join as at most one row per day. Dimension tables are joined as they
+    come: the planner broadcasts those whose measured size is under the threshold.
     """
     per_cust_day = (orders.select("o_custkey", "o_orderdate")
                     .groupBy("o_custkey", "o_orderdate").agg(F.count(F.lit(1)).alias("n")))
     geo = (nation.select("n_nationkey", "n_regionkey")
-           .join(F.broadcast(region.select("r_regionkey", "r_name")),
+           .join(region.select("r_regionkey", "r_name"),
                  F.col("n_regionkey") == F.col("r_regionkey")))
     cust = (customer.select("c_custkey", "c_nationkey", "c_mktsegment")
-            .join(F.broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey")))
+            .join(geo, F.col("c_nationkey") == F.col("n_nationkey")))
     joined = per_cust_day.join(cust, F.col("o_custkey") == F.col("c_custkey"))
     agg = (joined.groupBy(F.col("r_name").alias("region"),
                           F.col("o_orderdate").alias("trending_date"),

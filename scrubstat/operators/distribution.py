@@ -148,7 +148,7 @@ def histogram_edges(df: DataFrame, column: str, edges: Sequence[float]) -> DataF
     spark = df.sparkSession
     grid = spark.createDataFrame([(i, e[i], e[i + 1]) for i in range(len(e) - 1)],
                                  "bin int, bin_left double, bin_right double")
-    return F.broadcast(grid).join(counts, "bin", "left").select(
+    return grid.join(counts, "bin", "left").select(
         "bin", "bin_left", "bin_right", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
 
 
@@ -264,12 +264,13 @@ def rug_points(df: DataFrame, column: str) -> DataFrame:
 
 def scatter_bins(df: DataFrame, x: str, y: str, hue: str | None = None, bins: int = 50
                  ) -> DataFrame:
-    """2-D binned counts (bin_x, bin_y[, hue], n) over each axis' [min, max]; any data size."""
+    """2-D binned counts (bin_x, bin_y[, hue], n) over each axis' [min, max]; any data size. Points with a missing
+    or infinite side are left out."""
     xs = nan_to_null(F.col(x).cast("double"), T.DoubleType())
     ys = nan_to_null(F.col(y).cast("double"), T.DoubleType())
     keys = [hue] if hue else []
     v = df.select(*keys, xs.alias("_x"), ys.alias("_y")).where(
-        F.col("_x").isNotNull() & F.col("_y").isNotNull())
+        (F.abs("_x") < F.lit(float("inf"))) & (F.abs("_y") < F.lit(float("inf"))))
     b = v.agg(F.min("_x").alias("_xl"), F.max("_x").alias("_xh"), F.min("_y").alias("_yl"),
               F.max("_y").alias("_yh"))
     j = with_bin(with_bin(v.crossJoin(F.broadcast(b)), "_x", "_xl", "_xh", bins, "bin_x"),
@@ -290,13 +291,14 @@ def pair_bins(df: DataFrame, columns: Sequence[str] | None = None, bins: int = 2
     """Binned scatter for every pair of numeric columns in one pass.
 
     Each row is exploded into one (x_col, y_col, bx, by) entry per pair (pairs with a missing
-    side dropped), then counted; per-column bounds come from one broadcast aggregate.
+    or infinite side dropped), then counted; per-column bounds come from one broadcast aggregate.
     Output: (x_col, y_col, bin_x, bin_y, n).
     """
     cols = numeric_columns(df, columns)
     if len(cols) < 2:
         raise ValueError("need at least two numeric columns")
     vals = {c: nan_to_null(F.col(c).cast("double"), T.DoubleType()) for c in cols}
+    vals = {c: F.when(F.abs(x) < F.lit(float("inf")), x) for c, x in vals.items()}
     b = df.agg(*[F.min(vals[c]).alias(f"lo{i}") for i, c in enumerate(cols)],
                *[F.max(vals[c]).alias(f"hi{i}") for i, c in enumerate(cols)])
     j = df.select(*[vals[c].alias(f"v{i}") for i, c in enumerate(cols)]).crossJoin(F.broadcast(b))

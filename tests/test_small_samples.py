@@ -42,3 +42,12 @@ def test_infinite_values_have_no_bin(spark, odd):
     beside = [tuple(r) for r in di.histogram(frame(spark, values + odd), "x", bins=4, center=True).orderBy("bin").collect()]
     assert beside == plain and [r[3] for r in plain] == [1, 1, 1, 2]
     assert di.bin_counts(frame(spark, values + odd), "x").collect() == di.bin_counts(frame(spark, values), "x").collect()
+
+
+def test_scatter_and_pairs_leave_infinite_values_out(spark):
+    rows = [(float(i % 7), float(i % 5), float(i)) for i in range(40)]
+    odd = [(float("inf"), 1.0, 2.0), (1.0, float("-inf"), 2.0), (float("nan"), 1.0, 1.0), (None, 2.0, 3.0)]
+    plain, mixed = (spark.createDataFrame(r, "x double, y double, z double") for r in (rows, rows + odd))
+    assert sorted(di.scatter_bins(mixed, "x", "y", bins=4).collect()) == sorted(di.scatter_bins(plain, "x", "y", bins=4).collect())
+    got, want = ({tuple(r) for r in di.pair_bins(f, ["x", "y"], bins=4).collect()} for f in (mixed, plain))
+    assert got == want
