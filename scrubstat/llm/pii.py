@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import write_through
-from .spans import no_spans, quoted, regex_spans
+from .spans import clear_of, no_spans, quoted, regex_spans
 
 _OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 _DIGITS = r"translate(x.m, ' -', '')"
@@ -46,7 +46,7 @@ MORE_KINDS = [
     ("local_phone", r"(?<![0-9A-Za-z+.-])\(?[0-9]{3}\)?[ .-][0-9]{3}[.-][0-9]{4}(?![0-9A-Za-z-])", "true"),
     ("national_id", r"(?<![0-9A-Za-z.-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])", "true"),
     ("iban", r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])", "true"),
-    ("masked_email", r"(?<![A-Za-z0-9._-])[A-Za-z0-9._-]{1,64}+ ?[(\[]at[)\]] ?[A-Za-z0-9-]{1,63}+(?: ?[(\[]dot[)\]] ?[A-Za-z]{2,})+", "true"),
+    ("masked_email", r"(?<![A-Za-z0-9._-])[A-Za-z0-9._-]{1,64}+ ?[(\[]at[)\]] ?[A-Za-z0-9-]{1,63}+(?: ?[(\[]dot[)\]] ?[A-Za-z]{2,}+)++", "true"),
     ("name", r"(?<![A-Za-z])(?:Mr|Mrs|Ms|Dr)\.? [A-Z][a-z]{1,30}(?: [A-Z][a-z]{1,30})?(?![a-z])", "true"),
 ]
 KINDS = BASE_KINDS + MORE_KINDS
@@ -125,7 +125,7 @@ def add_candidates(docs: DataFrame, text: str, out: str) -> DataFrame:
     found = [F.when(F.expr(NEEDS[k].format(text)), regex_spans(text, r, k, i, keep)).otherwise(no_spans())
              for i, (k, r, keep) in enumerate(KINDS)]
     base, more = F.concat(*found[:len(BASE_KINDS)]), F.concat(*found[len(BASE_KINDS):])
-    free = F.expr("filter(_more, m -> not exists(_base, b -> b.start < m.end and m.start < b.end))")
+    free = clear_of("_more", "_base")
     votes = ", ".join(f"'v{i}', {_voted(lab)}" for i, lab in enumerate(LABELERS))
     around = "case when {0} = '' then 'edge' when {0} rlike '[a-z]' then 'letter' " \
              "when {0} rlike '[0-9]' then 'digit' when {0} rlike '\\\\s' then 'space' else 'mark' end"

@@ -30,9 +30,10 @@ BASE_RULES = [
     ("access", r"AKIA[A-Z0-9]{14,}+", "true"),
     ("hex", r"[0-9a-f]{16,}+", "true"),
 ]
-# Public formats of well-known credentials.
+# Public formats of well-known credentials. Repeated groups are possessive: others recurse, and a long text would
+# exhaust the stack.
 MORE_RULES = [
-    ("private_key", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----", "true"),
+    ("private_key", r"-----BEGIN (?:(?!PRIVATE KEY-----)[A-Z]++ )*+PRIVATE KEY-----", "true"),
     ("github", r"gh[pousr]_[A-Za-z0-9]{36,}+", "true"),
     ("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}+", "true"),
     ("google", r"AIza[A-Za-z0-9_-]{35}", "true"),
