@@ -12,6 +12,9 @@ Candidate pairs come from blocked self-joins on shared grams:
   elements share one among their first n - tau + 1 (prefix filtering), so only prefixes are
   joined. Strings too short for a positive bound are paired through shared characters.
 
+* One edit (C9): strings that differ in one character meet on what is left without it, grouped by place; such a
+  group holds one string per character, all similar to each other, so it stands for all of its pairs.
+
 Scoring is exact: Spark's `levenshtein` (default), or an Arrow UDF for difflib's ratio and the
 weighted ratio. Greedy canonical grouping runs in parallel rounds over the match graph.
 """
@@ -34,6 +37,8 @@ from ..session import write_through
 from .bags import bag_candidates, edit_admits, ratio_admits
 
 HOT_KEY_ROWS = 2000  # rows per task when a join key is shared by many values
+ONE_EDIT = 399  # longest string that is grouped by its text without one character
+
 
 
 # --- candidate generation ------------------------------------------------------------------
@@ -159,6 +164,59 @@ def deletion_candidates(keys: DataFrame, t: float, col: str = "key", ident: str
     return pairs.unionByName(cross).unionByName(by_char).distinct()
 
 
+def _edits(t: float) -> Column:
+    """The most edits between a key and another of levenshtein score >= 100 t."""
+    return F.floor((1 - t) * F.length("key") / t + 1e-9)
+
+
+def one_edit_groups(keys: DataFrame, threshold: float, *carry: str) -> DataFrame:
+    """Keys of keys(key, *carry), each there once, of at most `ONE_EDIT` characters, that one edit parts, with
+    levenshtein score >= threshold (above 50): rows (rest, p, score, members). A member (p, c, *carry) is the key
+    with the character c at place p of `rest` (`_key_of`). With p > 0 the members differ in that place only and all match
+    each other; with p = 0 the first member, `rest` itself, matches each of the others. No pair is in two rows."""
+    longest = F.length("rest") + 1
+    placed = keys.where((_edits(threshold / 100.0) >= 1) & (F.length("key") <= ONE_EDIT)).select(
+        "key", *carry, F.explode(F.sequence(F.lit(0), F.length("key"))).alias("p"))
+    items = placed.select(
+        F.when(F.col("p") == 0, F.col("key")).otherwise(F.expr("concat(left(key, p - 1), substring(key, p + 1))")).alias("rest"),
+        F.struct("p", F.expr("CASE WHEN p = 0 THEN '' ELSE substring(key, p, 1) END").alias("c"), *carry).alias("x"))
+    # dealt first: the lists do not get shorter by being made before the shuffle
+    met = (items.repartition("rest").groupBy("rest").agg(F.collect_list("x").alias("all")).where(F.size("all") > 1)
+           .withColumn("score", 100.0 * (1 - F.lit(1) / longest)).where(F.col("score") >= threshold))
+    rows = met.select("rest", "score", "all", F.explode(F.array_distinct(F.col("all.p"))).alias("p"))
+    # in a run of one character the same text is left wherever it is cut: only its first place counts there
+    members = F.expr("sort_array(CASE WHEN p > 0 THEN filter(all, x -> x.p = p) ELSE filter(all, x -> x.p <= 1 OR "
+                     "substring(rest, x.p - 1, 1) <> x.c) END)")
+    return rows.select("rest", "p", "score", members.alias("members")).where(F.size("members") > 1)
+
+
+def _key_of(rest: str, x: str) -> Column:
+    return F.expr(f"concat(left({rest}, {x}.p - 1), {x}.c, substring({rest}, greatest({x}.p, 1)))")
+
+
+def _matches(groups: DataFrame) -> DataFrame:
+    """Every matching pair (x, y) of members of `one_edit_groups`, once."""
+    later = F.expr("CASE WHEN p > 0 THEN filter(members, y -> y.c > x.c) WHEN x.p = 0 THEN filter(members, y -> y.p > 0) END")
+    return groups.select("*", F.explode("members").alias("x")).select("rest", "score", "x", F.explode(later).alias("y"))
+
+
+def _further_pairs(keys: DataFrame, threshold: float) -> DataFrame | None:
+    """The pairs (key_a, key_b, score) of levenshtein score >= threshold that `one_edit_groups` leaves out; None if no key
+    is long enough to have any."""
+    edits, n = _edits(threshold / 100.0), F.length("key")
+    keys = keys.where((edits >= 2) | (edits >= 1) & (n >= ONE_EDIT)).select("key", F.col("key").alias("id"))
+    if keys.isEmpty():
+        return None
+    pairs = _scored(deletion_candidates(keys, threshold / 100.0), levenshtein_score(F.col("a"), F.col("b")), threshold)
+    return pairs.where((F.greatest(F.length("key_a"), F.length("key_b")) > ONE_EDIT) | (F.levenshtein("key_a", "key_b") > 1))
+
+
+def _scored(cand: DataFrame, score: Column, threshold: float) -> DataFrame:
+    """Candidates (a, b), which are the keys themselves, as pairs (key_a, key_b, score) of score >= threshold."""
+    return cand.select(F.least("a", "b").alias("key_a"), F.greatest("a", "b").alias("key_b"),
+                       score.alias("score")).where(F.col("score") >= threshold)
+
+
 def _prefix_elements(keys: DataFrame, coef: float, col: str = "key", ident: str = "id"
                      ) -> DataFrame:
     occ = _bigram_occurrences(keys, col, ident)
@@ -400,28 +458,33 @@ def fuzzy_pairs(df: DataFrame, column: str, threshold: float = 90, scorer: str =
 
     Output: unordered pairs (key_a < key_b, score).
     """
+    keys = _fuzzy_keys(df, column, keep_empty)
+    t = threshold / 100.0
+    if scorer == "levenshtein" and t > 0.5:
+        # already exact and each once: neither scored nor made distinct
+        near = _matches(one_edit_groups(keys, threshold)).select(
+            _key_of("rest", "x").alias("_x"), _key_of("rest", "y").alias("_y"), "score")
+        near = near.select(F.least("_x", "_y").alias("key_a"), F.greatest("_x", "_y").alias("key_b"), "score")
+        further = _further_pairs(keys, threshold)
+        return near if further is None else near.unionByName(further)
+    keys = keys.withColumn("id", F.col("key"))
+    a, b = F.col("a"), F.col("b")
+    if scorer == "levenshtein":
+        return _scored(bag_candidates(keys, edit_admits(t)), levenshtein_score(a, b), threshold)
+    if scorer == "wratio":
+        cand = _wratio_candidates(keys, threshold) if threshold >= WRATIO_LEAST else _wratio_bags(keys, threshold)
+        return _scored(cand, wratio_udf(a, b), threshold)
+    raise ValueError("scorer must be 'levenshtein' or 'wratio'")
+
+
+def _fuzzy_keys(df: DataFrame, column: str, keep_empty: bool = False) -> DataFrame:
     if column not in df.columns:
         raise ValueError(f"no column {column!r} to group")
     keys = df.select(normalize_key(F.col(column)).alias("key"))
     if not keep_empty:
         keys = keys.where(F.length("key") > 0)
-    # the distinct keys feed several branches below: compute the normalisation once
-    keys = write_through(keys.distinct().select("key", F.col("key").alias("id")), "fuzzy-keys")
-    t = threshold / 100.0
-    if scorer == "levenshtein":
-        cand = deletion_candidates(keys, t) if t > 0.5 else bag_candidates(keys, edit_admits(t))
-    elif scorer == "wratio":
-        cand = _wratio_candidates(keys, threshold) if threshold >= WRATIO_LEAST else _wratio_bags(keys, threshold)
-    else:
-        raise ValueError("scorer must be 'levenshtein' or 'wratio'")
-    ka = keys.select(F.col("id").alias("a"), F.col("key").alias("ka"))
-    kb = keys.select(F.col("id").alias("b"), F.col("key").alias("kb"))
-    j = cand.join(ka, "a").join(kb, "b")
-    score = (levenshtein_score(F.col("ka"), F.col("kb")) if scorer == "levenshtein"
-             else wratio_udf(F.col("ka"), F.col("kb")))
-    s = j.select(F.least("ka", "kb").alias("key_a"), F.greatest("ka", "kb").alias("key_b"),
-                 score.alias("score"))
-    return s.where(F.col("score") >= threshold)
+    # the distinct keys feed several branches: compute the normalisation once
+    return write_through(keys.distinct(), "fuzzy-keys")
 
 
 WRATIO_LEAST = 87  # below it, partial token ratios (at most 85.5) count too, and bigrams are no longer sure
