@@ -16,7 +16,7 @@ Candidate pairs come from blocked self-joins on shared grams:
   group holds one string per character, all similar to each other, so it stands for all of its pairs.
 
 Scoring is exact: Spark's `levenshtein` (default), or an Arrow UDF for difflib's ratio and the
-weighted ratio. Greedy canonical grouping runs in parallel rounds over the match graph.
+weighted ratio. Greedy canonical grouping runs in parallel rounds over groups of similar names.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ import math
 import re
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,7 +39,8 @@ from .bags import bag_candidates, edit_admits, ratio_admits
 
 HOT_KEY_ROWS = 2000  # rows per task when a join key is shared by many values
 ONE_EDIT = 399  # longest string that is grouped by its text without one character
-
+BLOCK_BITS = 16  # greedy grouping scans blocks of neighbouring names, of two to this power at most
+LIVE, WON, LOST = 0, 1, 2  # a name in the greedy scan
 
 
 # --- candidate generation ------------------------------------------------------------------
@@ -547,52 +549,131 @@ def greedy_groups(pairs: DataFrame, order: DataFrame | None = None) -> DataFrame
     """C9 step 4: the canonical names the sequential greedy scan would pick.
 
     A name is canonical exactly when no earlier canonical name matches it (lexicographically
-    first maximal independent set of the match graph). Each round looks at the edges between undecided
-    names: a name smaller than all of its neighbours is canonical, its neighbours become variants, and
-    edges of either drop out. A round decides at least the smallest name of every connected part, so the
-    rounds end. Only the round's own decisions and the edges left are written (to the shared scratch
-    folder); a name that never becomes a variant is canonical.
+    first maximal independent set of the match graph), see `_losers`.
 
     `order`: optional (key, ord) table giving the scan order; default the key itself.
     Output: (canonical, variant, score) for every match of every canonical name.
     """
-    e = pairs.select(F.col("key_a").alias("u"), F.col("key_b").alias("v"), "score")
-    edges = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v"), "score"))
+    pairs = write_through(pairs.select("key_a", "key_b", "score"), "greedy-pairs")
+    names = pairs.select(F.col("key_a").alias("key")).union(pairs.select("key_b")).distinct()
+    return _greedy(_ranked(names, order), pairs)
+
+
+def _ranked(names: DataFrame, order: DataFrame | None) -> DataFrame:
+    """names(key) with a long u that rises in the order of the scan."""
     if order is not None:
-        o = order.select(F.col("key").alias("u"), F.col("ord").alias("ou"))
-        edges = edges.join(o, "u").join(o.select(F.col("u").alias("v"), F.col("ou").alias("ov")), "v")
-        rank_u, rank_v = F.struct("ou", "u"), F.struct("ov", "v")
+        names = names.join(order.select("key", "ord"), "key").orderBy("ord", "key")
     else:
-        rank_u, rank_v = F.col("u"), F.col("v")
-    edges = write_through(edges.select("u", "v", "score", rank_u.alias("ru"),
-                                       rank_v.alias("rv")), "greedy-edges")
-    live, variants = edges.select("u", "v", "ru", "rv"), None
-    while not live.isEmpty():
-        first = (live.groupBy("u", "ru").agg(F.min("rv").alias("_min"))
-                 .where(F.col("ru") < F.col("_min")).select("u"))
-        beaten = live.join(first, "u").select(F.col("v").alias("u")).distinct()
-        decided = write_through(first.withColumn("wins", F.lit(True)).unionByName(
-            beaten.withColumn("wins", F.lit(False))), "greedy-round")
-        lost = decided.where(~F.col("wins")).select("u")
-        variants = lost if variants is None else variants.unionByName(lost)
-        live = write_through(live.join(decided.select("u"), "u", "left_anti")
-                             .join(decided.select(F.col("u").alias("v")), "v", "left_anti"), "greedy-live")
-    names = edges.select("u").distinct()
-    canon = names if variants is None else names.join(variants, "u", "left_anti")
-    return edges.join(canon, "u").select(F.col("u").alias("canonical"),
-                                         F.col("v").alias("variant"), "score")
+        names = names.orderBy("key")
+    return write_through(names.select("key", F.monotonically_increasing_id().alias("u")), "greedy-names")
+
+
+def _greedy(names: DataFrame, pairs: DataFrame | None, near: DataFrame | None = None) -> DataFrame:
+    """The groups of names(key, u) by pairs(key_a, key_b, score) and by `near`, the groups of `one_edit_groups` with u."""
+    edges, links, out = [], [], []
+    if pairs is not None:
+        edges.append(pairs.join(names.select(F.col("key").alias("key_a"), F.col("u").alias("ua")), "key_a")
+                     .join(names.select(F.col("key").alias("key_b"), F.col("u").alias("ub")), "key_b"))
+    if near is not None:
+        edges.append(_matches(near.where("p = 0")).select(
+            _key_of("rest", "x").alias("key_a"), _key_of("rest", "y").alias("key_b"), "score",
+            F.col("x.u").alias("ua"), F.col("y.u").alias("ub")))
+        # a group is named by its first member and the place
+        near = near.where("p > 0").withColumn("h", F.col("members")[0]["u"])
+        links.append(near.select("h", F.col("p").cast("long").alias("t"), F.explode("members.u").alias("u")))
+    columns = ["key_a", "key_b", "score", "ua", "ub"]
+    edge = edges[0].select(columns) if len(edges) == 1 else edges[0].select(columns).union(edges[1].select(columns))
+    edge = write_through(edge, "greedy-edges")
+    links.append(edge.select(F.col("ua").alias("h"), (-1 - F.col("ub")).alias("t"), F.explode(F.array("ua", "ub")).alias("u")))
+    lost = _losers(links[0] if len(links) == 1 else links[0].union(links[1]))
+    canon = write_through(names.select("u").join(lost, "u", "left_anti"), "greedy-canonical")
+    for a, b in ("ab", "ba"):
+        out.append(edge.join(canon.withColumnRenamed("u", f"u{a}"), f"u{a}").select(
+            F.col(f"key_{a}").alias("canonical"), F.col(f"key_{b}").alias("variant"), "score"))
+    if near is not None:
+        first = near.select("h", "p", F.explode("members.u").alias("u")).join(canon, "u").withColumnRenamed("u", "_u")
+        both = near.join(first, ["h", "p"]).select("rest", "score", "members", F.expr("filter(members, x -> x.u = _u)[0]").alias("x"))
+        both = both.select("rest", "score", "x", F.explode("members").alias("y")).where("x.u <> y.u")
+        out.append(both.select(_key_of("rest", "x").alias("canonical"), _key_of("rest", "y").alias("variant"), "score"))
+    found = out[0]
+    for o in out[1:]:
+        found = found.unionByName(o)
+    return found
+
+
+def _losers(links: DataFrame, bits: int = BLOCK_BITS) -> DataFrame:
+    """The names u that an earlier canonical name matches, of links(h, t, u): u is in group (h, t), and the names
+    of a group all match each other (a pair is a group of two). Names come first by smaller u.
+
+    In each round blocks of neighbouring names are scanned at once (`_scan_block`). A name waits while an earlier name
+    of one of its groups is undecided; within a block that is known at once, between blocks after a round. The first
+    block with undecided names decides all of them, so the rounds end. Decided names and groups with nobody left to
+    wait for drop out; only the round's losers and the links left are written (to the shared scratch folder)."""
+    w, lost = Window.partitionBy("h", "t"), []
+
+    def scan(f: pd.DataFrame) -> pd.DataFrame:
+        return _scan_block(f, bits)
+
+    state = links.select("h", "t", "u", F.lit(LIVE).cast("byte").alias("st"))
+    while True:
+        undecided = F.when(F.col("st") == LIVE, F.col("u"))
+        seen = state.select("*", (F.max("st").over(w) == WON).alias("taken"), F.min(undecided).over(w).alias("first"),
+                            F.max(undecided).over(w).alias("last"))
+        seen = seen.where((F.col("st") == LIVE) & (F.col("taken") | (F.col("first") < F.col("last")))).drop("st")
+        done = write_through(seen.groupBy(F.shiftright("u", bits).alias("b")).applyInPandas(
+            scan, "h long, t long, u long, st byte"), "greedy-round")
+        lost.append(done.where(F.col("st") == LOST).select("u"))
+        state = done.where(F.col("st") != LOST)
+        if state.where(F.col("st") == LIVE).isEmpty():
+            break
+    out = lost[0]
+    for more in lost[1:]:
+        out = out.union(more)
+    return out
+
+
+def _scan_block(f: pd.DataFrame, bits: int) -> pd.DataFrame:
+    """The sequential scan over one block: links(h, t, u) of undecided names, with whether the group has a canonical name
+    and its first and last undecided ones. Returns the links of names still undecided, those of new canonical
+    names whose groups go on in later blocks, and each name that lost once."""
+    f = f.sort_values("u", kind="stable", ignore_index=True)
+    u = f["u"].to_numpy()
+    group = f.groupby(["h", "t"], sort=False).ngroup().to_numpy()
+    block = u[0] >> bits
+    state = np.zeros(group.max() + 1, np.int8)  # 0 free, 1 an earlier name is undecided, 2 has a canonical name
+    state[group[(f["first"].to_numpy() >> bits) < block]] = 1
+    state[group[f["taken"].to_numpy(bool)]] = 2
+    state, groups = state.tolist(), group.tolist()
+    starts = np.flatnonzero(np.r_[True, u[1:] != u[:-1]])
+    ends, found = np.r_[starts[1:], len(u)], []
+    for i, j in zip(starts.tolist(), ends.tolist()):
+        mine = groups[i:j]
+        worst = max([state[g] for g in mine])
+        found.append((WON, LIVE, LOST)[worst])
+        if worst < 2:
+            for g in mine:
+                state[g] = 2 - worst
+    found = np.array(found, np.int8)
+    st = np.repeat(found, ends - starts)
+    keep = (st == LIVE) | (st == WON) & ((f["last"].to_numpy() >> bits) > block)
+    out, lost = f[["h", "t", "u"]].assign(st=st)[keep], u[starts[found == LOST]]
+    return pd.concat([out, pd.DataFrame({"h": -1, "t": 0, "u": lost, "st": np.int8(LOST)})], ignore_index=True)
 
 
 def fuzzy_groups(df: DataFrame, column: str, threshold: float = 90,
                  scorer: str = "wratio", order_by: str | None = None) -> DataFrame:
     """Canonical -> variant pairs. With `order_by`, a key's scan position is the smallest
     `order_by` value among its rows (first appearance); otherwise the key itself."""
-    pairs = fuzzy_pairs(df, column, threshold, scorer)
     order = None
     if order_by:
         order = (df.select(normalize_key(F.col(column)).alias("key"), F.col(order_by))
                  .groupBy("key").agg(F.min(order_by).alias("ord")))
-    return greedy_groups(pairs, order)
+    if scorer != "levenshtein" or threshold <= 50:
+        return greedy_groups(fuzzy_pairs(df, column, threshold, scorer), order)
+    # Names one edit apart are grouped, not paired: only matches of canonical names are ever written out.
+    names = _ranked(_fuzzy_keys(df, column), order)
+    near = write_through(one_edit_groups(names, threshold, "u"), "one-edit")
+    return _greedy(names, _further_pairs(names, threshold), near)
 
 
 def group_values(df: DataFrame, column: str, groups: DataFrame) -> DataFrame:
