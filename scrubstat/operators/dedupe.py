@@ -697,7 +697,7 @@ def apply_canonical(df: DataFrame, column: str, groups: DataFrame, out: str | No
     out = out or f"{column}_canonical"
     groups = write_through(groups, "groups")
     pairs = groups.select(F.col("variant").alias("_key"), "canonical", "score").unionByName(
-        groups.select(F.col("canonical").alias("_key"), "canonical", F.lit(float("inf")).alias("score")))
+        groups.select("canonical").distinct().select(F.col("canonical").alias("_key"), "canonical", F.lit(float("inf")).alias("score")))
     best = pairs.groupBy("_key").agg(
         F.min_by("canonical", F.struct((-F.col("score")).alias("s"), F.col("canonical").alias("c")))
         .alias("_canon"))
