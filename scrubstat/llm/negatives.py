@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from ..session import write_through
 
-BLOCK, ANCHOR_BLOCK = 4096, 8192
+BLOCK, ANCHOR_BLOCK, COPIES = 4096, 8192, 32
 SAMPLE, DIRECTIONS = 2048, 16
 PAD, SLACK = 1e-6, 1e-9
 LONG = (-(1 << 63), (1 << 63) - 1)
@@ -220,13 +220,18 @@ def hard_negatives(vectors: DataFrame, is_anchor: Column, positives: int = 5, ne
         return ids, np.array(getattr(r, f"{p}_labels"), object), Rows(x, angles, scale)
 
     def met(left):
-        """Pairs of blocks: each of `left` (anchor blocks) with each candidate block of the same length."""
+        """Pairs of blocks: each of `left` (anchor blocks) with each candidate block of the same length. Spark's estimate
+        does not count the copies that `explode` makes, so a small table of anchors would be broadcast with all of them:
+        they are merged, and made `COPIES` a row by as many tasks as it takes."""
         name = {c: f"{p}_{c}" for p in "ca" for c in ("ids", "labels", "x", "angles")}
         c = candidates.withColumnsRenamed({k: f"c_{k}" for k in name}).withColumnRenamed("part", "c_part").withColumn(
             "a_part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(anchor_blocks - 1).cast("long"))))
+        last = F.lit(blocks - 1).cast("long")
         a = left.withColumnsRenamed({k: f"a_{k}" for k in name}).withColumnRenamed("part", "a_part").withColumn(
-            "c_part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
-        return c.join(a, ["dim", "c_part", "a_part"]).groupBy("dim", "c_part", "a_part")
+            "first", F.explode(F.sequence(F.lit(0).cast("long"), last, F.lit(COPIES).cast("long"))))
+        a = a.repartition(anchor_blocks * -(-blocks // COPIES)).withColumn(
+            "c_part", F.explode(F.sequence("first", F.least(F.col("first") + (COPIES - 1), last)))).drop("first")
+        return c.join(a.hint("merge"), ["dim", "c_part", "a_part"]).groupBy("dim", "c_part", "a_part")
 
     def find_positives(key, f):
         out = []
@@ -267,7 +272,7 @@ def hard_negatives(vectors: DataFrame, is_anchor: Column, positives: int = 5, ne
                         for c, (chosen, score) in zip(codes, found) for i, s in zip(chosen, score)]
         return pd.DataFrame(out, columns=["dim", "part", "k", "code", "negative_id", "negative_code"])
 
-    far = met(anchors.join(windows, ["dim", "part"])).applyInPandas(
+    far = met(anchors.join(windows.hint("merge"), ["dim", "part"])).applyInPandas(
         find_negatives, "dim int, part bigint, k int, code string, negative_id bigint, negative_code string")
     best = Window.partitionBy("dim", "part", "k", "code").orderBy(F.desc("negative_code"), "negative_id")
     far = far.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= negatives)
@@ -276,7 +281,7 @@ def hard_negatives(vectors: DataFrame, is_anchor: Column, positives: int = 5, ne
     def number(code: pd.Series) -> pd.Series:
         return pd.Series([as_long(from_code(c)) for c in code], dtype="int64")
 
-    return near.join(far, ["dim", "part", "k", "code"]).select(
+    return near.join(far.hint("merge"), ["dim", "part", "k", "code"]).select(
         "anchor_id", "positive_id", F.col("rank").cast("int").alias("rank"), "negative_id",
         number("code").alias("positive_score"), number("negative_code").alias("negative_score"))
 

@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from scrubstat.llm import negatives
 from scrubstat.llm.negatives import PAD, Rows, _unit, best_rows, directions, from_code, hard_negatives, order_code
 
 SCHEMA = "vec_id long, label int, embedding array<double>, rank string, score int"
@@ -65,6 +66,20 @@ def test_empty(spark):
     assert got(spark, [(50, 1, [1.0]), (1, 2, [1.0])]) == []
 
 
+def test_copies_of_blocks_are_not_broadcast(spark, monkeypatch):
+    rows, plans = table(4), []
+
+    def planned(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+
+    monkeypatch.setattr(negatives, "write_through", lambda df, name, write=negatives.write_through: write(planned(df), name))
+    df = spark.createDataFrame([(i, y, v, "x", 1) for i, y, v in rows], SCHEMA)
+    out = planned(hard_negatives(df, F.col("vec_id") % 50 == 0, block=8, anchor_block=4))  # more blocks than COPIES
+    assert sum(p.count("SortMergeJoin") for p in plans) == 4 and not any("Broadcast" in p for p in plans)
+    assert sorted(tuple(r) for r in out.collect()) == brute(rows)
+
+
 def test_codes_sort_like_numbers():
     numbers = [0, 1, -1, 9, 10, -10, 99, 10 ** 40, -10 ** 40, -(10 ** 40) - 1, 12345, -12345]
     assert [from_code(c) for c in sorted(map(order_code, numbers))] == sorted(numbers)
